@@ -10,7 +10,7 @@ from shelftide.operators.pivot import Key, Measure, Table, pivot
 BRANCH = Key("Branch", "branch")
 VARIANT = Key("Variant", "variant", order=f"Variant = '{labels.DEMAND}'")
 PAIRS = Measure("pairs", "count(1)", share=True)
-REVENUE = Measure("revenue", "sum(Revenue)", digits=0, share=True)
+REVENUE = Measure("revenue", "sum(cast(Revenue as decimal(18,4)))", digits=0, share=True)
 EMPTY = Measure("empty series", "sum(if(IsEmpty = 1, 1, 0))")
 DEFICIT = Measure("deficit days, %",
                   "try_divide(100.0D * sum(DeficitDays), sum(MatrixDays))", digits=1)
