@@ -19,6 +19,9 @@ def local_session(cpus: str | int = "*", app: str = "shelftide") -> SparkSession
             .config("spark.sql.adaptive.enabled", "true")
             .config("spark.sql.adaptive.skewJoin.enabled", "true")
             .config("spark.sql.session.timeZone", "UTC")
+            # Building a Column otherwise records its Python call site, which costs more
+            # than planning it.
+            .config("spark.python.sql.dataFrameDebugging.enabled", "false")
             .config("spark.driver.memory", "12g")
             .getOrCreate())
 
