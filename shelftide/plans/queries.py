@@ -7,12 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shelftide.checks.contract import (
+    ContractRules, contract_checks, daily_volume, volume_outliers)
 from shelftide.checks.journal import assemble
 from shelftide.checks.profile_checks import profile_checks
 from shelftide.checks.series_checks import (
     array_checks, branch_checks, branch_totals, series_checks, source_totals)
 from shelftide.functions import labels
-from shelftide.operators import fingerprint, series
+from shelftide.operators import abc_compare, fingerprint, frontier, series
 from shelftide.operators.hierarchy import hierarchy_paths
 from shelftide.operators.pivot import Key, Measure, manifest, pivot
 from shelftide.params import EVENTS_PARAMS, LINEITEM_PARAMS
@@ -22,6 +24,7 @@ from shelftide.plans.pipeline import Build
 from shelftide.session import materialise, shared_root
 from shelftide.sources import storage
 from shelftide.sources.adapters import facts_events, facts_lineitem, hierarchy_edges
+from shelftide.sources.facts import with_rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -272,3 +275,76 @@ def layered_build(spark: SparkSession, sf_dir: str) -> DataFrame:
                   _exchange_path(spark, "build"))
     build.run()
     return rounded(build.layer("profile_base"), MONEY)
+
+
+LINEITEM_RULES = ContractRules(top_group="L1")
+
+
+@query
+def raw_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = materialise(with_rollups(facts_lineitem(spark, sf_dir), ["SalesByLocationAmount"]),
+                      "raw")
+    return _journal(contract_checks(raw, LINEITEM_PARAMS, LINEITEM_RULES))
+
+
+@query
+def daily_volume_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return volume_outliers(daily_volume(facts_lineitem(spark, sf_dir)), LINEITEM_RULES)
+
+
+@query
+def order_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = lineitem(spark, sf_dir)
+    return rounded(frontier.order_frontier(layers.days, layers.params))
+
+
+@query
+def frontier_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = lineitem(spark, sf_dir)
+    base = layers.base
+    return rounded(frontier.frontier_curve(
+        frontier.order_frontier(layers.days, layers.params), base,
+        ["Branch", "AbcRevenueStore"]))
+
+
+@query
+def frontier_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = lineitem(spark, sf_dir)
+    return rounded(frontier.actual_point(layers.days, layers.params,
+                                         ["Branch", "LocationNetwork"]))
+
+
+@query
+def frontier_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = lineitem(spark, sf_dir)
+    keys = ["Branch", "Scope"]
+    curve = frontier.frontier_curve(frontier.order_frontier(layers.days, layers.params),
+                                    layers.profile_pairs, keys)
+    return rounded(frontier.target_quantiles(curve, keys, (0.35, 0.50, 0.75, 0.80)))
+
+
+@query
+def abc_top_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(abc_compare.top_overlap(lineitem(spark, sf_dir).base))
+
+
+@query
+def abc_store_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(abc_compare.store_agreement(lineitem(spark, sf_dir).base, "AbcRevenueStore"))
+
+
+def _quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = lineitem(spark, sf_dir)
+    layers.days = materialise(layers.days, "days")
+    return abc_compare.quarter_classes(layers.days, layers.profile_pairs, layers.params)
+
+
+@query
+def abc_quarter_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abc_compare.transitions(_quarters(spark, sf_dir), "AbcRevenueStore")
+
+
+@query
+def abc_quarter_association(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = materialise(_quarters(spark, sf_dir), "quarter-classes")
+    return rounded(abc_compare.cramers_v(abc_compare.transitions(classes, "AbcQtyStore")))

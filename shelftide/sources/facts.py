@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelftide.functions.expressions import flag
@@ -80,18 +82,23 @@ def normalise(raw: DataFrame, params: Params) -> DataFrame:
             flag(is_return).alias("IsReturn")))
 
 
-def with_rollups(raw: DataFrame) -> DataFrame:
-    """Add the same-day roll-ups by store and by store, group level and measure.
+ROLLUPS = {
+    "SalesByLevel1Qty": ("SalesQty", ("ItemIdLevel1", "ItemMeasure")),
+    "SalesByLevel2Qty": ("SalesQty", ("ItemIdLevel2", "ItemMeasure")),
+    "SalesByLevel3Qty": ("SalesQty", ("ItemIdLevel3", "ItemMeasure")),
+    "SalesByLocationAmount": ("SalesAmount", ()),
+}
+
+
+def with_rollups(raw: DataFrame, names: Sequence[str] = tuple(ROLLUPS)) -> DataFrame:
+    """Add same-day roll-ups by store, and by store, group level and measure.
 
     Aggregate and join back rather than a window: the sums are combined before the shuffle
     and a store-day with very many items never sits in one task.
     """
     out = raw
-    for name, value, keys in (
-            ("SalesByLevel1Qty", "SalesQty", ["ItemIdLevel1", "ItemMeasure"]),
-            ("SalesByLevel2Qty", "SalesQty", ["ItemIdLevel2", "ItemMeasure"]),
-            ("SalesByLevel3Qty", "SalesQty", ["ItemIdLevel3", "ItemMeasure"]),
-            ("SalesByLocationAmount", "SalesAmount", [])):
+    for name in names:
+        value, keys = ROLLUPS[name]
         on = ["TransDate", "LocationId", *keys]
         out = out.drop(name).join(raw.groupBy(*on).agg(F.sum(value).alias(name)), on, "left")
     return out.select(*RAW_SCHEMA.names)
