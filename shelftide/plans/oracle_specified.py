@@ -154,3 +154,221 @@ z AS (SELECT sum(n) AS Pairs,
              / nullif(least(count(DISTINCT fq), count(DISTINCT tq)) - 1, 0)) AS CramersV FROM y)
 SELECT Pairs, {_six('CramersV')} FROM z""",
 }
+
+# Exact quantile of a sorted list: the element at position floor(q * n), counted from 0.
+def _pick(values: str, q: float) -> str:
+    return f"{values}[least(CAST(floor({q} * len({values})) AS INTEGER) + 1, len({values}))]"
+
+
+_BACKTEST = f""",
+origins AS (SELECT k, DATE '2024-01-18' + CAST(k AS INTEGER) AS Origin
+            FROM generate_series(0, 9) g(k)),
+targets AS (SELECT h FROM generate_series(1, 7) g(h)),
+hist AS (
+  SELECT s.ItemLocationId, v.Variant, o.Origin,
+    list_sort(coalesce(list(p.Value) FILTER (p.Value IS NOT NULL), [])) AS l
+  FROM span s CROSS JOIN (VALUES ('sales'), ('demand')) v(Variant) CROSS JOIN origins o
+  LEFT JOIN positions p ON p.ItemLocationId = s.ItemLocationId AND p.Variant = v.Variant
+    AND p.TransDate BETWEEN o.Origin - 14 AND o.Origin - 1
+  GROUP BY 1, 2, 3),
+dow AS (
+  SELECT x.ItemLocationId, x.Variant, x.Origin, t.h AS Horizon,
+    list_sort(coalesce(list(p.Value) FILTER (p.Value IS NOT NULL), [])) AS d
+  FROM hist x CROSS JOIN targets t
+  LEFT JOIN positions p ON p.ItemLocationId = x.ItemLocationId AND p.Variant = x.Variant
+    AND p.TransDate BETWEEN x.Origin - 14 AND x.Origin - 1
+    AND datediff('day', p.TransDate, x.Origin + CAST(t.h - 1 AS INTEGER)) % 7 = 0
+  GROUP BY 1, 2, 3, 4),
+fc AS (
+  SELECT x.ItemLocationId, x.Variant, x.Origin, w.Horizon, CAST(len(l) AS BIGINT) AS HistoryDays,
+    x.Origin - 1 AS LastUsed,
+    CASE WHEN len(l) >= 4 THEN list_sum(l) / len(l) END AS Mean,
+    CASE WHEN len(l) >= 4 THEN {_pick('l', 0.5)} END AS Median,
+    CASE WHEN len(l) >= 4 THEN {_pick('d', 0.5)} END AS MedianDow,
+    CASE WHEN len(l) >= 4 THEN {_pick('l', 0.5)} END AS Q0,
+    CASE WHEN len(l) >= 4 THEN {_pick('l', 0.8)} END AS Q1,
+    CASE WHEN len(l) >= 4 THEN {_pick('l', 0.9)} END AS Q2, a.Value AS Actual
+  FROM hist x JOIN dow w ON w.ItemLocationId = x.ItemLocationId AND w.Variant = x.Variant
+    AND w.Origin = x.Origin
+  LEFT JOIN positions a ON a.ItemLocationId = x.ItemLocationId AND a.Variant = x.Variant
+    AND a.TransDate = x.Origin + CAST(w.Horizon - 1 AS INTEGER)),
+scored AS (SELECT * FROM fc WHERE Actual IS NOT NULL AND Mean IS NOT NULL)"""
+
+_ERRORS = "\n UNION ALL ".join(
+    [f"SELECT ItemLocationId, Variant, Horizon, '{m}' AS Model, count({c}) AS Days, "
+     f"coalesce(sum(Actual) FILTER ({c} IS NOT NULL), 0) AS Actual, "
+     f"coalesce(sum(abs(Actual - {c})), 0) AS AbsError, CAST(NULL AS DOUBLE) AS Pinball "
+     f"FROM scored GROUP BY 1, 2, 3" for m, c in (
+         ("mean", "Mean"), ("median", "Median"), ("median_dow", "MedianDow"))]
+    + [f"SELECT ItemLocationId, Variant, Horizon, 'q{q}', count(*), sum(Actual), NULL, "
+       f"sum(greatest((Actual - Q{i}) * {q}, (Actual - Q{i}) * ({q} - 1))) "
+       f"FROM scored GROUP BY 1, 2, 3" for i, q in enumerate((0.5, 0.8, 0.9))])
+
+_EVENT_SERIES = f"WITH {EVENTS}{ARRAYS}"
+
+_ETA = """,
+w AS (
+  SELECT ItemLocationId, Variant, dayofweek(TransDate) AS wd, count(Value) AS n, sum(Value) AS s,
+    sum(Value * Value) AS q FROM positions WHERE Value IS NOT NULL GROUP BY 1, 2, 3),
+t AS (
+  SELECT ItemLocationId, Variant, CAST(sum(n) AS BIGINT) AS Points, sum(q) AS q,
+    sum(s * s / n) AS b, sum(s) * sum(s) / sum(n) AS l FROM w GROUP BY 1, 2),
+e AS (SELECT *, CASE WHEN q - l > 1e-9 * q THEN (b - l) / (q - l) END AS WeekdayShare FROM t)"""
+
+_LAGS = """,
+both_k AS (
+  SELECT a.ItemLocationId, a.Variant, k.k, a.Value AS x, b.Value AS y
+  FROM positions a CROSS JOIN (VALUES (0), (1), (7)) k(k)
+  LEFT JOIN positions b ON b.ItemLocationId = a.ItemLocationId AND b.Variant = a.Variant
+    AND b.TransDate = a.TransDate - k.k AND b.Value IS NOT NULL
+  WHERE a.Value IS NOT NULL OR k.k = 0),
+lag_k AS (
+  SELECT ItemLocationId, Variant, k, count(y) AS n,
+    CASE WHEN var_samp(x) FILTER (y IS NOT NULL) * var_samp(y) > 0 THEN
+      covar_samp(x, y) / sqrt(var_samp(x) FILTER (y IS NOT NULL) * var_samp(y)) END AS c,
+    var_samp(x - y) AS d,
+    sum(abs(x - y)) / nullif(sum(x) FILTER (y IS NOT NULL), 0) AS w
+  FROM both_k GROUP BY 1, 2, 3),
+pair_ids AS (SELECT DISTINCT ItemLocationId FROM days WHERE ValueSales IS NOT NULL),
+lags AS (
+  SELECT p.ItemLocationId, v.Variant, coalesce(a.n, 0) AS Pairs1, coalesce(b.n, 0) AS Pairs7,
+    a.c AS Acf1, b.c AS Acf7, b.d / nullif(7 * a.d, 0) AS VarianceRatio7, a.w AS NaiveWape,
+    b.w AS SeasonalWape
+  FROM pair_ids p CROSS JOIN (VALUES ('sales'), ('demand')) v(Variant)
+  LEFT JOIN lag_k a ON a.ItemLocationId = p.ItemLocationId AND a.Variant = v.Variant AND a.k = 1
+  LEFT JOIN lag_k b ON b.ItemLocationId = p.ItemLocationId AND b.Variant = v.Variant
+    AND b.k = 7)"""
+
+_PATTERNS = """,
+three AS (
+  SELECT ItemLocationId, Variant, Value AS x2, TransDate - 2 = lag(TransDate, 2) OVER w AS ok,
+    lag(Value, 2) OVER w AS x0, lag(Value, 1) OVER w AS x1
+  FROM positions WINDOW w AS (PARTITION BY ItemLocationId, Variant ORDER BY TransDate)),
+pattern AS (
+  SELECT ItemLocationId, Variant, concat(
+      CASE WHEN x0 <= x1 AND x0 <= x2 THEN '0' WHEN x1 < x0 AND x1 <= x2 THEN '1' ELSE '2' END,
+      CASE WHEN (x0 <= x1) <> (x0 <= x2) THEN '0' WHEN (x1 < x0) <> (x1 <= x2) THEN '1'
+           ELSE '2' END) AS p, CAST(count(*) AS DOUBLE) AS n
+  FROM three WHERE ok AND x0 IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL GROUP BY 1, 2, 3),
+share AS (SELECT *, n / sum(n) OVER (PARTITION BY ItemLocationId, Variant) AS p_ FROM pattern),
+pe AS (
+  SELECT ItemLocationId, Variant, CAST(sum(n) AS BIGINT) AS Windows, count(*) AS Patterns,
+    -sum(p_ * ln(p_)) AS s, -sum((p_ / 2 + 1 / 12) * ln(p_ / 2 + 1 / 12))
+      - (6 - count(*)) * (1 / 12 * ln(1 / 12)) AS m
+  FROM share GROUP BY 1, 2),
+pec AS (SELECT *, abs(s) / ln(6) AS Entropy,
+          -2 / (7 / 6 * ln(7) - 2 * ln(12) + ln(6)) * (m - s / 2 - ln(6) / 2) * abs(s) / ln(6)
+            AS Complexity FROM pe)"""
+
+_CLASSES = """,
+cls AS (
+  SELECT *, CASE WHEN coalesce(VariantDays, 0) < 4 THEN 'n/a' WHEN ZeroShare >= 0.6
+    THEN 'no structure' WHEN Quadrant = 'smooth' THEN 'level' WHEN Cv2 >= 0.49 THEN 'jumpy'
+    ELSE 'mixed' END AS Class FROM profile),
+shares AS (
+  SELECT Branch, Class, count(*) AS Pairs, sum(Revenue) AS Revenue,
+    sum(Revenue) / sum(sum(Revenue)) OVER (PARTITION BY Branch) AS RevenueShare
+  FROM cls WHERE Variant = 'sales' GROUP BY 1, 2)"""
+
+_RANK_ROWS = f"WITH {LINEITEM}{PROFILE}, r AS (SELECT * FROM profile WHERE Variant = 'sales')"
+
+
+def _percent_ranks(measures: list[str]) -> str:
+    return ", ".join(
+        f"CASE WHEN {m} IS NOT NULL THEN percent_rank() OVER (PARTITION BY Branch, {m} IS NULL "
+        f"ORDER BY {m}) END AS r_{m}" for m in measures)
+
+
+_MEASURES = ["Adi", "Cv2", "DeficitDayShare"]
+
+SPECIFIED |= {
+    "baseline_forecasts": f"""{_EVENT_SERIES}{_BACKTEST}
+SELECT ItemLocationId, Variant, Origin, Horizon, HistoryDays, LastUsed,
+  {_six('Mean', 'Median', 'MedianDow', 'Q0', 'Q1', 'Q2', 'Actual')} FROM fc""",
+    "baseline_errors": f"""{_EVENT_SERIES}{_BACKTEST}, er AS ({_ERRORS}),
+er2 AS (SELECT *, AbsError / nullif(Actual, 0) AS Wape FROM er)
+SELECT ItemLocationId, Variant, Horizon, Model, Days,
+  {_six('Actual', 'AbsError', 'Pinball', 'Wape')} FROM er2""",
+    "baseline_calibration": f"""{_EVENT_SERIES}{_BACKTEST},
+cal AS (
+  SELECT ItemId, Variant, Horizon, count(*) AS Days,
+    avg(CASE WHEN Actual <= Q0 THEN 1.0 ELSE 0.0 END) AS Coverage0,
+    avg(CASE WHEN Actual <= Q1 THEN 1.0 ELSE 0.0 END) AS Coverage1,
+    avg(CASE WHEN Actual <= Q2 THEN 1.0 ELSE 0.0 END) AS Coverage2,
+    sum(Mean - Actual) / nullif(sum(Actual), 0) AS Bias
+  FROM scored s JOIN pairs p ON p.ItemLocationId = s.ItemLocationId GROUP BY 1, 2, 3)
+SELECT ItemId, Variant, Horizon, Days, {_six('Coverage0', 'Coverage1', 'Coverage2', 'Bias')}
+FROM cal""",
+    "check_forecasts": f"""{_EVENT_SERIES}{_BACKTEST},
+o AS (SELECT ItemLocationId, Variant, Origin, count(*) AS n, max(Mean IS NULL) AS short
+      FROM fc GROUP BY 1, 2, 3)
+{_journal([
+    _check("'forecast_no_leakage'", "error", "count(*) FILTER (LastUsed >= Origin)")
+    + " FROM fc",
+    _check("'forecast_not_negative'", "error",
+           "count(*) FILTER (least(Mean, Median, MedianDow, Q0, Q1, Q2) < 0)") + " FROM fc",
+    _check("'forecast_quantiles_monotone'", "error", "count(*) FILTER (Q0 > Q1 OR Q1 > Q2)")
+    + " FROM fc",
+    _check("'forecast_full_horizon'", "error", "count(*) FILTER (n <> 7)") + " FROM o",
+    _check("'forecast_short_history'", "warning", "count(*) FILTER (short)") + " FROM o"])}""",
+    "weekday_strength": f"""{_EVENT_SERIES}{_ETA}
+SELECT ItemLocationId, Variant, Points, {_six('WeekdayShare')} FROM e""",
+    "lag_measures": f"""{_EVENT_SERIES}{_LAGS}
+SELECT ItemLocationId, Variant, Pairs1, Pairs7,
+  {_six('Acf1', 'Acf7', 'VarianceRatio7', 'NaiveWape', 'SeasonalWape')} FROM lags""",
+    "permutation_entropy": f"""{_EVENT_SERIES}{_PATTERNS}
+SELECT ItemLocationId, Variant, Windows, Patterns, {_six('Entropy', 'Complexity')} FROM pec""",
+    "rank_correlation": f"""{_RANK_ROWS},
+k AS (SELECT Branch, ZeroShare AS x, DeficitDayShare AS y,
+        CAST(SalesQtyTotal AS DECIMAL(18,4)) AS w FROM r
+      WHERE ZeroShare IS NOT NULL AND DeficitDayShare IS NOT NULL AND SalesQtyTotal > 0),
+m AS (
+  SELECT Branch, CAST(w AS DOUBLE) AS w,
+    CAST(sum(w) OVER (PARTITION BY Branch ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING
+                      AND CURRENT ROW) AS DOUBLE)
+      - CAST(sum(w) OVER (PARTITION BY Branch, x) AS DOUBLE) / 2 AS rx,
+    CAST(sum(w) OVER (PARTITION BY Branch ORDER BY y RANGE BETWEEN UNBOUNDED PRECEDING
+                      AND CURRENT ROW) AS DOUBLE)
+      - CAST(sum(w) OVER (PARTITION BY Branch, y) AS DOUBLE) / 2 AS ry FROM k),
+c AS (
+  SELECT Branch, count(*) AS "Rows",
+    (sum(w) * sum(w * rx * ry) - sum(w * rx) * sum(w * ry))
+    / sqrt((sum(w) * sum(w * rx * rx) - sum(w * rx) * sum(w * rx))
+           * (sum(w) * sum(w * ry * ry) - sum(w * ry) * sum(w * ry))) AS Correlation
+  FROM m GROUP BY 1)
+SELECT Branch, "Rows", {_six('Correlation')} FROM c""",
+    "volume_deciles": f"""{_RANK_ROWS},
+k AS (SELECT *, CAST(SalesQtyTotal AS DECIMAL(18,4)) AS w,
+        coalesce(DeficitSalesShare * VariantQty, 0) AS DeficitQty FROM r
+      WHERE ZeroShare IS NOT NULL AND SalesQtyTotal > 0),
+d AS (
+  SELECT *, CAST(ceil(
+      CAST(sum(w) OVER (PARTITION BY Branch, Quadrant ORDER BY ZeroShare, ItemLocationId
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) * 10
+      / CAST(sum(w) OVER (PARTITION BY Branch, Quadrant) AS DOUBLE)) AS INTEGER) AS Decile
+  FROM k),
+s AS (
+  SELECT Branch, Quadrant, Decile, count(*) AS Series, min(ZeroShare) AS LowMeasure,
+    max(ZeroShare) AS HighMeasure, sum(VariantQty) AS Actual, sum(DeficitQty) AS AbsError,
+    sum(DeficitQty) / nullif(sum(VariantQty), 0) AS Wape FROM d GROUP BY 1, 2, 3)
+SELECT Branch, Quadrant, Decile, Series,
+  {_six('LowMeasure', 'HighMeasure', 'Actual', 'AbsError', 'Wape')} FROM s""",
+    "measure_correlations": f"""{_RANK_ROWS},
+m AS (SELECT Branch, {', '.join(f'round({m}, 9) AS {m}' for m in _MEASURES)} FROM r),
+p AS (SELECT Branch, {_percent_ranks(_MEASURES)} FROM m),
+c AS ({' UNION ALL '.join(
+    f"SELECT Branch, '{a}' AS MeasureA, '{b}' AS MeasureB, corr(r_{a}, r_{b}) AS Correlation "
+    "FROM p GROUP BY 1" for i, a in enumerate(_MEASURES) for b in _MEASURES[i + 1:])})
+SELECT Branch, MeasureA, MeasureB, {_six('Correlation')} FROM c""",
+    "predictability_classes": f"""WITH {LINEITEM}{PROFILE}{_CLASSES}
+SELECT Branch, Class, Pairs, round(Revenue, 2) AS Revenue, {_six('RevenueShare')} FROM shares""",
+    "check_classes": f"""WITH {LINEITEM}{PROFILE}{_CLASSES}
+{_journal([
+    _check("'class_revenue_share'", "error",
+           "count(*) FILTER (Class <> 'n/a' AND RevenueShare < 0.03)") + " FROM shares",
+    _check("'class_assigned'", "error",
+           "count(*) FILTER (VariantDays >= 4 AND Class = 'n/a')") + " FROM cls"])}""",
+    "stratified_sample_cells": f"""{_RANK_ROWS}
+SELECT Quadrant, Branch, count(*) AS Series, least(count(*), 25) AS Sampled FROM r
+GROUP BY 1, 2""",
+}

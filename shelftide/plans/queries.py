@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -9,12 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelftide.checks.contract import (
     ContractRules, contract_checks, daily_volume, volume_outliers)
+from shelftide.checks.forecast_checks import forecast_checks
 from shelftide.checks.journal import assemble
 from shelftide.checks.profile_checks import profile_checks
 from shelftide.checks.series_checks import (
     array_checks, branch_checks, branch_totals, series_checks, source_totals)
 from shelftide.functions import labels
-from shelftide.operators import abc_compare, fingerprint, frontier, series
+from shelftide.operators import (
+    abc_compare, baselines, fingerprint, frontier, measures, ranking, series)
+from shelftide.operators.baselines import Backtest
 from shelftide.operators.hierarchy import hierarchy_paths
 from shelftide.operators.pivot import Key, Measure, manifest, pivot
 from shelftide.params import EVENTS_PARAMS, LINEITEM_PARAMS
@@ -348,3 +352,110 @@ def abc_quarter_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def abc_quarter_association(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = materialise(_quarters(spark, sf_dir), "quarter-classes")
     return rounded(abc_compare.cramers_v(abc_compare.transitions(classes, "AbcQtyStore")))
+
+
+# The event period has 30 days, so history and window are short.
+EVENTS_TEST = Backtest(window_start=dt.date(2024, 1, 18), window_days=10, history_days=14,
+                       min_history=4)
+
+
+def _event_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baselines.forecasts(events(spark, sf_dir).arrays, EVENTS_TEST)
+
+
+@query
+def baseline_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_event_forecasts(spark, sf_dir))
+
+
+@query
+def baseline_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(baselines.forecast_errors(_event_forecasts(spark, sf_dir), EVENTS_TEST))
+
+
+@query
+def baseline_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = events(spark, sf_dir)
+    attributes = layers.pairs.select("ItemLocationId", "ItemId")
+    return rounded(baselines.calibration(
+        baselines.forecasts(layers.arrays, EVENTS_TEST), attributes, ["ItemId"], EVENTS_TEST))
+
+
+@query
+def check_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _journal(forecast_checks(_event_forecasts(spark, sf_dir), EVENTS_TEST))
+
+
+@query
+def weekday_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(measures.weekday_strength(events(spark, sf_dir).days))
+
+
+@query
+def lag_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(measures.lag_measures(events(spark, sf_dir).days))
+
+
+@query
+def permutation_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(measures.permutation_entropy(events(spark, sf_dir).days))
+
+
+def _demand_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`sales` rows of the profile, written once: ranking reads them several times."""
+    return materialise(lineitem(spark, sf_dir).profile_pairs.where(
+        F.col("Variant") == labels.SALES), "ranked-profile")
+
+
+@query
+def rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ranking.weighted_rank_correlation(
+        _demand_profile(spark, sf_dir), "ZeroShare", "DeficitDayShare", "SalesQtyTotal"))
+
+
+@query
+def volume_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = _demand_profile(spark, sf_dir).withColumn(
+        "DeficitQty", F.coalesce(F.col("DeficitSalesShare") * F.col("VariantQty"), F.lit(0.0)))
+    return rounded(ranking.volume_deciles(profile, "ZeroShare", "SalesQtyTotal", "DeficitQty",
+                                          "VariantQty"))
+
+
+@query
+def measure_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["Adi", "Cv2", "DeficitDayShare"]
+    # Equal values must be equal to the last bit to share a rank.
+    profile = _demand_profile(spark, sf_dir).withColumns(
+        {name: F.round(name, 9) for name in names})
+    return rounded(ranking.measure_correlations(profile, names))
+
+
+CLASS_LADDER = (("no structure", "ZeroShare >= 0.6"), ("level", "Quadrant = 'smooth'"),
+                ("jumpy", "Cv2 >= 0.49"))
+CLASS_MIN_DAYS = 4
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.assign_classes(lineitem(spark, sf_dir).profile_pairs, CLASS_LADDER, "mixed",
+                                  CLASS_MIN_DAYS)
+
+
+@query
+def predictability_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ranking.class_shares(_classified(spark, sf_dir)), MONEY)
+
+
+@query
+def check_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _journal(ranking.class_checks(_classified(spark, sf_dir), CLASS_MIN_DAYS))
+
+
+@query
+def stratified_sample_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled series per cell against the whole cell; the choice itself hashes the ids."""
+    profile = lineitem(spark, sf_dir).profile_pairs
+    whole = profile.where(F.col("Variant") == labels.SALES).groupBy("Quadrant", "Branch").agg(
+        F.count(F.lit(1)).alias("Series"))
+    sample = ranking.stratified_sample(profile, 25, 20260919).groupBy(
+        "Quadrant", "Branch").agg(F.count(F.lit(1)).alias("Sampled"))
+    return whole.join(sample, ["Quadrant", "Branch"], "left")
