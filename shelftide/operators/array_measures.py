@@ -1,0 +1,199 @@
+"""Predictability measures that need a pass over the ordered values of a series.
+
+The array layer already holds a series per row, so the rows go to numpy where they are:
+Arrow batches, no shuffle, no grouping.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+OK, SHORT, GAPS, CONSTANT = "ok", "short", "gaps", "constant"
+
+
+@dataclass(frozen=True)
+class Settings:
+    min_length: int = 56
+    min_length_sampen: int = 112
+    min_length_dfa: int = 182
+    dfa_windows: tuple[int, ...] = (7, 14, 28, 56, 91)
+    sampen_m: int = 2
+    sampen_r: float = 0.2
+    bins: int = 10
+    pacf_lags: int = 28
+    shuffles: int = 20
+    seed: int = 20260919
+
+
+def spectral_entropy(x: np.ndarray) -> float:
+    """Entropy of the periodogram without the mean, 1 for white noise."""
+    power = np.abs(np.fft.rfft(x - x.mean())[1:]) ** 2
+    share = power / power.sum()
+    share = share[share > 0]
+    return float(-(share * np.log(share)).sum() / math.log(len(power)))
+
+
+def dfa_slope(x: np.ndarray, windows: tuple[int, ...]) -> float:
+    """Slope of log fluctuation on log window of the linearly detrended walk."""
+    walk = np.cumsum(x - x.mean())
+    sizes, spreads = [], []
+    for size in windows:
+        count = len(walk) // size
+        if count < 1:
+            continue
+        parts = walk[:count * size].reshape(count, size).T
+        t = np.arange(size) - (size - 1) / 2
+        slopes = t @ parts / (t @ t)
+        rest = parts - parts.mean(axis=0) - np.outer(t, slopes)
+        spread = math.sqrt((rest ** 2).mean())
+        if spread > 0:
+            sizes.append(math.log(size))
+            spreads.append(math.log(spread))
+    return float(np.polyfit(sizes, spreads, 1)[0]) if len(sizes) > 1 else math.nan
+
+
+def sample_entropy(x: np.ndarray, m: int, r_share: float) -> float:
+    """-ln(A / B) of template matches; the radius follows the spread of non-zero values, and
+    a template with a gap is left out."""
+    nonzero = x[(x != 0) & ~np.isnan(x)]
+    radius = r_share * nonzero.std()
+    windows = np.lib.stride_tricks.sliding_window_view(x, m + 1)
+    # The same starts for both lengths, so A counts a subset of B.
+    whole = windows[~np.isnan(windows).any(axis=1)]
+    near = np.ones((len(whole), len(whole)), dtype=bool)
+    for column in range(m):
+        near &= np.abs(whole[:, column, None] - whole[None, :, column]) <= radius
+    shorter = (near.sum() - len(whole)) / 2
+    near &= np.abs(whole[:, m, None] - whole[None, :, m]) <= radius
+    longer = (near.sum() - len(whole)) / 2
+    return float(-math.log(longer / shorter)) if longer > 0 and shorter > 0 else math.nan
+
+
+def autocorrelation(x: np.ndarray, lags: int) -> np.ndarray:
+    """Correlation of the pairs observed at both ends, for lags 0..lags."""
+    out = [1.0]
+    for lag in range(1, lags + 1):
+        a, b = x[lag:], x[:-lag]
+        both = ~np.isnan(a) & ~np.isnan(b)
+        if both.sum() < 3 or a[both].std() == 0 or b[both].std() == 0:
+            out.append(0.0)
+        else:
+            out.append(float(np.corrcoef(a[both], b[both])[0, 1]))
+    return np.array(out)
+
+
+def partial_order(x: np.ndarray, lags: int) -> float:
+    """Largest lag whose partial autocorrelation (Durbin-Levinson) exceeds 1.96 / sqrt(n)."""
+    rho = autocorrelation(x, lags)
+    bound = 1.96 / math.sqrt(np.count_nonzero(~np.isnan(x)))
+    order, phi, rest = 0, np.zeros(0), 1.0
+    for k in range(1, lags + 1):
+        last = (rho[k] - phi @ rho[k - 1:0:-1]) / rest if rest > 1e-9 else 0.0
+        phi = np.append(phi - last * phi[::-1], last)
+        rest *= 1 - last * last
+        if abs(last) > bound:
+            order = k
+    return float(order)
+
+
+def predictability_bound(x: np.ndarray, bins: int) -> float:
+    """Upper bound of the chance to name the next state: the root of Fano's equation for the
+    entropy rate of a first-order chain. Zero is a state of its own."""
+    seen = x[~np.isnan(x)]
+    positive = seen[seen > 0]
+    edges = np.unique(np.quantile(positive, np.linspace(0, 1, bins)[1:-1])) if len(positive) else []
+    state = np.where(np.isnan(x), -1, np.where(x <= 0, 0, 1 + np.searchsorted(edges, x, "right")))
+    n = len(edges) + 2
+    a, b = state[:-1], state[1:]
+    both = (a >= 0) & (b >= 0)
+    moves = np.zeros((n, n))
+    np.add.at(moves, (a[both], b[both]), 1)
+    total = moves.sum()
+    if total == 0:
+        return math.nan
+    rows = moves.sum(axis=1, keepdims=True)
+    share = np.divide(moves, rows, out=np.zeros_like(moves), where=rows > 0)
+    rate = float(-(moves[moves > 0] / total * np.log2(share[moves > 0])).sum())
+    low, high = 1 / n, 1 - 1e-12
+    for _ in range(60):
+        mid = (low + high) / 2
+        value = (-mid * math.log2(mid) - (1 - mid) * math.log2(1 - mid)
+                 + (1 - mid) * math.log2(n - 1))
+        low, high = (mid, high) if value > rate else (low, mid)
+    return (low + high) / 2
+
+
+def shuffle_gain(x: np.ndarray, lag: int, shuffles: int, seed: int) -> float:
+    """1 - error of the lag forecast over its median error on shuffled values; gaps stay."""
+    def error(v: np.ndarray) -> float:
+        a, b = v[lag:], v[:-lag]
+        both = ~np.isnan(a) & ~np.isnan(b)
+        level = a[both].sum()
+        return np.abs(a[both] - b[both]).sum() / level if level > 0 else math.nan
+
+    rng = np.random.default_rng(seed)
+    seen = ~np.isnan(x)
+    errors = []
+    for _ in range(shuffles):
+        mixed = x.copy()
+        mixed[seen] = rng.permutation(x[seen])
+        errors.append(error(mixed))
+    usual = np.median(errors)
+    return float(1 - error(x) / usual) if usual > 0 else math.nan
+
+
+def _measure(x: np.ndarray, needs_unbroken: bool, min_length: int,
+             compute: Callable[[np.ndarray], float]) -> tuple[float | None, str]:
+    seen = x[~np.isnan(x)]
+    if len(seen) < min_length:
+        return None, SHORT
+    if needs_unbroken and len(seen) < len(x):
+        return None, GAPS
+    if seen.min() == seen.max():
+        return None, CONSTANT
+    value = compute(x)
+    return (None, CONSTANT) if math.isnan(value) else (value, OK)
+
+
+def _plan(s: Settings, seed: int):
+    return {
+        "SpectralEntropy": (True, s.min_length, spectral_entropy),
+        "DfaSlope": (True, s.min_length_dfa, lambda x: dfa_slope(x, s.dfa_windows)),
+        "SampleEntropy": (False, s.min_length_sampen,
+                          lambda x: sample_entropy(x, s.sampen_m, s.sampen_r)),
+        "PacfOrder": (False, s.min_length, lambda x: partial_order(x, s.pacf_lags)),
+        "PredictabilityBound": (False, s.min_length, lambda x: predictability_bound(x, s.bins)),
+        "SeasonalGain": (False, s.min_length, lambda x: shuffle_gain(x, 7, s.shuffles, seed)),
+        "NaiveGain": (False, s.min_length, lambda x: shuffle_gain(x, 1, s.shuffles, seed)),
+    }
+
+
+MEASURES = tuple(_plan(Settings(), 0))
+
+
+def array_measures(array_layer: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Value and status (ok, short, gaps, constant) of every measure per series."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = {"ItemLocationId": batch["ItemLocationId"], "Variant": batch["Variant"]}
+            values = [np.asarray(v, dtype="float64") for v in batch["Values"]]
+            results = [{
+                name: _measure(x, *step)
+                for name, step in _plan(settings, settings.seed + int(pair)).items()}
+                for x, pair in zip(values, batch["ItemLocationId"])]
+            for name in MEASURES:
+                out[name] = pd.Series([r[name][0] for r in results], dtype="float64",
+                                      index=batch.index)
+                out[f"{name}Status"] = pd.Series([r[name][1] for r in results], dtype="object",
+                                                 index=batch.index)
+            yield pd.DataFrame(out)
+
+    schema = "ItemLocationId bigint, Variant string, " + ", ".join(
+        f"{m} double, {m}Status string" for m in MEASURES)
+    return array_layer.select("ItemLocationId", "Variant", "Values").mapInPandas(run, schema)

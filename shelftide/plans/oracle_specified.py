@@ -372,3 +372,216 @@ SELECT Branch, Class, Pairs, round(Revenue, 2) AS Revenue, {_six('RevenueShare')
 SELECT Quadrant, Branch, count(*) AS Series, least(count(*), 25) AS Sampled FROM r
 GROUP BY 1, 2""",
 }
+
+_CORR = ("CASE WHEN sqrt(var_samp({x}) * var_samp({y})) > 1e-9 "
+         "THEN covar_samp({x}, {y}) / sqrt(var_samp({x}) * var_samp({y})) END")
+
+_WEEK = "CAST(floor(datediff('day', DATE '1970-01-05', TransDate) / 7) AS INTEGER)"
+
+_TREND = f""",
+wk AS (SELECT ItemLocationId, {_WEEK} AS w, sum(ValueSales) AS q FROM days
+       WHERE ValueSales IS NOT NULL GROUP BY 1, 2),
+nw AS (SELECT ItemLocationId, count(*) AS Weeks FROM wk GROUP BY 1 HAVING count(*) >= 3),
+tr AS (
+  SELECT a.ItemLocationId, max(Weeks) AS Weeks,
+    sum(sign(b.q - a.q)) / nullif(sqrt(CAST(count(*) AS DOUBLE)
+      * count(*) FILTER (b.q <> a.q)), 0) AS Tau,
+    median((b.q - a.q) / (b.w - a.w)) AS SenSlope
+  FROM wk a JOIN wk b ON b.ItemLocationId = a.ItemLocationId AND b.w > a.w
+  JOIN nw n ON n.ItemLocationId = a.ItemLocationId GROUP BY 1)"""
+
+_RAMP = """,
+born AS (SELECT ItemLocationId, min(TransDate) AS b FROM days WHERE InLife = 1 GROUP BY 1),
+wk AS (SELECT d.ItemLocationId, SalesQty,
+         CAST(floor(datediff('day', b, TransDate) / 7) AS INTEGER) AS w
+       FROM days d JOIN born ON born.ItemLocationId = d.ItemLocationId
+       WHERE IsEmpty = 0 AND InLife = 1),
+lived AS (SELECT ItemLocationId FROM wk GROUP BY 1 HAVING max(w) >= 15),
+sums AS (SELECT l.ItemLocationId, g.w + 1 AS w,
+           coalesce(sum(SalesQty), 0) AS q
+         FROM lived l CROSS JOIN generate_series(0, 15) g(w)
+         LEFT JOIN wk ON wk.ItemLocationId = l.ItemLocationId AND wk.w = g.w GROUP BY 1, 2),
+mv AS (SELECT ItemLocationId, w, avg(q) OVER (PARTITION BY ItemLocationId ORDER BY w
+         ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS m,
+         avg(q) FILTER (w >= 9) OVER (PARTITION BY ItemLocationId) AS lv FROM sums),
+st AS (SELECT ItemLocationId, max(lv) AS Level,
+         coalesce(max(w) FILTER (w >= 4 AND abs(m - lv) > 0.25 * lv), 3) + 1 AS s
+       FROM mv GROUP BY 1)"""
+
+_OTHERS = """,
+rest AS (
+  SELECT *, CASE WHEN count(*) OVER (PARTITION BY TransDate, LocationId) > 1 THEN
+      sum(SalesAmount) OVER (PARTITION BY TransDate, LocationId) - SalesAmount END AS sr,
+    CASE WHEN count(*) OVER g > 1 THEN sum(SalesQty) OVER g - SalesQty END AS gr
+  FROM days WINDOW g AS (PARTITION BY TransDate, LocationId, ItemIdLevel2, Branch)),
+known AS (SELECT * FROM rest WHERE ValueSales IS NOT NULL AND sr IS NOT NULL
+          AND gr IS NOT NULL)"""
+
+_WINDOW = """CASE WHEN TransDate BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' THEN 'base'
+  WHEN TransDate BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' THEN 'recent' END"""
+
+_COUNTED = "count(*) FILTER (IsMatrix = 1 AND InLife = 1"
+
+
+def _five(*columns: str) -> str:
+    return ", ".join(f"round({c} + 1e-9, 5) AS {c}" for c in columns)
+
+
+SPECIFIED |= {
+    "weekday_index": f"""WITH {EVENTS},
+w AS (SELECT ItemLocationId, Branch, LocationFormatTT, dayofweek(TransDate) + 1 AS Weekday,
+        count(*) AS n, sum(ValueSales) AS s FROM days WHERE ValueSales IS NOT NULL
+      GROUP BY 1, 2, 3, 4),
+x AS (SELECT *, n * sum(s) OVER (PARTITION BY ItemLocationId)
+        / sum(n) OVER (PARTITION BY ItemLocationId) AS e FROM w),
+y AS (SELECT Branch, LocationFormatTT, Weekday, sum(n) AS Days, sum(s) AS Sales,
+        sum(e) AS Expected, sum(s) / nullif(sum(e), 0) AS WeekdayIndex FROM x GROUP BY 1, 2, 3)
+SELECT Branch, LocationFormatTT, Weekday, Days, {_six('Sales', 'Expected', 'WeekdayIndex')}
+FROM y""",
+    "special_day_effect": f"""WITH {EVENTS},
+k AS (SELECT *, CASE TransDate WHEN DATE '2024-01-01' THEN 'holiday'
+        WHEN DATE '2024-01-15' THEN 'mid month' END AS DayType
+      FROM days WHERE ValueSales IS NOT NULL),
+u AS (SELECT a.Branch, a.DayType, a.ItemLocationId, a.TransDate, max(a.ValueSales) AS v,
+        avg(b.ValueSales) AS u
+      FROM k a JOIN k b ON b.ItemLocationId = a.ItemLocationId AND b.DayType IS NULL
+        AND datediff('day', a.TransDate, b.TransDate) % 7 = 0
+        AND abs(datediff('day', a.TransDate, b.TransDate)) <= 28
+      WHERE a.DayType IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING avg(b.ValueSales) > 0),
+e AS (SELECT Branch, DayType, count(*) AS Days, sum(v) AS Sales, sum(u) AS Usual,
+        sum(v) / nullif(sum(u), 0) AS Effect FROM u GROUP BY 1, 2)
+SELECT Branch, DayType, Days, {_six('Sales', 'Usual', 'Effect')} FROM e""",
+    "year_over_year": f"""WITH {LINEITEM},
+m AS (SELECT Branch, year(TransDate) AS Year, month(TransDate) AS Month, count(*) AS Days,
+        avg(ValueSales) AS l, avg(CASE WHEN ValueSales = 0 THEN 1.0 ELSE 0.0 END) AS z
+      FROM days WHERE ValueSales IS NOT NULL AND Cohort = 'before' GROUP BY 1, 2, 3),
+y AS (SELECT a.Branch, a.Year, a.Month, a.Days, a.l / nullif(b.l, 0) AS LevelRatio,
+        a.z - b.z AS ZeroShareChange
+      FROM m a JOIN m b ON b.Branch = a.Branch AND b.Month = a.Month AND b.Year = a.Year - 1)
+SELECT Branch, Year, Month, Days, {_six('LevelRatio', 'ZeroShareChange')} FROM y""",
+    "significant_variance_ratio": f"""{_EVENT_SERIES}{_LAGS},
+z AS (SELECT ItemLocationId, Variant,
+        (VarianceRatio7 - 1) / sqrt(156.0 / (21 * Pairs1)) AS z
+      FROM lags WHERE Variant = 'sales' AND VarianceRatio7 IS NOT NULL),
+t AS (SELECT ItemLocationId, Variant, round(least(1.0, 2 * exp(-z * z / 2)), 9) AS P FROM z),
+r AS (SELECT *, count(*) OVER (ORDER BY P RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        AS rank, count(*) OVER () AS m FROM t),
+c AS (SELECT max(P) FILTER (P <= 0.2 * rank / m) AS cut FROM r)
+SELECT ItemLocationId, Variant, {_six('P')},
+  CASE WHEN P <= cut THEN 1 ELSE 0 END AS Significant FROM t, c""",
+    "matrix_runs": f"""WITH {EVENTS},
+a AS (SELECT ItemLocationId, TransDate, CASE WHEN TransDate - 1 = lag(TransDate)
+        OVER (PARTITION BY ItemLocationId ORDER BY TransDate) THEN 0 ELSE 1 END AS s
+      FROM days WHERE IsMatrix = 1 AND InLife = 1),
+b AS (SELECT *, sum(s) OVER (PARTITION BY ItemLocationId ORDER BY TransDate) AS r FROM a),
+c AS (SELECT ItemLocationId, r, count(*) AS n FROM b GROUP BY 1, 2)
+SELECT ItemLocationId, count(*) AS Runs, sum(n) AS MatrixDays, max(n) AS LongestRun
+FROM c GROUP BY 1""",
+    "ramp_up": f"""WITH {LINEITEM}{_RAMP}
+SELECT ItemLocationId, {_six('Level')},
+  CASE WHEN Level > 0 AND s <= 16 THEN s END AS StableWeek FROM st""",
+    "weekly_trend": f"""WITH {LINEITEM}{_TREND}
+SELECT ItemLocationId, Weeks, {_six('Tau', 'SenSlope')} FROM tr""",
+    "known_shift": f"""WITH {LINEITEM},
+w AS (SELECT ItemLocationId, Branch, LocationNetwork, dayofweek(TransDate) AS d,
+        count(*) FILTER (TransDate >= DATE '1999-07-01') AS n1,
+        sum(ValueSales) FILTER (TransDate >= DATE '1999-07-01') AS s1,
+        count(*) FILTER (TransDate < DATE '1999-07-01') AS n0,
+        sum(ValueSales) FILTER (TransDate < DATE '1999-07-01') AS s0
+      FROM days WHERE ValueSales IS NOT NULL GROUP BY 1, 2, 3, 4),
+k AS (SELECT Branch, LocationNetwork, count(DISTINCT ItemLocationId) AS Pairs,
+        sum(n1) AS DaysAfter, sum(s1) AS SalesAfter, sum(s0 / n0 * n1) AS ExpectedAfter,
+        sum(s1) / nullif(sum(s0 / n0 * n1), 0) AS Shift
+      FROM w WHERE n0 > 0 AND n1 > 0 GROUP BY 1, 2)
+SELECT Branch, LocationNetwork, Pairs, DaysAfter,
+  {_six('SalesAfter', 'ExpectedAfter', 'Shift')} FROM k""",
+    "deficit_frequency": f"""WITH {LINEITEM}{BASE},
+f AS (SELECT b.Branch, b.AbcRevenueStore AS Class, dayofweek(d.TransDate) + 1 AS Weekday,
+        count(*) AS MatrixDays, sum(d.IsDeficit) AS DeficitDays,
+        sum(d.SalesQty * d.IsDeficit) / nullif(sum(d.SalesQty), 0) AS DeficitSalesShare,
+        sum(d.IsDeficit) / count(*) AS DeficitShare
+      FROM days d JOIN (SELECT * FROM base WHERE Variant = 'sales') b
+        ON b.ItemLocationId = d.ItemLocationId
+      WHERE d.IsMatrix = 1 AND d.InLife = 1 GROUP BY 1, 2, 3)
+SELECT Branch, Class, Weekday, MatrixDays, DeficitDays,
+  {_six('DeficitSalesShare', 'DeficitShare')} FROM f""",
+    "weekly_profile_similarity": f"""WITH {EVENTS},
+p AS (SELECT ItemLocationId, ItemId, dayofweek(TransDate) AS d, sum(ValueSales) AS s,
+        count(*) AS n FROM days WHERE ValueSales IS NOT NULL GROUP BY 1, 2, 3),
+i AS (SELECT ItemId, d, sum(s) / sum(n) AS im FROM p GROUP BY 1, 2),
+c AS (SELECT ItemLocationId, count(*) AS Weekdays,
+        sum(s / n * im) / nullif(sqrt(sum(s / n * s / n) * sum(im * im)), 0) AS Cosine
+      FROM p JOIN i ON i.ItemId = p.ItemId AND i.d = p.d GROUP BY 1)
+SELECT ItemLocationId, Weekdays, {_six('Cosine')} FROM c""",
+    "other_stores_correlation": f"""WITH {EVENTS},
+o AS (SELECT ItemLocationId, ValueSales AS v,
+        CASE WHEN count(*) OVER g > 1 THEN sum(ValueSales) OVER g - ValueSales END AS r
+      FROM days WHERE ValueSales IS NOT NULL WINDOW g AS (PARTITION BY TransDate, ItemId)),
+c AS (SELECT ItemLocationId, count(r) AS Days,
+        {_CORR.format(x='CASE WHEN r IS NOT NULL THEN v END', y='r')} AS Correlation
+      FROM o GROUP BY 1)
+SELECT ItemLocationId, Days, {_six('Correlation')} FROM c""",
+    "common_factors": f"""WITH {EVENTS}{_OTHERS},
+c AS (SELECT ItemLocationId, count(*) AS Days, {_CORR.format(x='ValueSales', y='sr')} AS a,
+        {_CORR.format(x='ValueSales', y='gr')} AS b, {_CORR.format(x='sr', y='gr')} AS ab
+      FROM known GROUP BY 1),
+r AS (SELECT ItemLocationId, Days, a AS StoreCorr, b AS GroupCorr, ab AS FactorCorr,
+        CASE WHEN 1 - ab * ab > 1e-9 THEN (a * a + b * b - 2 * a * b * ab) / (1 - ab * ab) END
+          AS R2 FROM c)
+SELECT ItemLocationId, Days, {_five('StoreCorr', 'GroupCorr', 'FactorCorr', 'R2')} FROM r""",
+    "substitution": f"""WITH {EVENTS},
+n AS (SELECT *, CASE WHEN count(*) OVER g > 1 THEN sum(IsDeficit) OVER g - IsDeficit END AS nd
+      FROM days WHERE IsMatrix = 1 AND InLife = 1
+      WINDOW g AS (PARTITION BY TransDate, LocationId, ItemIdLevel3, Branch)),
+w AS (SELECT ItemLocationId, Branch, dayofweek(TransDate) AS d,
+        count(*) FILTER (nd > 0) AS n1, sum(ValueDemand) FILTER (nd > 0) AS s1,
+        count(*) FILTER (coalesce(nd, 0) <= 0) AS n0,
+        sum(ValueDemand) FILTER (coalesce(nd, 0) <= 0) AS s0
+      FROM n WHERE ValueDemand IS NOT NULL GROUP BY 1, 2, 3),
+e AS (SELECT Branch, sum(n1) AS Days, sum(s1) AS Sales, sum(s0 / n0 * n1) AS Expected,
+        sum(s1) / nullif(sum(s0 / n0 * n1), 0) AS Effect
+      FROM w WHERE n0 > 0 AND n1 > 0 GROUP BY 1)
+SELECT Branch, Days, {_six('Sales', 'Expected', 'Effect')} FROM e""",
+    "price_elasticity": f"""WITH {LINEITEM},
+k AS (SELECT ItemLocationId, {_WEEK} AS w, sum(SalesQty) AS q, sum(SalesAmount) AS a
+      FROM days GROUP BY 1, 2 HAVING sum(SalesQty) > 0 AND sum(SalesAmount) > 0),
+p AS (SELECT ItemLocationId, ln(a / q) AS p, ln(q) AS q,
+        CASE WHEN abs(a / q / lag(a / q) OVER o - 1) > 0.05
+              AND abs(lead(a / q) OVER o / (a / q) - 1) <= 0.05 THEN 1 ELSE 0 END AS s
+      FROM k WINDOW o AS (PARTITION BY ItemLocationId ORDER BY w)),
+e AS (SELECT ItemLocationId, count(*) AS Weeks, sum(s) AS PriceSteps,
+        CASE WHEN var_samp(p) > 1e-9 THEN covar_samp(q, p) / var_samp(p) END AS Elasticity
+      FROM p GROUP BY 1)
+SELECT ItemLocationId, Weeks, PriceSteps, {_six('Elasticity')} FROM e""",
+    "drift_weekday_level": f"""WITH {LINEITEM},
+d AS (SELECT Branch, TransDate, sum(SalesQty) AS Qty FROM days GROUP BY 1, 2),
+u AS (SELECT *, avg(Qty) OVER (PARTITION BY Branch, dayofweek(TransDate) ORDER BY TransDate
+        RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING) AS Usual FROM d),
+l AS (SELECT *, Qty / nullif(Usual, 0) AS Level FROM u)
+SELECT Branch, TransDate, {_six('Qty', 'Usual', 'Level')} FROM l""",
+    "drift_stability": f"""WITH {LINEITEM},
+b AS (SELECT Branch, LocationNetwork, {_WINDOW} AS p,
+        (CASE WHEN SalesQty >= 1 THEN 1 ELSE 0 END) + (CASE WHEN SalesQty >= 5 THEN 1 ELSE 0 END)
+        + (CASE WHEN SalesQty >= 10 THEN 1 ELSE 0 END)
+        + (CASE WHEN SalesQty >= 20 THEN 1 ELSE 0 END)
+        + (CASE WHEN SalesQty >= 30 THEN 1 ELSE 0 END)
+        + (CASE WHEN SalesQty >= 40 THEN 1 ELSE 0 END)
+        + (CASE WHEN SalesQty >= 50 THEN 1 ELSE 0 END) AS bin FROM days),
+c AS (SELECT Branch, LocationNetwork, bin, count(*) FILTER (p = 'base') AS nb,
+        count(*) FILTER (p = 'recent') AS nr FROM b WHERE p IS NOT NULL GROUP BY 1, 2, 3),
+s AS (SELECT *, greatest(nb / sum(nb) OVER g, 1e-4) AS sb, greatest(nr / sum(nr) OVER g, 1e-4)
+        AS sr FROM c WINDOW g AS (PARTITION BY Branch, LocationNetwork)),
+t AS (SELECT Branch, LocationNetwork, sum(nb) AS BaseRows, sum(nr) AS RecentRows,
+        sum((sr - sb) * ln(sr / sb)) AS Psi FROM s GROUP BY 1, 2)
+SELECT Branch, LocationNetwork, BaseRows, RecentRows, {_six('Psi')} FROM t""",
+    "drift_shares": f"""WITH {LINEITEM},
+b AS (SELECT *, {_WINDOW} AS Period FROM days),
+s AS (SELECT Branch, Scope, Period, count(DISTINCT ItemLocationId) AS Pairs,
+        {_COUNTED} AND SalesQty = 0) / nullif({_COUNTED}), 0) AS ZeroShare,
+        {_COUNTED} AND IsDeficit = 1) / nullif({_COUNTED}), 0) AS DeficitShare,
+        coalesce(sum(SalesQty) FILTER (IsMatrix = 0), 0) / nullif(sum(SalesQty), 0)
+          AS OutMatrixShare, sum(SalesAmount) / nullif(sum(SalesQty), 0) AS Price
+      FROM b WHERE Period IS NOT NULL GROUP BY 1, 2, 3)
+SELECT Branch, Scope, Period, Pairs,
+  {_six('ZeroShare', 'DeficitShare', 'OutMatrixShare', 'Price')} FROM s""",
+}

@@ -17,7 +17,8 @@ from shelftide.checks.series_checks import (
     array_checks, branch_checks, branch_totals, series_checks, source_totals)
 from shelftide.functions import labels
 from shelftide.operators import (
-    abc_compare, baselines, fingerprint, frontier, measures, ranking, series)
+    abc_compare, array_measures, baselines, calendar, drift, fingerprint, frontier, lifecycle,
+    links, measures, ranking, series, trend)
 from shelftide.operators.baselines import Backtest
 from shelftide.operators.hierarchy import hierarchy_paths
 from shelftide.operators.pivot import Key, Measure, manifest, pivot
@@ -459,3 +460,134 @@ def stratified_sample_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = ranking.stratified_sample(profile, 25, 20260919).groupBy(
         "Quadrant", "Branch").agg(F.count(F.lit(1)).alias("Sampled"))
     return whole.join(sample, ["Quadrant", "Branch"], "left")
+
+
+SPECIAL = [(dt.date(2024, 1, 1), "holiday"), (dt.date(2024, 1, 15), "mid month")]
+
+
+@query
+def weekday_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(calendar.weekday_index(events(spark, sf_dir).days,
+                                          ["Branch", "LocationFormatTT"]))
+
+
+@query
+def special_day_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = spark.createDataFrame(SPECIAL, "TransDate date, DayType string")
+    return rounded(calendar.special_day_effect(
+        calendar.special_days(events(spark, sf_dir).days, dates), ["Branch"]))
+
+
+@query
+def year_over_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(calendar.year_over_year(lineitem(spark, sf_dir).days, ["Branch"]))
+
+
+@query
+def significant_variance_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variance-ratio tests of all series at once. The p-value is the exponential bound of
+    the normal tail for z = (VR - 1) / sqrt(2(2k-1)(k-1) / (3kN)), k = 7."""
+    lags = measures.lag_measures(events(spark, sf_dir).days)
+    z = (F.col("VarianceRatio7") - 1) / F.sqrt(F.lit(156.0) / (21 * F.col("Pairs1")))
+    tests = materialise(lags.where("Variant = 'sales' and VarianceRatio7 is not null").select(
+        "ItemLocationId", "Variant",
+        F.round(F.least(F.lit(1.0), 2 * F.exp(-z * z / 2)), 9).alias("P")), "tests")
+    return rounded(calendar.benjamini_hochberg(tests, "P", 0.2, ["Variant"])).withColumn(
+        "Significant", F.col("Significant").cast("int"))
+
+
+@query
+def matrix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.matrix_runs(events(spark, sf_dir).days)
+
+
+@query
+def ramp_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(lifecycle.ramp_up(lineitem(spark, sf_dir).days))
+
+
+@query
+def weekly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(trend.weekly_trend(lineitem(spark, sf_dir).days, min_weeks=3))
+
+
+@query
+def known_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(trend.known_shift(lineitem(spark, sf_dir).days, dt.date(1999, 7, 1),
+                                     ["Branch", "LocationNetwork"]))
+
+
+@query
+def deficit_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = lineitem(spark, sf_dir)
+    return rounded(links.deficit_frequency(layers.days, layers.base, "AbcRevenueStore"))
+
+
+@query
+def weekly_profile_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(links.weekly_profile_similarity(events(spark, sf_dir).days))
+
+
+@query
+def other_stores_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(links.other_stores_correlation(events(spark, sf_dir).days))
+
+
+@query
+def common_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(links.common_factors(events(spark, sf_dir).days), default=5)
+
+
+@query
+def substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(links.substitution(events(spark, sf_dir).days, ["Branch"]))
+
+
+@query
+def price_elasticity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(links.price_elasticity(lineitem(spark, sf_dir).days))
+
+
+@query
+def drift_weekday_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(drift.weekday_level(lineitem(spark, sf_dir).days, ["Branch"]))
+
+
+DRIFT_WINDOWS = ((dt.date(1999, 1, 1), dt.date(1999, 12, 31)),
+                 (dt.date(2000, 1, 1), dt.date(2000, 12, 31)))
+
+
+@query
+def drift_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(drift.population_stability(
+        lineitem(spark, sf_dir).days, "SalesQty", (1, 5, 10, 20, 30, 40, 50), *DRIFT_WINDOWS,
+        ["Branch", "LocationNetwork"]))
+
+
+@query
+def drift_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(drift.window_shares(lineitem(spark, sf_dir).days, *DRIFT_WINDOWS,
+                                       ["Branch", "Scope"]))
+
+
+@query
+def array_measure_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures that need the whole array; numpy inside the tasks."""
+    return array_measures.array_measures(events(spark, sf_dir).arrays, SHORT_SERIES)
+
+
+@query
+def measure_applicability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = events(spark, sf_dir)
+    statuses = [f"{m}Status" for m in array_measures.MEASURES]
+    flags = ranking.applicability(
+        layers.profile_pairs, array_measures.array_measures(layers.arrays, SHORT_SERIES),
+        statuses, {"NaiveGainStatus": "excluded", "PacfOrderStatus": "limited"})
+    return rounded(flags.groupBy("Branch", "Variant", *statuses).agg(
+        F.count(F.lit(1)).alias("Series"), F.sum("Revenue").alias("Revenue")), MONEY)
+
+
+# The events cover 30 days, so every minimum length is lowered accordingly.
+SHORT_SERIES = array_measures.Settings(
+    min_length=8, min_length_sampen=12, min_length_dfa=28, dfa_windows=(4, 7, 10, 14),
+    pacf_lags=7)
