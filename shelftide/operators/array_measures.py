@@ -102,6 +102,18 @@ def partial_order(x: np.ndarray, lags: int) -> float:
     return float(order)
 
 
+def fano_root(rate: float, states: int) -> float:
+    """Chance P in [1/N, 1] with H(P) + (1 - P) log2(N - 1) equal to the entropy rate, by
+    halving: the left side falls from log2 N to 0."""
+    low, high = 1 / states, 1 - 1e-12
+    for _ in range(60):
+        mid = (low + high) / 2
+        value = (-mid * math.log2(mid) - (1 - mid) * math.log2(1 - mid)
+                 + (1 - mid) * math.log2(states - 1))
+        low, high = (mid, high) if value > rate else (low, mid)
+    return (low + high) / 2
+
+
 def predictability_bound(x: np.ndarray, bins: int) -> float:
     """Upper bound of the chance to name the next state: the root of Fano's equation for the
     entropy rate of a first-order chain. Zero is a state of its own."""
@@ -120,13 +132,7 @@ def predictability_bound(x: np.ndarray, bins: int) -> float:
     rows = moves.sum(axis=1, keepdims=True)
     share = np.divide(moves, rows, out=np.zeros_like(moves), where=rows > 0)
     rate = float(-(moves[moves > 0] / total * np.log2(share[moves > 0])).sum())
-    low, high = 1 / n, 1 - 1e-12
-    for _ in range(60):
-        mid = (low + high) / 2
-        value = (-mid * math.log2(mid) - (1 - mid) * math.log2(1 - mid)
-                 + (1 - mid) * math.log2(n - 1))
-        low, high = (mid, high) if value > rate else (low, mid)
-    return (low + high) / 2
+    return fano_root(rate, n)
 
 
 def shuffle_gain(x: np.ndarray, lag: int, shuffles: int, seed: int) -> float:
