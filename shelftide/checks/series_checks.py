@@ -61,11 +61,11 @@ def source_totals(raw: DataFrame, params: Params) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("Unknown"), F.col("n"))), F.lit(0)).alias("UnknownRows"))
     items = unknown.select("ItemId").distinct().agg(F.count(F.lit(1)).alias("UnknownItems"))
     measures = unknown.select("Measure").distinct().agg(
-        F.array_join(F.array_sort(F.collect_list("Measure")), ", ").alias("UnknownMeasures"))
+        F.array_join(F.sort_array(F.collect_list("Measure")), ", ").alias("UnknownMeasures"))
     examples = (
         unknown.select(F.concat("ItemId", F.lit(" ("), "Measure", F.lit(")")).alias("e"))
         .distinct().orderBy("e").limit(EXAMPLES)
-        .agg(F.array_join(F.array_sort(F.collect_list("e")), ", ").alias("UnknownExamples")))
+        .agg(F.array_join(F.sort_array(F.collect_list("e")), ", ").alias("UnknownExamples")))
     return totals.crossJoin(items).crossJoin(measures).crossJoin(examples)
 
 

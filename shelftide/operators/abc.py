@@ -65,20 +65,19 @@ def _by_windows(base: DataFrame, params: Params, keys_before: tuple[str, ...],
     """Six window sorts behind one exchange: a hash on the store also clusters every finer
     partition."""
     placed = base.repartition(*keys_before, "LocationId")
-    for rule in rules:
-        placed = placed.withColumn(f"M_{rule.name}", _metric(rule))
-    for rule in rules:
+    placed = placed.withColumns({f"M_{rule.name}": _metric(rule) for rule in rules})
+
+    def classified(rule: Rule) -> Column:
+        metric = F.col(f"M_{rule.name}")
         window = Window.partitionBy(*keys_before, *rule.partition).orderBy(
             *_order(f"M_{rule.name}"))
-        metric = F.col(f"M_{rule.name}")
-        placed = placed.withColumn(rule.name, _class(
-            rule, metric,
-            F.sum(metric).over(window.rowsBetween(Window.unboundedPreceding,
-                                                  Window.currentRow)),
-            F.sum(metric).over(window.rowsBetween(Window.unboundedPreceding,
-                                                  Window.unboundedFollowing)),
-            params))
-    return placed.select(*keys_before, "ItemLocationId", *[r.name for r in rules])
+        running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return _class(rule, metric, F.sum(metric).over(running), F.sum(metric).over(whole),
+                      params)
+
+    return placed.select(*keys_before, "ItemLocationId",
+                         *[classified(rule).alias(rule.name) for rule in rules])
 
 
 def _by_blocks(base: DataFrame, params: Params, keys_before: tuple[str, ...],

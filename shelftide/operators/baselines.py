@@ -55,7 +55,7 @@ def forecasts(array_layer: DataFrame, test: Backtest) -> DataFrame:
     def history(k: Column) -> Column:
         length = F.greatest(last_used(k) - first_used(k) + 1, F.lit(0))
         window = F.slice(values, first_used(k) + 1, length)
-        return F.array_sort(F.filter(window, lambda v: v.isNotNull()))
+        return F.sort_array(F.filter(window, lambda v: v.isNotNull()))
 
     def summary(sorted_values: Column, k: Column) -> Column:
         n = F.size(sorted_values)
@@ -75,7 +75,7 @@ def forecasts(array_layer: DataFrame, test: Backtest) -> DataFrame:
         same_weekday = F.transform(F.sequence(F.lit(1), F.lit(weeks)), lambda w: F.when(
             (position - w * 7).between(first_used(point["K"]), last_used(point["K"])),
             F.get(values, position - w * 7)))
-        observed = F.array_sort(F.filter(same_weekday, lambda v: v.isNotNull()))
+        observed = F.sort_array(F.filter(same_weekday, lambda v: v.isNotNull()))
         return F.struct(
             F.date_add(F.lit(test.window_start), point["K"]).alias("Origin"),
             h.alias("Horizon"), point["HistoryDays"].alias("HistoryDays"),

@@ -47,8 +47,8 @@ def order_frontier(day_layer: DataFrame, params: Params,
     observed = F.col("ValueSales").isNotNull()
     series = (
         day_layer.where(observed).groupBy("ItemLocationId", "Branch")
-        .agg(F.array_sort(F.collect_list("ValueSales")).alias(labels.SALES),
-             F.array_sort(F.collect_list("ValueDemand")).alias(labels.DEMAND)))
+        .agg(F.sort_array(F.collect_list("ValueSales")).alias(labels.SALES),
+             F.sort_array(F.collect_list("ValueDemand")).alias(labels.DEMAND)))
     threshold = threshold_of(F.col("Branch"), params.thresholds)
     variants = F.explode(F.array(*[
         F.struct(F.lit(v).alias("Variant"), F.col(v).alias("V"))

@@ -105,7 +105,7 @@ def permutation_entropy(day_layer: DataFrame, order: int = 3) -> DataFrame:
                            F.lit(order - 1 - k).alias("i")) for k in range(order - 1, -1, -1)])
         .alias(v) for v, name in _VALUES.items()])
     rows = windows.select("ItemLocationId", _by_variant({v: {"w": v} for v in _VALUES}))
-    pattern = F.array_join(F.transform(F.array_sort("w"), lambda x: x["i"].cast("string")), "")
+    pattern = F.array_join(F.transform(F.sort_array("w"), lambda x: x["i"].cast("string")), "")
     counts = (
         rows.where(F.forall("w", lambda x: x["v"].isNotNull()))
         .groupBy("ItemLocationId", "Variant", pattern.alias("Pattern"))

@@ -79,29 +79,27 @@ def profile_pairs(day_layer: DataFrame, params: Params) -> DataFrame:
         *[F.max(a).alias(a) for a in ATTRIBUTES], *[c.alias(n) for n, c in merge.items()])
 
     empty = F.col("IsEmpty") == 1
-    days, sold = F.col("VariantDays"), F.col("SalesDays")
+    unfolded = merged.select("*", F.inline(F.array(_variant_struct(labels.SALES),
+                                                   _variant_struct(labels.DEMAND))))
+    days, sold, qty = F.col("VariantDays"), F.col("SalesDays"), F.col("Qty")
     # Sample variance of the non-zero values over their squared mean, from the sums.
-    mean = F.col("Qty") / sold
-    variance = F.greatest(F.col("Sq") - F.col("Qty") * mean, F.lit(0.0)) / (sold - 1)
-    return (
-        merged
-        .withColumn("LifeDays", F.when(~empty, F.datediff("LastActive", "FirstActive") + 1))
-        .withColumn("MatrixDaysOutLife", F.when(empty, 0).otherwise(F.col("MatrixOut")))
-        .withColumn("RevenueOutMatrixShare", ratio(F.col("AmountOutMatrix"), F.col("Revenue")))
-        .withColumn("Price", ratio(F.col("SoldAmount"), F.col("SoldQty")))
-        .withColumn("DeficitDayShare", ratio(F.col("DeficitDays"), F.col("MatrixDays")))
-        .withColumn("DeficitSalesShare", ratio(F.col("DeficitQty"), F.col("ObservedQty")))
-        .withColumn("V", F.explode(F.array(_variant_struct(labels.SALES),
-                                           _variant_struct(labels.DEMAND))))
-        .select("*", "V.*")
-        .withColumn("VariantQty", F.when(days > 0, F.col("Qty")))
-        .withColumn("SalesLevel", ratio(F.col("Qty"), days))
-        .withColumn("SalesDayShare", ratio(sold, days))
-        .withColumn("ZeroShare", 1 - F.col("SalesDayShare"))
-        .withColumn("Adi", ratio(days, sold))
-        .withColumn("Cv2", F.when(sold >= 2, variance / (mean * mean)))
-        .withColumn("Quadrant", demand_quadrant(F.col("Adi"), F.col("Cv2"), params))
-        .select(*PROFILE_COLUMNS))
+    mean = qty / sold
+    variance = F.greatest(F.col("Sq") - qty * mean, F.lit(0.0)) / (sold - 1)
+    measured = unfolded.withColumns({
+        "LifeDays": F.when(~empty, F.datediff("LastActive", "FirstActive") + 1),
+        "MatrixDaysOutLife": F.when(empty, 0).otherwise(F.col("MatrixOut")),
+        "RevenueOutMatrixShare": ratio(F.col("AmountOutMatrix"), F.col("Revenue")),
+        "Price": ratio(F.col("SoldAmount"), F.col("SoldQty")),
+        "DeficitDayShare": ratio(F.col("DeficitDays"), F.col("MatrixDays")),
+        "DeficitSalesShare": ratio(F.col("DeficitQty"), F.col("ObservedQty")),
+        "VariantQty": F.when(days > 0, qty),
+        "SalesLevel": ratio(qty, days),
+        "SalesDayShare": ratio(sold, days),
+        "ZeroShare": 1 - ratio(sold, days),
+        "Adi": ratio(days, sold),
+        "Cv2": F.when(sold >= 2, variance / (mean * mean))})
+    return measured.withColumn(
+        "Quadrant", demand_quadrant(F.col("Adi"), F.col("Cv2"), params)).select(*PROFILE_COLUMNS)
 
 
 def profile_base(pair_profile: DataFrame, abc_layer: DataFrame) -> DataFrame:

@@ -75,10 +75,9 @@ def days(facts: DataFrame, pair_layer: DataFrame, store_layer: DataFrame,
     """
     pair_side = (
         pair_layer.select(
-            "ItemLocationId", F.col("LocationId").alias("PairStore"),
-            *[F.col(c).alias(f"Pair{c}") for c in
-              ("ItemIdLevel2", "ItemIdLevel3", "LocationNetwork", "LocationFormatTT")],
-            "IsEmpty", "FirstActive", "LastActive", "Cohort")
+            "ItemLocationId", F.col("LocationId").alias("PairStore"), "ItemIdLevel2",
+            "ItemIdLevel3", "LocationNetwork", "LocationFormatTT", "IsEmpty", "FirstActive",
+            "LastActive", "Cohort")
         .join(store_layer.select(F.col("LocationId").alias("PairStore"), "OutlierStore"),
               "PairStore", "left"))
     in_matrix = F.col("IsMatrix") == 1
@@ -87,18 +86,17 @@ def days(facts: DataFrame, pair_layer: DataFrame, store_layer: DataFrame,
     below = F.when(in_matrix & in_life,
                    F.col("StockEndQty") < threshold_of(F.col("Branch"), params.thresholds))
     return (
-        facts.join(pair_side, "ItemLocationId", "left")
-        .withColumn("Branch", branch_of(F.col("ItemMeasure"), params.branches))
-        .withColumn("Scope", scope_of(F.col("PairItemIdLevel2"), params.disputed))
-        .withColumn("InLife", flag((F.col("IsEmpty") == 0) & F.col("TransDate").between(
-            F.col("FirstActive"), F.col("LastActive"))))
-        .withColumn("IsDeficit", flag(below))
-        .withColumn("ValueSales", F.when(in_matrix & in_life, F.col("SalesQty")))
-        .withColumn("ValueDemand", F.when(in_matrix & in_life & (F.col("IsDeficit") == 0),
-                                          F.col("SalesQty")))
-        .drop("ItemIdLevel2", "ItemIdLevel3", "LocationNetwork", "LocationFormatTT")
-        .withColumnsRenamed({f"Pair{c}": c for c in (
-            "ItemIdLevel2", "ItemIdLevel3", "LocationNetwork", "LocationFormatTT")})
+        facts.drop("ItemIdLevel2", "ItemIdLevel3", "LocationNetwork", "LocationFormatTT")
+        .join(pair_side, "ItemLocationId", "left")
+        .withColumns({
+            "Branch": branch_of(F.col("ItemMeasure"), params.branches),
+            "Scope": scope_of(F.col("ItemIdLevel2"), params.disputed),
+            "InLife": flag((F.col("IsEmpty") == 0) & F.col("TransDate").between(
+                F.col("FirstActive"), F.col("LastActive")))})
+        .withColumns({
+            "IsDeficit": flag(below),
+            "ValueSales": F.when(in_matrix & in_life, F.col("SalesQty"))})
+        .withColumn("ValueDemand", F.when(F.col("IsDeficit") == 0, F.col("ValueSales")))
         .select(*DAY_COLUMNS))
 
 
@@ -124,7 +122,7 @@ def arrays(day_layer: DataFrame) -> DataFrame:
     collected = (
         day_layer.where((F.col("IsEmpty") == 0) & (F.col("InLife") == 1))
         .groupBy("ItemLocationId")
-        .agg(F.array_sort(F.collect_list(F.struct(
+        .agg(F.sort_array(F.collect_list(F.struct(
             "TransDate", "ValueSales", "ValueDemand", "IsDeficit"))).alias("Points")))
     no_value = F.lit(None).cast("double")
     variants = F.explode(F.array(

@@ -49,7 +49,7 @@ def weekly_trend(day_layer: DataFrame, min_weeks: int = 8) -> DataFrame:
               .agg(F.sum("ValueSales").alias("Qty")))
     series = (
         weekly.groupBy("ItemLocationId")
-        .agg(F.array_sort(F.collect_list(F.struct("Week", "Qty"))).alias("Points"))
+        .agg(F.sort_array(F.collect_list(F.struct("Week", "Qty"))).alias("Points"))
         .where(F.size("Points") >= min_weeks))
     return (
         series.select("ItemLocationId", F.size("Points").alias("Weeks"),

@@ -26,6 +26,12 @@ class Layers:
     def summary(self) -> DataFrame:
         return series.pair_summary(self.facts, self.params)
 
+    @cached_property
+    def written_summary(self) -> DataFrame:
+        """Pair-sized. The days need it twice, for the pairs and for the stores, and column
+        pruning would otherwise turn that into two more scans of the facts."""
+        return materialise(self.summary, "pair-summary")
+
     @cached_property
     def stores(self) -> DataFrame:
         return series.stores(self.summary, self.params)
@@ -36,7 +42,9 @@ class Layers:
 
     @cached_property
     def days(self) -> DataFrame:
-        return series.days(self.facts, self.summary, self.stores, self.params)
+        summary = self.written_summary
+        return series.days(self.facts, summary, series.stores(summary, self.params),
+                           self.params)
 
     @cached_property
     def arrays(self) -> DataFrame:

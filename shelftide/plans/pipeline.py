@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,19 +15,26 @@ from shelftide.operators import abc, fingerprint, pivot, profile, series
 from shelftide.params import Params
 from shelftide.plans.population import population
 from shelftide.sources.facts import in_period, normalise
-from shelftide.sources.storage import read_layer, write_layer
+from shelftide.sources.storage import read_layer, write_bucketed, write_layer
 
 STEPS = ("days", "profile", "tables")
 
 
 @dataclass(frozen=True)
 class Build:
-    """Where the layers live and how they are built."""
+    """Where the layers live and how they are built.
+
+    With `buckets` the day layer is bucketed by pair instead of range-sorted: the join that
+    builds it already places the rows, and the arrays, the profile and the checks then read
+    it without another shuffle of the days. For facts whose key contract holds, so that no
+    pair has more rows than the period has days.
+    """
     spark: SparkSession
     raw: DataFrame
     params: Params
     root: str
     checks: bool = True
+    buckets: int | None = None
 
     def path(self, layer: str) -> str:
         return f"{self.root}/{layer}"
@@ -37,6 +45,25 @@ class Build:
     def _write(self, layer: str, df: DataFrame, *keys: str) -> DataFrame:
         return write_layer(df, self.path(layer), keys)
 
+    def _days_table(self) -> str:
+        return f"series_days_{zlib.crc32(self.root.encode())}"
+
+    def _write_days(self, facts: DataFrame, summary: DataFrame,
+                    stores: DataFrame) -> DataFrame:
+        if self.buckets is None:
+            return self._write("series_days", series.days(facts, summary, stores, self.params),
+                               "ItemLocationId", "TransDate")
+        # Placed before the join: the pairs follow this partitioning and the write keeps it.
+        placed = facts.repartition(self.buckets, "ItemLocationId")
+        return write_bucketed(series.days(placed, summary, stores, self.params),
+                              self._days_table(), self.path("series_days"), "ItemLocationId",
+                              self.buckets, ("ItemLocationId", "TransDate"))
+
+    def _read_days(self) -> DataFrame:
+        if self.buckets is not None and self.spark.catalog.tableExists(self._days_table()):
+            return self.spark.table(self._days_table())
+        return self.layer("series_days")
+
     def _gate(self, name: str, parts: list[DataFrame]) -> None:
         journal = self._write(f"{name}_checks", assemble(parts).coalesce(1), "CheckName")
         enforce(journal, name)
@@ -47,8 +74,7 @@ class Build:
                               "ItemLocationId")
         stores = self._write("series_stores", series.stores(summary, self.params), "LocationId")
         self._write("series_pairs", series.pairs(summary), "ItemLocationId")
-        days = self._write("series_days", series.days(facts, summary, stores, self.params),
-                           "ItemLocationId", "TransDate")
+        days = self._write_days(facts, summary, stores)
         # A pair collects its days into one array: only after its key is known to be unique.
         if self.checks:
             self._gate("series_days", series_checks(self.raw, facts, days, None, self.params))
@@ -57,7 +83,7 @@ class Build:
             self._gate("series_arrays", [array_checks(days, arrays)])
 
     def profile(self) -> None:
-        days = self.layer("series_days")
+        days = self._read_days()
         pairs = self._write("profile_pairs", profile.profile_pairs(days, self.params),
                             "ItemLocationId", "Variant")
         classes = self._write("profile_abc", abc.abc_classes(pairs, self.params),
@@ -77,7 +103,7 @@ class Build:
         listed = pivot.manifest(self.spark, built)
         listed.write.mode("overwrite").json(self.path("tables/manifest"))
         mark = fingerprint.fingerprint(self.raw.where(in_period(self.params)),
-                                       self.layer("series_days"), base)
+                                       self._read_days(), base)
         mark.write.mode("overwrite").json(self.path("tables/fingerprint"))
         if self.checks:
             problems = pivot.manifest_problems(listed).collect()

@@ -45,7 +45,9 @@ def facts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (_table(spark, sf_dir, "lineitem")
              .where((F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
                     & (F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))))
-    parts = _table(spark, sf_dir, "part")
+    # Brands are "Brand#<number>"; the number keeps the grouping keys fixed-width.
+    parts = _table(spark, sf_dir, "part").select(
+        "p_partkey", F.expr("cast(substr(p_brand, 7) as int)").alias("BrandNo"))
 
     is_return = (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09)
     def signed(value: str):
@@ -54,7 +56,7 @@ def facts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     daily = (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(F.col("l_shipdate").cast("date").alias("TransDate"), "l_suppkey", "p_brand")
+        .groupBy(F.col("l_shipdate").cast("date").alias("TransDate"), "l_suppkey", "BrandNo")
         .agg(signed("l_quantity").alias("SalesQty"),
              signed("l_extendedprice").alias("SalesAmount"),
              F.max(F.when((F.col("l_linestatus") == "O") | (F.col("l_linenumber") == 1), 1)
@@ -71,13 +73,11 @@ def facts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("s_suppkey", F.col("r_name").alias("LocationNetwork"),
                 F.col("n_name").alias("LocationFormatTT")))
 
-    brand_no = F.expr("cast(substr(p_brand, 7) as int)")
     return _raw_columns(
         daily.join(stores, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        .withColumn("BrandNo", brand_no)
         .select(
             "TransDate", F.col("l_suppkey").cast("string").alias("LocationId"),
-            F.col("p_brand").alias("ItemId"),
+            F.concat(F.lit("Brand#"), F.col("BrandNo")).alias("ItemId"),
             (F.col("l_suppkey") * 100 + F.col("BrandNo")).alias("ItemLocationId"),
             "isMatrix", "StockStartQty", "StockEndQty", "SalesQty", "SalesAmount",
             "LocationNetwork", "LocationFormatTT",

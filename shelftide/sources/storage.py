@@ -24,8 +24,9 @@ def write_layer(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
                    order: Sequence[str]) -> DataFrame:
     """Write a layer bucketed by its key: later groupings and joins on the key need no
-    shuffle. One file per bucket, so the rows are placed by the key first."""
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    shuffle. Rows hashed on the key into `buckets` partitions beforehand give one file per
+    bucket."""
+    (df.write.mode("overwrite").format("parquet")
      .option("compression", CODEC).option("path", path)
      .bucketBy(buckets, key).sortBy(*order).saveAsTable(table))
     return df.sparkSession.table(table)

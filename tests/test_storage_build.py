@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from shelftide.checks.journal import CheckFailed
+from shelftide.operators import series
 from shelftide.operators.fingerprint import fingerprint
 from shelftide.operators.hierarchy import hierarchy_paths
 from shelftide.plans.pipeline import Build
@@ -32,6 +33,20 @@ def test_layered_build(spark, stored_raw, tmp_path):
         build.run(["charts"])
 
 
+def test_bucketed_build_gives_the_same_layers(spark, stored_raw, tmp_path):
+    ranged = Build(spark, stored_raw, PARAMS, str(tmp_path / "ranged"), checks=False)
+    bucketed = Build(spark, stored_raw, PARAMS, str(tmp_path / "bucketed"), buckets=4)
+    ranged.run(["days", "profile"])
+    bucketed.run(["days", "profile"])
+    for layer in ("series_days", "series_arrays", "profile_base"):
+        one, two = (sorted(map(str, b.layer(layer).collect())) for b in (ranged, bucketed))
+        assert one == two
+    days = bucketed._read_days()
+    plan = series.arrays(days)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    spark.sql(f"drop table {bucketed._days_table()}")
+
+
 def test_gate_stops_later_layers(spark, tmp_path):
     rows = main_rows()
     build = Build(spark, raw_frame(spark, rows + rows[:1]), PARAMS, str(tmp_path / "bad"))
@@ -92,7 +107,7 @@ def test_typed_text_json_and_literals(spark, layers, tmp_path):
 
 
 def test_bucketed_layer_groups_without_a_shuffle(spark, layers, tmp_path):
-    table = storage.write_bucketed(layers.days, "days_bucketed", str(tmp_path / "b"),
+    table = storage.write_bucketed(layers.days.repartition(4, "ItemLocationId"), "days_bucketed", str(tmp_path / "b"),
                                    "ItemLocationId", 4, ["ItemLocationId", "TransDate"])
     plan = table.groupBy("ItemLocationId").agg(F.sum("SalesQty"))
     text = plan._jdf.queryExecution().executedPlan().toString()
