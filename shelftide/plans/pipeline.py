@@ -24,10 +24,10 @@ STEPS = ("days", "profile", "tables")
 class Build:
     """Where the layers live and how they are built.
 
-    With `buckets` the day layer is bucketed by pair instead of range-sorted: the join that
-    builds it already places the rows, and the arrays, the profile and the checks then read
-    it without another shuffle of the days. For facts whose key contract holds, so that no
-    pair has more rows than the period has days.
+    With `buckets` the day layer is bucketed by pair: the join that builds it already places
+    the rows, and the arrays, the profile and the checks then read it without another shuffle
+    of the days. For facts whose key contract holds, so that no pair has more rows than the
+    period has days.
     """
     spark: SparkSession
     raw: DataFrame
@@ -65,8 +65,9 @@ class Build:
         return self.layer("series_days")
 
     def _gate(self, name: str, parts: list[DataFrame]) -> None:
-        journal = self._write(f"{name}_checks", assemble(parts).coalesce(1), "CheckName")
-        enforce(journal, name)
+        path = self.path(f"{name}_checks")
+        assemble(parts).coalesce(1).write.mode("overwrite").parquet(path)
+        enforce(self.spark.read.parquet(path), name)
 
     def days(self) -> None:
         facts = normalise(self.raw, self.params)

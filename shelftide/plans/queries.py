@@ -576,6 +576,21 @@ def array_measure_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return array_measures.array_measures(events(spark, sf_dir).arrays, SHORT_SERIES)
 
 
+@query
+def array_measure_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same measures on items over all stores, whose series are long and mostly unbroken."""
+    raw = facts_lineitem(spark, sf_dir)
+    kept = ("ItemId", "ItemMeasure", "ItemIdLevel1", "ItemIdLevel2", "ItemIdLevel3")
+    items = raw.groupBy("TransDate", *kept).agg(
+        *[F.sum(c).alias(c) for c in ("StockStartQty", "StockEndQty", "SalesQty",
+                                      "SalesAmount")], F.max("isMatrix").alias("isMatrix"))
+    whole = items.select(
+        "*", F.lit("all").alias("LocationId"), F.lit("all").alias("LocationNetwork"),
+        F.lit("all").alias("LocationFormatTT"),
+        F.expr("cast(substr(ItemId, 7) as bigint)").alias("ItemLocationId"))
+    return array_measures.array_measures(Layers(whole, LINEITEM_PARAMS).arrays)
+
+
 @query
 def measure_applicability(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = events(spark, sf_dir)

@@ -10,13 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 CODEC = "zstd"
 
 
-def write_layer(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Write a layer as zstd parquet ordered by its key and return it as read back.
-
-    Range partitioning keeps the order across files without a single-task sort. Overwriting
-    drops the old files before the job, so a failed stage leaves no stale layer behind.
+def write_layer(df: DataFrame, path: str, keys: Sequence[str],
+                globally: bool = False) -> DataFrame:
+    """Write a layer as zstd parquet sorted by its key and return it as read back.
+
+    Rows are sorted inside the partitions they are already in: layers come out of a join or
+    a grouping on their key, so its rows lie together without another shuffle. `globally`
+    adds a range exchange (and its sampling pass over the plan) for an order across files.
+    Overwriting drops the old files before the job, so a failed stage leaves no stale layer.
     """
-    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = df.repartitionByRange(*keys) if globally else df
+    (placed.sortWithinPartitions(*keys)
      .write.mode("overwrite").option("compression", CODEC).parquet(path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -106,6 +106,16 @@ def test_typed_text_json_and_literals(spark, layers, tmp_path):
     storage.discard(layers.pairs)
 
 
+def test_global_order_spans_the_files(spark, layers, tmp_path):
+    path = str(tmp_path / "ordered")
+    back = storage.write_layer(layers.pairs.repartition(3), path, ["ItemLocationId"],
+                               globally=True)
+    spans = back.groupBy(F.col("_metadata.file_path")).agg(
+        F.min("ItemLocationId").alias("lo"), F.max("ItemLocationId").alias("hi")).orderBy("lo")
+    bounds = [(r.lo, r.hi) for r in spans.collect()]
+    assert back.count() == 8 and all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
+
+
 def test_bucketed_layer_groups_without_a_shuffle(spark, layers, tmp_path):
     table = storage.write_bucketed(layers.days.repartition(4, "ItemLocationId"), "days_bucketed", str(tmp_path / "b"),
                                    "ItemLocationId", 4, ["ItemLocationId", "TransDate"])
