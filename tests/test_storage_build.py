@@ -11,6 +11,11 @@ from shelftide.sources.facts import read_raw
 from shop_data import PARAMS, main_rows, raw_frame
 
 
+def rounded_text(row):
+    """Row as text; sums may differ in the last bits with the order of their rows."""
+    return str([round(v, 9) if isinstance(v, float) else v for v in row])
+
+
 @pytest.fixture(scope="module")
 def stored_raw(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("raw") / "facts")
@@ -39,7 +44,8 @@ def test_bucketed_build_gives_the_same_layers(spark, stored_raw, tmp_path):
     ranged.run(["days", "profile"])
     bucketed.run(["days", "profile"])
     for layer in ("series_days", "series_arrays", "profile_base"):
-        one, two = (sorted(map(str, b.layer(layer).collect())) for b in (ranged, bucketed))
+        one, two = (sorted(map(rounded_text, b.layer(layer).collect()))
+                    for b in (ranged, bucketed))
         assert one == two
     days = bucketed._read_days()
     plan = series.arrays(days)._jdf.queryExecution().executedPlan().toString()
