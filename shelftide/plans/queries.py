@@ -14,7 +14,7 @@ from shelftide.checks.forecast_checks import forecast_checks
 from shelftide.checks.journal import assemble
 from shelftide.checks.profile_checks import profile_checks
 from shelftide.checks.series_checks import (
-    array_checks, branch_checks, branch_totals, series_checks, source_totals)
+    branch_checks, branch_totals, series_checks, source_totals)
 from shelftide.functions import labels
 from shelftide.operators import (
     abc_compare, array_measures, baselines, calendar, drift, fingerprint, frontier, lifecycle,

@@ -123,8 +123,9 @@ def test_global_order_spans_the_files(spark, layers, tmp_path):
 
 
 def test_bucketed_layer_groups_without_a_shuffle(spark, layers, tmp_path):
-    table = storage.write_bucketed(layers.days.repartition(4, "ItemLocationId"), "days_bucketed", str(tmp_path / "b"),
-                                   "ItemLocationId", 4, ["ItemLocationId", "TransDate"])
+    table = storage.write_bucketed(
+        layers.days.repartition(4, "ItemLocationId"), "days_bucketed", str(tmp_path / "b"),
+        "ItemLocationId", 4, ["ItemLocationId", "TransDate"])
     plan = table.groupBy("ItemLocationId").agg(F.sum("SalesQty"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and plan.count() == 8
