@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelftide.functions import labels
-from shelftide.functions.expressions import ratio
+from shelftide.functions.expressions import exact, ratio
 from shelftide.operators.running import running_total
 
 
@@ -51,6 +51,19 @@ def special_day_effect(special: DataFrame, keys: Sequence[str]) -> DataFrame:
             .withColumn("Effect", ratio(F.col("Sales"), F.col("Usual"))))
 
 
+def special_day_quantiles(special: DataFrame, keys: Sequence[str],
+                          quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Quantiles of the special-day ratio, weighted by the usual sales: the smallest ratio
+    that, with all below it, holds the share q of the weight."""
+    group = [*keys, "DayType"]
+    values = special.groupBy(*group, "Ratio").agg(F.sum(exact(F.col("Usual"))).alias("__w"))
+    ranked = running_total(values, group, [F.col("Ratio").asc()], "__w", "__upto",
+                           total="__all")
+    share = F.col("__upto").cast("double") / F.col("__all").cast("double")
+    return ranked.groupBy(*group).agg(*[
+        F.min(F.when(share >= q, F.col("Ratio"))).alias(f"Q{int(q * 100)}") for q in quantiles])
+
+
 def year_over_year(day_layer: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Level and zero share of the same month in consecutive years, pairs active before the
     cohort date only. The comparison joins the small monthly table with itself."""

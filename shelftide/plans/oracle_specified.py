@@ -417,6 +417,17 @@ rest AS (
 known AS (SELECT * FROM rest WHERE ValueSales IS NOT NULL AND sr IS NOT NULL
           AND gr IS NOT NULL)"""
 
+_SPECIAL = """,
+k AS (SELECT *, CASE TransDate WHEN DATE '2024-01-01' THEN 'holiday'
+        WHEN DATE '2024-01-15' THEN 'mid month' END AS DayType
+      FROM days WHERE ValueSales IS NOT NULL),
+u AS (SELECT a.Branch, a.DayType, a.ItemLocationId, a.TransDate, max(a.ValueSales) AS v,
+        avg(b.ValueSales) AS u
+      FROM k a JOIN k b ON b.ItemLocationId = a.ItemLocationId AND b.DayType IS NULL
+        AND datediff('day', a.TransDate, b.TransDate) % 7 = 0
+        AND abs(datediff('day', a.TransDate, b.TransDate)) <= 28
+      WHERE a.DayType IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING avg(b.ValueSales) > 0)"""
+
 _WINDOW = """CASE WHEN TransDate BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' THEN 'base'
   WHEN TransDate BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' THEN 'recent' END"""
 
@@ -438,19 +449,19 @@ y AS (SELECT Branch, LocationFormatTT, Weekday, sum(n) AS Days, sum(s) AS Sales,
         sum(e) AS Expected, sum(s) / nullif(sum(e), 0) AS WeekdayIndex FROM x GROUP BY 1, 2, 3)
 SELECT Branch, LocationFormatTT, Weekday, Days, {_six('Sales', 'Expected', 'WeekdayIndex')}
 FROM y""",
-    "special_day_effect": f"""WITH {EVENTS},
-k AS (SELECT *, CASE TransDate WHEN DATE '2024-01-01' THEN 'holiday'
-        WHEN DATE '2024-01-15' THEN 'mid month' END AS DayType
-      FROM days WHERE ValueSales IS NOT NULL),
-u AS (SELECT a.Branch, a.DayType, a.ItemLocationId, a.TransDate, max(a.ValueSales) AS v,
-        avg(b.ValueSales) AS u
-      FROM k a JOIN k b ON b.ItemLocationId = a.ItemLocationId AND b.DayType IS NULL
-        AND datediff('day', a.TransDate, b.TransDate) % 7 = 0
-        AND abs(datediff('day', a.TransDate, b.TransDate)) <= 28
-      WHERE a.DayType IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING avg(b.ValueSales) > 0),
+    "special_day_effect": f"""WITH {EVENTS}{_SPECIAL},
 e AS (SELECT Branch, DayType, count(*) AS Days, sum(v) AS Sales, sum(u) AS Usual,
         sum(v) / nullif(sum(u), 0) AS Effect FROM u GROUP BY 1, 2)
 SELECT Branch, DayType, Days, {_six('Sales', 'Usual', 'Effect')} FROM e""",
+    "special_day_quantiles": f"""WITH {EVENTS}{_SPECIAL},
+w AS (SELECT Branch, DayType, round(v / u, 9) AS r, sum(CAST(u AS DECIMAL(18,4))) AS w
+      FROM u GROUP BY 1, 2, 3),
+s AS (SELECT *, CAST(sum(w) OVER (PARTITION BY Branch, DayType ORDER BY r) AS DOUBLE)
+        / CAST(sum(w) OVER (PARTITION BY Branch, DayType) AS DOUBLE) AS share FROM w),
+q AS (SELECT Branch, DayType, min(r) FILTER (share >= 0.25) AS Q25,
+        min(r) FILTER (share >= 0.5) AS Q50, min(r) FILTER (share >= 0.75) AS Q75
+      FROM s GROUP BY 1, 2)
+SELECT Branch, DayType, {_six('Q25', 'Q50', 'Q75')} FROM q""",
     "year_over_year": f"""WITH {LINEITEM},
 m AS (SELECT Branch, year(TransDate) AS Year, month(TransDate) AS Month, count(*) AS Days,
         avg(ValueSales) AS l, avg(CASE WHEN ValueSales = 0 THEN 1.0 ELSE 0.0 END) AS z

@@ -478,6 +478,15 @@ def special_day_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
         calendar.special_days(events(spark, sf_dir).days, dates), ["Branch"]))
 
 
+@query
+def special_day_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = spark.createDataFrame(SPECIAL, "TransDate date, DayType string")
+    special = calendar.special_days(events(spark, sf_dir).days, dates)
+    # Equal ratios must be equal to the last bit to be one value.
+    return rounded(calendar.special_day_quantiles(
+        special.withColumn("Ratio", F.round("Ratio", 9)), ["Branch"]))
+
+
 @query
 def year_over_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(calendar.year_over_year(lineitem(spark, sf_dir).days, ["Branch"]))

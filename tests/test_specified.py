@@ -406,3 +406,11 @@ def test_array_measures_job(spark):
     assert {r.ItemLocationId: r.PacfOrderStatus for r in flags.collect()} == {
         1: "limited", 2: "no matrix days", 9: "short"}
     assert labels.SALES == "sales"
+
+
+def test_weighted_quantiles_of_special_days(spark):
+    special = spark.createDataFrame(
+        [("kg", "feast", 1.0, 1.0), ("kg", "feast", 2.0, 1.0), ("kg", "feast", 3.0, 8.0)],
+        "Branch string, DayType string, Ratio double, Usual double")
+    row = calendar.special_day_quantiles(special, ["Branch"], (0.1, 0.2, 0.5)).first()
+    assert (row.Q10, row.Q20, row.Q50) == (1.0, 2.0, 3.0)
