@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql.types import StructType
 
 #: Rows handled at a time inside a task, so that a worker's memory does not follow Spark's batch size.
 ROWS = 1000
+#: Bits of the filter over wanted rows, a fixed 4 MB; more rows only make it let more through.
+FILTER_BITS = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,3 +58,18 @@ def utf8(column: pa.Array) -> list[bytes]:
 def strings(column: pa.Array) -> list[str]:
     """A text column as Python strings; null is empty."""
     return [x or "" for x in column.to_pylist()]
+
+
+def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A fixed-size bit table of the hashes (column h) of wanted rows; it may let others through."""
+    place = F.pmod(F.col("h"), F.lit(bits))
+    words = (ids.select(F.floor(place / 63).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(pmod(h, {bits}), 63) as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    out = np.zeros(bits // 63 + 1, np.int64)
+    out[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return out
+
+
+def passes(table: np.ndarray, h: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
+    place = h % bits
+    return (table[place // 63] >> (place % 63)) & 1 == 1

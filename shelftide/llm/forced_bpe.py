@@ -25,8 +25,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from shelftide.llm.bpe import byte_letters
 from shelftide.llm.common import utf8, with_columns
 
 MEMO = 400_000
@@ -36,14 +38,6 @@ BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 WIDE_BLANK = np.isin(np.arange(256), [0xC2, 0x9A, 0x80, 0x81])
 
 
-def byte_letters() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for: printable bytes stand for
-    themselves, the others for the letters from U+0100 on, in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class ForcedEncoder:
     def __init__(self, vocabulary: str):
         t = Tokenizer.from_file(vocabulary)
@@ -129,3 +123,11 @@ def encoded(docs: DataFrame, vocabulary: str | None = None, text: str = "text",
         return work
 
     return with_columns(docs, [text], "ids array<int>, decoded string", start, carry, rows=500)
+
+
+def digests(made: DataFrame, *more: str) -> DataFrame:
+    """doc_id, number of ids, digests of the ids and of the decoded text, and columns asked for."""
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return made.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                       F.sha2(ids, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"), *more)

@@ -5,19 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftide.llm import decontaminate, forced_bpe, sharding, token_files
+from shelftide.llm import (
+    decontaminate, forced_bpe, html_text, lattice_lm, near_texts, near_vectors, quality, repeats,
+    sharding, token_files)
 from shelftide.llm.common import table
 
 
-def op3_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(forced_bpe.encoded(table(spark, sf_dir, "documents")))
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", (quality.remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        "predicted")
+
+
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-def token_digests(made: DataFrame) -> DataFrame:
-    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return made.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                       F.sha2(ids, 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+def op3_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forced_bpe.digests(forced_bpe.encoded(table(spark, sf_dir, "documents")))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,12 +32,32 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(files)
 
 
+def op5_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_texts.near_duplicates(table(spark, sf_dir, "documents")).drop("digest")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = sharding.sharded(table(spark, sf_dir, "documents"), shards=40)
     return made.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
                        "grown_shard", "virtual_slot")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = repeats.kept_digests(docs, repeats.repeated_spans(docs))
+    return made.select("doc_id", "n_bytes", "n_removed",
+                       F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = html_text.extracted(table(spark, sf_dir, "pages"))
+    return made.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = decontaminate.contamination(table(spark, sf_dir, "documents"),
                                        table(spark, sf_dir, "benchmark"))
@@ -42,6 +69,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_forced_bpe, op4_token_files, op6_sharding, op10_decontaminate)}
+    op1_quality, op2_near_vectors, op3_forced_bpe, op4_token_files, op5_near_texts, op6_sharding,
+    op7_repeats, op8_html_text, op9_lattice_lm, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}

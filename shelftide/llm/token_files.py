@@ -15,6 +15,7 @@ their text; a null document id comes first; an empty table gives files without r
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -25,14 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelftide.llm.common import strings
+from shelftide.llm.bpe import Merges
+from shelftide.llm.common import ROWS, strings
 from shelftide.session import materialise
 
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT = 1 << 18
 #: Entries of a worker's memo of encoded words; it is emptied when full.
-MEMO = 400_000
+MEMO = 600_000
 
 SEGMENTS = ("part int, segment int, first bigint, n_tokens bigint, doc_ids array<bigint>, "
             "lengths array<bigint>, chunks array<binary>, bits array<binary>, ranks array<binary>")
@@ -83,32 +85,60 @@ def token_at(chunks: list[bytes], bits: list[bytes], ranks: list[bytes], i: int)
     raise ValueError("a continuation bit is set on the last level")
 
 
+#: Texts without characters that normalisation, case or the pre-tokenizer could treat specially:
+#: blanks, line feeds, printable ASCII, and letters of Latin-1 and Latin Extended-A with plain
+#: lower-case forms.
+PLAIN = re.compile("[\\n -~À-ÖØ-öø-įĲ-ňŊ-ž]*")
+LETTERS = "a-zß-öø-ÿā-ž"
+#: The vocabulary's pre-tokenizer on such texts in lower case.
+WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9 \\n]+")
+
+
 class WordEncoder:
     """Ids of texts for a vocabulary that drops white space, so words are encoded apart and kept.
 
-    Only blank and line feed cut: both are white space to any pattern, and no rule of the
-    tokenizer looks across them. Other white space stays inside a piece for the library.
+    Plain texts are cut into words by the vocabulary's own pattern, and new words are merged by its
+    rules. Others are cut at blanks and line feeds, which are white space to any pattern and across
+    which no rule of the tokenizer looks; their plain pieces go the same way, and the rest, with
+    strings of special tokens, through the library.
     """
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, bytes] = {"": b""}
-
-    def __call__(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        pieces = text.replace("\n", " ").split(" ")
-        got = list(map(self.memo.get, pieces))
-        if None in got:
-            new = list({p for p, g in zip(pieces, got, strict=True) if g is None})
-            if len(self.memo) + len(new) > MEMO:
-                self.memo = {"": b""}
-            made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            fresh = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, made, strict=True)}
-            self.memo.update(fresh)
-            got = [fresh[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
-        return b"".join(got)
+        self.merges = Merges(vocabulary)
+        self.words: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text as little-endian unsigned 32-bit integers."""
+        rows, odd = [], {}
+        for text in texts:
+            if PLAIN.fullmatch(text) and "<|" not in text:
+                rows.append(WORDS.findall(text.lower()))
+                continue
+            row = []
+            for piece in text.replace("\n", " ").split(" "):
+                if PLAIN.fullmatch(piece) and "<|" not in piece:
+                    row += WORDS.findall(piece.lower())
+                elif piece:  # a key that no word can be
+                    odd[" " + piece] = piece
+                    row.append(" " + piece)
+            rows.append(row)
+        found = [list(map(self.words.get, row)) for row in rows]
+        new = {w for row, got in zip(rows, found, strict=True) if None in got
+               for w, ids in zip(row, got, strict=True) if ids is None}
+        plain = [w for w in new if w[0] != " "]
+        fresh = dict(zip(plain, self.merges.encode([w.encode() for w in plain]), strict=True))
+        others = [w for w in new if w[0] == " "]
+        made = self.tokenizer.encode_batch_fast([odd[w] for w in others], add_special_tokens=False)
+        fresh |= {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(others, made, strict=True)}
+        if len(self.words) + len(fresh) > MEMO:
+            self.words = {}
+        self.words.update(fresh)
+        return [b"".join(got) if None not in got else b"".join(
+            [fresh[w] if ids is None else ids for w, ids in zip(row, got, strict=True)])
+            for row, got in zip(rows, found, strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -140,10 +170,10 @@ def segments_of(docs: DataFrame, vocabulary: str, end_id: int, segment: int = SE
                 [pa.array([v], k) for v, k in zip(values, kinds, strict=True)],
                 names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), strings(batch.column(1)),
-                                    strict=True):
-                stream = encode(text) + end
+        for part_rows in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            for doc_id, stream in zip(part_rows.column(0).to_pylist(),
+                                      encode(strings(part_rows.column(1))), strict=True):
+                stream += end
                 ids.append(doc_id)
                 lengths.append(len(stream) // 4)
                 streams.append(stream)
