@@ -13,9 +13,9 @@ n + m ln m draws.
 ``BANDS`` bands of ``ROWS`` registers make the buckets. A pair at the threshold of 0.8 misses all of
 them with a chance of 1.5e-4. Every link is verified on the exact multisets. Inside a bucket each
 document is first compared with the bucket's first document, and the components of those links are
-taken; after that only pairs of one bucket that are still in different components are compared, so
-a group of copies of any size costs links in proportion to its size, and no link between
-different components is lost.
+taken; after that only buckets that still hold several components are looked at again, in blocks that
+keep their pairs to themselves. Links that are passed on grow with the documents, not with the
+pairs, and no link between different components is lost.
 
 Documents with the same words are one class from the start; so are repeated rows.
 
@@ -41,6 +41,7 @@ from shelftide.session import materialise
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 48, 8
+BLOCK = 512
 
 _TABLE = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -116,6 +117,15 @@ def counted(owner: np.ndarray, value: np.ndarray):
     return owner[at], value[at], np.diff(np.concatenate([at, [len(owner)]]))
 
 
+def elements(owner: np.ndarray, value: np.ndarray, weight: np.ndarray):
+    """The multisets as plain sets, sorted: the k-th occurrence of a shingle is an element of its own."""
+    nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    owner, value = np.repeat(owner, weight), np.repeat(value, weight)
+    value = mix(value + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    order = np.lexsort((value, owner))
+    return owner[order], value[order]
+
+
 def bag_minhash(docs: int, owner: np.ndarray, value: np.ndarray, weight: np.ndarray,
                 registers: int) -> np.ndarray:
     """The earliest time in every register of every document (infinite where it has no shingle)."""
@@ -184,7 +194,7 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
-    """cid and its counted shingles, for the classes wanted (cid, digest, first)."""
+    """cid and the elements of its multiset, for the classes wanted (cid, digest, first)."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(id_filter(wanted.select(F.xxhash64("first").alias("h"))))
 
@@ -196,45 +206,127 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> Data
                 part = batch.slice(at, 500)
                 texts = utf8(part.column(2))
                 _, words, first, owner, value = shingles(texts)
-                owner, value, weight = counted(owner, value)
+                owner, value = elements(*counted(owner, value))
                 cut = np.searchsorted(owner, np.arange(len(texts) + 1))
                 digest = [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest()
                           for a, b in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(digest, pa.binary()),
-                     pa.array([value[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-                     pa.array([weight[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:])],
-                              pa.binary())], names=["doc_id", "digest", "shingles", "counts"])
+                     pa.array([value[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
+                    names=["doc_id", "digest", "elements"])
 
     made = docs.select("doc_id", F.xxhash64("doc_id").alias("h"), F.col(f"`{text}`")).mapInArrow(
-        run, "doc_id bigint, digest binary, shingles binary, counts binary")
+        run, "doc_id bigint, digest binary, elements binary")
     named = wanted.select("cid", F.col("digest").alias("own"), "first")
     return (made.join(named, (F.col("digest") == F.col("own"))
                       & F.col("doc_id").eqNullSafe(F.col("first")))
-            .dropDuplicates(["digest"]).select("cid", "shingles", "counts"))
+            .dropDuplicates(["digest"]).select("cid", "elements"))
 
 
-def overlap(va: bytes, ca: bytes, vb: bytes, cb: bytes) -> float:
-    """Weighted Jaccard similarity of two counted multisets."""
-    x, y = np.frombuffer(va, np.uint64), np.frombuffer(vb, np.uint64)
-    p, q = np.frombuffer(ca, "<i4"), np.frombuffer(cb, "<i4")
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    both = int(np.minimum(p[i], q[j]).sum())
-    return both / max(1, int(p.sum()) + int(q.sum()) - both)
+def overlap(a: bytes, b: bytes) -> float:
+    """Weighted Jaccard similarity of two multisets, as elements."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(1, len(x) + len(y) - both)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the threshold."""
     def start():
-        def work(va, ca, vb, cb):
-            rows = zip(*[c.to_pylist() for c in (va, ca, vb, cb)], strict=True)
-            return [pa.array([overlap(*r) >= similarity for r in rows], pa.bool_())]
+        def work(one, two):
+            return [pa.array([overlap(a, b) >= similarity for a, b in
+                              zip(one.to_pylist(), two.to_pylist(), strict=True)], pa.bool_())]
         return work
 
-    one = sets.toDF("a", "va", "ca")
-    two = sets.toDF("b", "vb", "cb")
-    return with_columns(pairs.join(one, "a").join(two, "b"), ["va", "ca", "vb", "cb"], "near boolean",
-                        start, ["a", "b"], rows=500).where("near").select("a", "b")
+    return with_columns(
+        pairs.join(sets.toDF("a", "ea"), "a").join(sets.toDF("b", "eb"), "b"), ["ea", "eb"],
+        "near boolean", start, ["a", "b"], rows=500).where("near").select("a", "b")
+
+
+def overlaps(sets: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of a block's sets, by incidence matrices of ``step`` elements."""
+    doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[code] > 1
+    doc, code = doc[shared], code[shared]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    if not len(code):
+        return out
+    code = np.unique(code, return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    doc, code = doc[order], code[order]
+    cut = np.searchsorted(code, np.arange(0, code[-1] + 1 + step, step))
+    for low, (a, b) in zip(range(0, code[-1] + 1, step), zip(cut, cut[1:])):
+        x = np.zeros((len(sets), step), np.float32)
+        x[doc[a:b], code[a:b] - low] = 1
+        out += x @ x.T
+    return out
+
+
+def bucket_links(rows: list[dict], similarity: float) -> list[tuple[int, int]]:
+    """Links (a spanning forest) between documents of a block that are in different components."""
+    rows.sort(key=lambda r: r["cid"])
+    sets = [np.frombuffer(r["elements"], np.uint64) for r in rows]
+    size, root = np.array([len(x) for x in sets]), np.array([r["root"] for r in rows])
+    both = overlaps(sets)
+    near = both >= similarity * (size[:, None] + size[None, :] - both) * (1 - 1e-12)
+    near &= root[:, None] != root[None, :]
+    side = np.array([0 if r["i"] == r["j"] else 1 + (r["own"] == r["j"]) for r in rows])
+    if side.any():
+        near &= side[:, None] != side[None, :]
+    label, n = np.arange(len(rows)), len(rows)
+    while True:
+        lower = np.minimum(label, np.where(near, label[None, :], n).min(1))
+        lower = lower[lower]
+        if (lower == label).all():
+            return [(rows[a]["cid"], rows[b]["cid"]) for a, b in enumerate(label.tolist()) if a != b]
+        label = lower
+
+
+def cross_links(members: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float,
+                block: int | None = None) -> DataFrame:
+    """Links between documents that share a bucket and are in different components.
+
+    Only buckets that hold several components are looked at. Their documents meet in blocks (a
+    bucket of more than ``block`` documents as pairs of blocks), where all overlaps are matrix
+    products; no pairs leave the task but the links of a spanning forest.
+    """
+    block = block or BLOCK
+    known = roots.select(F.col("node").alias("cid"), "root")
+    placed = materialise(members.select("cid", "band", "key").join(known, "cid", "left")
+                         .withColumn("root", F.coalesce("root", "cid")), "placed")
+    mixed = materialise(placed.groupBy("band", "key").agg(
+        F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.min("root").alias("low"),
+        F.max("root").alias("high")).where("low <> high").drop("low", "high"), "mixed-buckets")
+    dealt = (placed.join(mixed, ["band", "key"])
+             .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("band", "key", "cid", "root", "own", F.least("own", "other").alias("i"),
+                     F.greatest("own", "other").alias("j")))
+    filled = (dealt.join(sets, "cid").repartition("band", "key", "i", "j")
+              .sortWithinPartitions("band", "key", "i", "j"))
+
+    def run(batches):
+        def made(links):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        group, rows = None, []
+        for batch in batches:
+            out = []
+            for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
+                for r in part.to_pylist():
+                    key = (r["band"], r["key"], r["i"], r["j"])
+                    if key != group:
+                        if len(rows) > 1:
+                            out += bucket_links(rows, similarity)
+                        group, rows = key, []
+                    rows.append(r)
+            yield made(out)
+        yield made(bucket_links(rows, similarity) if len(rows) > 1 else [])
+
+    return filled.select("band", "key", "i", "j", "own", "cid", "root", "elements").mapInArrow(
+        run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
@@ -263,8 +355,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str =
         .select("cid", "digest", "first"), text), "shingles")
     links = materialise(verified(stars, sets, similarity), "links")
     roots = components(links)
-    apart = unjoined(members, roots, similarity)
-    more = materialise(verified(apart, sets, similarity), "links")
+    more = materialise(cross_links(members, roots, sets, similarity), "links")
     if not more.isEmpty():
         roots = components(links.unionAll(more))
     named = (classes.select("digest", "cid", "first", "n")
@@ -278,31 +369,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str =
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("cluster_id"))))
 
 
-def unjoined(members: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs that share a bucket and are in different components after the first round.
-
-    Rows outside the component of their bucket's pivot are few; each meets the rows of other
-    components in its bucket. Rows of the pivot's component do not meet each other.
-    """
-    known = roots.select(F.col("node").alias("cid"), "root")
-    placed = (members.join(known, "cid", "left")
-              .withColumn("root", F.coalesce("root", "cid"))
-              .join(known.select(F.col("cid").alias("pivot"), F.col("root").alias("proot")), "pivot",
-                    "left").withColumn("proot", F.coalesce("proot", "pivot")))
-    placed = materialise(placed.select("band", "key", "cid", "n", "root", "proot", "pivot"), "placed")
-    out = placed.where("root <> proot").select(
-        "band", "key", F.col("cid").alias("b"), F.col("n").alias("bn"), F.col("root").alias("broot"))
-    held = placed.select("band", "key", F.col("cid").alias("a"), F.col("n").alias("an"),
-                         F.col("root").alias("aroot"), (F.col("root") == F.col("proot")).alias("main"),
-                         (F.col("cid") == F.col("pivot")).alias("pivot"))
-    close = F.least("an", "bn") >= F.greatest("an", "bn") * similarity - 1e-9
-    pairs = out.join(held, ["band", "key"]).where(
-        (F.col("aroot") != F.col("broot")) & (F.col("main") | (F.col("a") < F.col("b")))
-        & ~F.col("pivot") & close)
-    return materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                       .distinct(), "pairs")
-
-
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
     """The documents that are kept, all columns as they are; of repeated rows with words, one."""
     kept = near_duplicates(docs, similarity, text).where("kept").select(

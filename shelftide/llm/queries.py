@@ -72,4 +72,68 @@ QUERIES = {f.__name__: f for f in (
     op1_quality, op2_near_vectors, op3_forced_bpe, op4_token_files, op5_near_texts, op6_sharding,
     op7_repeats, op8_html_text, op9_lattice_lm, op10_decontaminate)}
 
-ORACLE: dict[str, str] = {}
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+#: DuckDB statements, where SQL says the same on whole tables.
+ORACLE: dict[str, str] = {
+    "op2_near_vectors": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id, vec_id AS r FROM v
+  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r),
+n AS (SELECT a, count(*) AS c FROM links GROUP BY 1)
+SELECT reach.vec_id, coalesce(max(n.c), 0) AS n_links, min(r) AS component_id,
+  reach.vec_id = min(r) AS kept
+FROM reach LEFT JOIN n ON n.a = reach.vec_id GROUP BY reach.vec_id""",
+    "op5_near_texts": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (
+  SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+c AS (SELECT doc_id, g, count(*) AS c FROM s GROUP BY 1, 2),
+t AS (SELECT doc_id, CAST(sum(c) AS BIGINT) AS n FROM c GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.c, b.c)) AS o
+  FROM c a JOIN c b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+near AS (
+  SELECT a, b FROM p JOIN t x ON x.doc_id = a JOIN t y ON y.doc_id = b
+  WHERE o >= 0.8 * (x.n + y.n - o)),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)
+SELECT reach.doc_id, min(r) AS cluster_id, coalesce(max(t.n), 0) AS n_shingles,
+  reach.doc_id = min(r) AS kept
+FROM reach LEFT JOIN t ON t.doc_id = reach.doc_id GROUP BY reach.doc_id""",
+    "op10_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT id, least(10, len(w)) AS n, array_to_string(w[i:i + 9], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+dg AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, dg.n, id FROM dg JOIN win ON win.g = dg.g AND win.n = dg.n),
+pos AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+its AS (
+  SELECT doc_id, count(DISTINCT id) AS n_items,
+    sha256(string_agg(DISTINCT id, ',' ORDER BY id)) AS items FROM hit GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, coalesce(items, sha256('')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN pos ON pos.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id""",
+}

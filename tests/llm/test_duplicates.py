@@ -159,6 +159,35 @@ def test_near_texts_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept) == sorted({i for i, c in plain_texts(rows) if i == c})
 
 
+def test_near_texts_in_blocks(spark, monkeypatch):
+    """Copies with so many edits that most pairs of a bucket are no links; blocks of three."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(140)]
+    rows = []
+    for i in range(120):
+        text = list(base)
+        for _ in range(rng.randint(0, 7)):
+            text[rng.randrange(len(text))] = word()
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(near_texts, "BLOCK", 3)
+    got = near_texts.near_duplicates(df).collect()
+    want = plain_texts(rows)
+    assert sorted((r.doc_id, r.cluster_id) for r in got) == want
+    assert 1 < len({c for _, c in want}) < 120
+
+
+def test_overlaps_are_exact():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(0, 90)).astype(np.uint64)) for _ in range(25)]
+    got = near_texts.overlaps(sets, step=64)
+    for i in range(25):
+        for j in range(25):
+            if i != j:
+                assert got[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
 def test_near_texts_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     got = queries.op5_near_texts(spark, SF_DIR).collect()
