@@ -7,7 +7,7 @@ import os
 import time
 
 from shelftide.plans.queries import QUERIES
-from shelftide.session import local_session
+from shelftide.session import drop_run_tables, local_session
 from shelftide.sources.storage import discard
 
 HEADLINE = (
@@ -29,6 +29,7 @@ def main() -> None:
             started = time.perf_counter()
             discard(QUERIES[name](spark, sf_dir))
             seconds[name] = round(time.perf_counter() - started, 3)
+    drop_run_tables(spark)
     spark.stop()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3),

@@ -52,14 +52,14 @@ def assemble(parts: Sequence[DataFrame], run_at: dt.datetime | None = None) -> D
 
 
 def enforce(journal: DataFrame, layer: str) -> list[Row]:
-    """Collect the journal (tens of rows) and stop on errors or on an empty journal."""
+    """The journal's rows (a few tens), if there are any and none of them is an error."""
     rows = journal.collect()
-    if not rows:
-        raise CheckFailed(f"{layer}: the journal is empty, no check was computed")
-    errors = [r for r in rows if r["Status"] == labels.ERROR]
-    if errors:
-        found = "; ".join(f"{r['CheckName']}: {r['Details']}" for r in errors)
-        raise CheckFailed(f"{layer} failed its checks ({len(errors)}): {found}")
+    failed = {r.CheckName: r.Details for r in rows if r.Status == labels.ERROR}
+    if failed or not rows:
+        raise CheckFailed("\n".join(
+            [f"{layer}: {len(failed)} of {len(rows)} checks failed"
+             if rows else f"{layer}: nothing was checked, its journal is empty",
+             *[f"  {name}: {details}" for name, details in sorted(failed.items())]]))
     return rows
 
 

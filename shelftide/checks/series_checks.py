@@ -60,7 +60,7 @@ def source_totals(raw: DataFrame, params: Params) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("SrcRowsAll"),
         F.coalesce(F.sum(F.when(F.col("Unknown"), F.col("n"))), F.lit(0)).alias("UnknownRows"))
     items = unknown.select("ItemId").distinct().agg(F.count(F.lit(1)).alias("UnknownItems"))
-    measures = unknown.select("Measure").distinct().agg(
+    measures = unknown.select("Measure").distinct().orderBy("Measure").limit(EXAMPLES).agg(
         F.array_join(F.sort_array(F.collect_list("Measure")), ", ").alias("UnknownMeasures"))
     examples = (
         unknown.select(F.concat("ItemId", F.lit(" ("), "Measure", F.lit(")")).alias("e"))
@@ -74,7 +74,8 @@ def day_totals(day_layer: DataFrame) -> DataFrame:
     repeated keys before the shuffle and needs no distinct aggregate."""
     by_key = day_layer.groupBy("TransDate", "ItemLocationId").agg(
         F.count(F.lit(1)).alias("Rows"),
-        F.sum(F.when(F.col("Branch") == labels.UNKNOWN, 1).otherwise(0)).alias("UnknownBranch"),
+        F.sum(F.when(F.coalesce(F.col("Branch"), F.lit("")).isin("", labels.UNKNOWN), 1)
+              .otherwise(0)).alias("UnknownBranch"),
         F.sum("IsReturn").alias("ReturnRows"))
     zero = F.lit(0)
     return by_key.agg(
@@ -121,22 +122,22 @@ def series_checks(raw: DataFrame, facts: DataFrame, day_layer: DataFrame,
         rows_of(totals, [
             check("days_rows_total", labels.ERROR,
                   F.abs(c("Rows") + c("UnknownRows") - c("SrcRowsAll")),
-                  text("layer ", c("Rows"), " + outside the profile ", c("UnknownRows"),
-                       " against source rows ", c("SrcRowsAll"))),
+                  text(c("SrcRowsAll"), " source rows; days hold ", c("Rows"), ", ", c("UnknownRows"),
+                       " have no known measure")),
             check("source_measures_known", labels.WARNING, c("UnknownRows"),
-                  text("rows with a measure outside the profile: ", c("UnknownRows"),
-                       ", items: ", c("UnknownItems"), ", measures: ", c("UnknownMeasures"),
-                       "; examples: ", c("UnknownExamples"))),
+                  text(c("UnknownRows"), " rows of ", c("UnknownItems"),
+                       " items are measured in units of no branch (first ones: ",
+                       c("UnknownMeasures"), "), such as ", c("UnknownExamples"))),
             check("days_rows_positive", labels.ERROR, c("Rows") == 0,
-                  text("rows in the layer: ", c("Rows"))),
+                  text("the day layer has ", c("Rows"), " rows")),
             check("days_key_unique", labels.ERROR, c("Rows") - c("Keys"),
-                  text("rows ", c("Rows"), ", day x pair keys ", c("Keys"))),
+                  text(c("Rows"), " rows for ", c("Keys"), " combinations of day and pair")),
             check("days_branch_known", labels.ERROR, c("UnknownBranch"),
-                  text("rows without a branch: ", c("UnknownBranch"))),
+                  text(c("UnknownBranch"), " rows belong to no branch")),
             check("days_pair_one_branch", labels.ERROR, c("MultiBranchPairs"),
-                  text("pairs in more than one branch: ", c("MultiBranchPairs"))),
+                  text(c("MultiBranchPairs"), " pairs change their branch")),
             check("days_returns_zeroed", labels.WARNING, c("ReturnRows"),
-                  text("rows with a zeroed return: ", c("ReturnRows"))),
+                  text(c("ReturnRows"), " rows were returns and count as no sale")),
         ])]
     if array_layer is not None:
         parts.append(array_checks(day_layer, array_layer))

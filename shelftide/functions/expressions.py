@@ -20,10 +20,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def sum_if(condition: Column, value: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0.0))
-
-
 def map_values(column: Column, mapping: Mapping, default: Column) -> Column:
     """Dictionary lookup; a value outside the dictionary gets the default."""
     result = default
@@ -69,5 +65,8 @@ def demand_quadrant(adi: Column, cv2: Column, params: Params) -> Column:
 
 
 def exact(value: Column) -> Column:
-    """Fixed-point copy of a double, so that sums do not depend on the order of addition."""
-    return value.cast("decimal(18,4)")
+    """Fixed-point copy of a double, so that sums do not depend on the order of addition.
+
+    Ten places after the point, 28 before: a value under 5e-11 becomes 0.
+    """
+    return value.cast("decimal(38,10)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelftide.functions import labels
 from shelftide.functions.expressions import exact
@@ -34,83 +34,47 @@ RULES = (
     Rule("AbcFreqSubgroup", "SalesDays", ("LocationId", "ItemIdLevel2"), needs_matrix=True),
 )
 
-# Pairs of one store that a single task sorts comfortably; larger stores go block by block.
-STORE_PAIRS_PER_TASK = 1_000_000
-
 _INPUT = ("ItemLocationId", "LocationId", "ItemIdLevel2", "Branch", "IsEmpty", "MatrixDays",
           "Revenue", "SalesQtyTotal", "SalesDays")
 
 
-def _order(metric: str) -> list[Column]:
-    return [F.col(metric).desc(), F.col("RevenueExact").desc(), F.col("ItemLocationId").asc()]
+def _ranked_by(rule: Rule) -> Column:
+    """A pair's entry under one rule: its group within the store, and what it is ranked by."""
+    inner = [F.coalesce(F.col(c), F.lit("")) for c in rule.partition if c != "LocationId"]
+    metric = F.when(rule.applies(), exact(F.col(rule.metric))).otherwise(exact(F.lit(0)))
+    return F.struct(F.lit(rule.name).alias("Rule"),
+                    F.concat_ws("\x1f", *inner).alias("Inner"), metric.alias("Metric"),
+                    F.coalesce(rule.applies(), F.lit(False)).alias("Applies"))
 
 
-def _class(rule: Rule, metric: Column, running: Column, total: Column,
-           params: Params) -> Column:
+def _class(params: Params) -> Column:
     """Class by the share accumulated before the pair, so the one crossing a bound stays."""
-    before = (running - metric).cast("double") / total.cast("double")
-    return (F.when(~rule.applies(), labels.NOT_APPLICABLE)
+    metric, total = F.col("Metric"), F.col("Total")
+    before = (F.col("Running") - metric).cast("double") / total.cast("double")
+    return (F.when(~F.col("Applies"), labels.NOT_APPLICABLE)
             .when((total <= 0) | (metric <= 0), "C")
             .when(before < F.lit(float(params.abc[0])), "A")
             .when(before < F.lit(float(params.abc[1])), "B")
             .otherwise("C"))
 
 
-def _metric(rule: Rule) -> Column:
-    return F.when(rule.applies(), exact(F.col(rule.metric))).otherwise(exact(F.lit(0)))
-
-
-def _by_windows(base: DataFrame, params: Params, keys_before: tuple[str, ...],
-                rules=RULES) -> DataFrame:
-    """Six window sorts behind one exchange: a hash on the store also clusters every finer
-    partition."""
-    placed = base.repartition(*keys_before, "LocationId")
-    placed = placed.withColumns({f"M_{rule.name}": _metric(rule) for rule in rules})
-
-    def classified(rule: Rule) -> Column:
-        metric = F.col(f"M_{rule.name}")
-        window = Window.partitionBy(*keys_before, *rule.partition).orderBy(
-            *_order(f"M_{rule.name}"))
-        running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return _class(rule, metric, F.sum(metric).over(running), F.sum(metric).over(whole),
-                      params)
-
-    return placed.select(*keys_before, "ItemLocationId",
-                         *[classified(rule).alias(rule.name) for rule in rules])
-
-
-def _by_blocks(base: DataFrame, params: Params, keys_before: tuple[str, ...],
-               rules=RULES) -> DataFrame:
-    """The same classes for stores too large for one task, one rule at a time."""
-    out = None
-    for rule in rules:
-        ranked = running_total(
-            base.withColumn("M", _metric(rule)), [*keys_before, *rule.partition],
-            _order("M"), "M", "Running", total="Total")
-        classes = ranked.select(*keys_before, "ItemLocationId", _class(
-            rule, F.col("M"), F.col("Running"), F.col("Total"), params).alias(rule.name))
-        out = classes if out is None else out.join(classes, [*keys_before, "ItemLocationId"])
-    return out
-
-
 def abc_classes(pair_profile: DataFrame, params: Params,
-                store_pairs_per_task: int = STORE_PAIRS_PER_TASK,
                 keys_before: tuple[str, ...] = ()) -> DataFrame:
-    """Six classes per pair, from the `sales` rows of a written pair profile.
+    """Six classes per pair, from the `sales` rows of a pair profile.
 
-    Stores are counted first (one column of a written layer). Ordinary stores use plain
-    windows; a store above the limit is ranked in range blocks, so no task sorts it whole.
+    A pair has one entry under every rule; all entries are ranked in one running total over
+    (rule, store, group), which deals a store of any size out over many tasks.
     """
     base = (pair_profile.where(F.col("Variant") == labels.SALES)
             .select(*keys_before, *_INPUT)
-            .withColumn("RevenueExact", exact(F.col("Revenue"))))
-    group = [*keys_before, "LocationId"]
-    large = (base.groupBy(*group).count()
-             .where(F.col("count") > store_pairs_per_task).select(*group))
-    if large.isEmpty():
-        return _by_windows(base, params, keys_before)
-    ordinary = base.join(large, group, "left_anti")
-    heavy = base.join(large, group, "left_semi")
-    return (_by_windows(ordinary, params, keys_before)
-            .unionByName(_by_blocks(heavy, params, keys_before)))
+            .withColumn("LocationId", F.coalesce("LocationId", F.lit(""))))
+    entries = base.select(
+        *keys_before, "ItemLocationId", "LocationId", exact(F.col("Revenue")).alias("RevenueExact"),
+        F.inline(F.array(*[_ranked_by(rule) for rule in RULES])))
+    ranked = running_total(
+        entries, [*keys_before, "Rule", "LocationId", "Inner"],
+        [F.col("Metric").desc(), F.col("RevenueExact").desc(), F.col("ItemLocationId").asc()],
+        "Metric", "Running", total="Total")
+    classes = ranked.withColumn("Class", _class(params)).groupBy(*keys_before, "ItemLocationId")
+    return classes.agg(*[F.max(F.when(F.col("Rule") == rule.name, F.col("Class"))).alias(rule.name)
+                         for rule in RULES])

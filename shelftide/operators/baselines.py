@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -124,6 +124,18 @@ def forecast_errors(forecast: DataFrame, test: Backtest) -> DataFrame:
             .withColumn("Wape", ratio(F.col("AbsError"), F.col("Actual"))))
 
 
+def errors_by_horizons(errors: DataFrame, groups: Mapping[str, tuple[int, int]],
+                       keys: Sequence[str]) -> DataFrame:
+    """Error sums of `forecast_errors` over groups of horizons (first, last), by any keys."""
+    name = F.lit(None).cast("string")
+    for label, (first, last) in groups.items():
+        name = F.when(F.col("Horizon").between(first, last), F.lit(label)).otherwise(name)
+    return (errors.withColumn("Horizons", name).where("Horizons is not null")
+            .groupBy(*keys, "Variant", "Model", "Horizons")
+            .agg(*[F.sum(c).alias(c) for c in ("Days", "Actual", "AbsError", "Pinball")])
+            .withColumn("Wape", ratio(F.col("AbsError"), F.col("Actual"))))
+
+
 def calibration(forecast: DataFrame, attributes: DataFrame, keys: Sequence[str],
                 test: Backtest) -> DataFrame:
     """Coverage of every quantile and bias of the mean, by segment and horizon."""

@@ -2,44 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelftide.functions import labels
 
 
-def _source_mark(raw_in_period: DataFrame, columns: list[str]) -> DataFrame:
-    """Files, bytes, rows and an order-independent hash in one scan.
+def canonical(df: DataFrame, column: str) -> Column:
+    """A value as text that any engine writes alike, with its length; a null is marked as such."""
+    value, kind = F.col(f"`{column}`"), df.schema[column].dataType.typeName()
+    if kind in ("double", "float"):
+        text = value.cast("decimal(38,6)").cast("string")
+    elif kind.startswith("timestamp"):
+        text = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+    else:
+        text = value.cast("string")
+    return F.when(text.isNull(), "n").otherwise(F.concat(F.lit("v"), F.length(text), F.lit(":"), text))
 
-    The row hash is summed per file in two halves that fit a long, then per data set as a
-    decimal taken modulo 2^64, so no row order and no overflow can change it.
-    """
-    digest = F.xxhash64(*columns)
-    low = F.lit(0xFFFFFFFF)
+
+def content_mark(df: DataFrame, columns: list[str]) -> Column:
+    """Order-independent mark of the rows, an aggregate: the first 60 bits of every row's digest, added up."""
+    row = F.md5(F.concat(*[canonical(df, c) for c in columns]))
+    return F.coalesce(F.sum(F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")),
+                      F.lit(0)).cast("string")
+
+
+def source_mark(raw_in_period: DataFrame, columns: list[str]) -> DataFrame:
+    """Files, bytes, rows and content mark in one scan: partial sums by file, then over the files."""
     per_file = (
         raw_in_period
         .groupBy(F.col("_metadata.file_path").alias("File"))
         .agg(F.max(F.col("_metadata.file_size")).alias("Bytes"),
              F.count(F.lit(1)).alias("Rows"),
-             F.sum(F.shiftrightunsigned(digest, 32)).alias("High"),
-             F.sum(digest.bitwiseAND(low)).alias("Low")))
-    # 2^32 and 2^64 as decimals.
-    shift = F.lit(1 << 32).cast("decimal(10,0)")
-    modulus = F.expr("cast(18446744073709551616 as decimal(20,0))")
+             content_mark(raw_in_period, columns).cast("decimal(38,0)").alias("Mark")))
     return per_file.agg(
         F.count(F.lit(1)).alias("SrcFiles"), F.coalesce(F.sum("Bytes"), F.lit(0)).alias("SrcBytes"),
         F.coalesce(F.sum("Rows"), F.lit(0)).alias("SrcRows"),
-        F.pmod(
-            F.coalesce(F.sum((F.pmod(F.col("High"), F.lit(1 << 32)).cast("decimal(10,0)") * shift
-                              + F.col("Low").cast("decimal(20,0)")).cast("decimal(28,0)")),
-                       F.lit(0)).cast("decimal(38,0)"),
-            modulus.cast("decimal(38,0)")).cast("string").alias("SrcHash"))
+        F.coalesce(F.sum("Mark"), F.lit(0)).cast("string").alias("SrcHash"))
 
 
 def fingerprint(raw_in_period: DataFrame, day_layer: DataFrame, base_layer: DataFrame,
                 pair_column: str = "ItemLocationId") -> DataFrame:
     """Counts of the raw rows of the period (before the measure filter) and of the layers."""
     columns = raw_in_period.columns
-    source = _source_mark(raw_in_period, columns)
+    source = source_mark(raw_in_period, columns)
     source_pairs = raw_in_period.agg(F.count_distinct(pair_column).alias("SrcPairs"))
     return (
         source.crossJoin(source_pairs)

@@ -4,36 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from shelftide.session import materialise
+
 
 def hierarchy_paths(edges: DataFrame, node: str, parent: str, name: str,
-                    depth: int = 5, delimiter: str = "/") -> DataFrame:
+                    delimiter: str = "/") -> DataFrame:
     """For every node: ids and names from the root down, and the joined name path.
 
-    A tree deeper than `depth` is cut at the far end and a cycle ends there too. Each level
-    is one left join on the unique node id, without a size assumption: adaptive execution
-    broadcasts a small tree and splits a parent that holds very many children.
+    Climbs one level at a time until no node has an ancestor left, so a tree of any depth is
+    followed to its roots; ids must be unique. Nodes on or under a cycle have no root and raise
+    an error. Each level is one join, written so that the next starts from a table.
     """
     for column in (node, parent, name):
         if column not in edges.columns:
             raise ValueError(f"edges have no column {column!r}: {edges.columns}")
-    if depth < 1:
-        raise ValueError(f"depth must be at least 1, got {depth}")
-
-    tree = edges.select(F.col(node).alias("LevelId"), F.col(parent).alias("ParentLevelId"),
-                        F.col(name).alias("LevelName"))
-    out = tree.select("*", F.col("LevelId").alias("Id1"), F.col("LevelName").alias("Name1"),
-                      F.col("ParentLevelId").alias("Next"))
-    for level in range(2, depth + 1):
-        ancestor = tree.select(F.col("LevelId").alias(f"Id{level}"),
-                               F.col("LevelName").alias(f"Name{level}"),
-                               F.col("ParentLevelId").alias("After"))
-        out = (out.join(ancestor, F.col("Next") == F.col(f"Id{level}"), "left")
-               .drop("Next").withColumnRenamed("After", "Next"))
-
-    def filled(prefix: str):
-        values = F.array(*[F.col(f"{prefix}{i}") for i in range(depth, 0, -1)])
-        return F.filter(values, lambda x: x.isNotNull() & (F.length(x.cast("string")) > 0))
-
-    return (out.select("LevelId", "ParentLevelId", "LevelName",
-                       filled("Id").alias("LevelIdList"), filled("Name").alias("LevelNameList"))
+    tree = materialise(edges.select(
+        F.col(node).alias("LevelId"), F.col(parent).alias("ParentLevelId"),
+        F.col(name).alias("LevelName")), "tree")
+    above = tree.toDF("Above", "Over", "AboveName")
+    climbing = tree.select("*", F.array("LevelId").alias("Ids"), F.array("LevelName").alias("Names"),
+                           F.col("ParentLevelId").alias("Next"))
+    arrived = []
+    while True:
+        step = materialise(
+            climbing.join(above, F.col("Next") == F.col("Above"), "left").select(
+                "LevelId", "ParentLevelId", "LevelName",
+                F.when(F.col("Above").isNull(), F.col("Ids"))
+                .otherwise(F.concat(F.array("Above"), "Ids")).alias("Ids"),
+                F.when(F.col("Above").isNull(), F.col("Names"))
+                .otherwise(F.concat(F.array("AboveName"), "Names")).alias("Names"),
+                F.col("Over").alias("Next"), F.array_contains("Ids", F.col("Above")).alias("Again")),
+            "paths")
+        if not (looped := step.where("Again").select("LevelId").limit(1)).isEmpty():
+            raise ValueError(f"the tree has a cycle at or above node {looped.first()[0]!r}")
+        arrived.append(step.where("Next is null"))
+        climbing = step.where("Next is not null")
+        if climbing.isEmpty():
+            break
+    paths = arrived[0]
+    for more in arrived[1:]:
+        paths = paths.unionAll(more)
+
+    def filled(column: str):
+        return F.filter(column, lambda x: x.isNotNull() & (F.length(x.cast("string")) > 0))
+
+    return (paths.select("LevelId", "ParentLevelId", "LevelName",
+                         filled("Ids").alias("LevelIdList"), filled("Names").alias("LevelNameList"))
             .withColumn("LevelNameTree", F.array_join("LevelNameList", delimiter)))

@@ -30,19 +30,33 @@ def weekday_strength(day_layer: DataFrame) -> DataFrame:
                 F.sum(F.col(name) * F.col(name)).alias(f"q_{v}"))])
     totals = by_weekday.groupBy("ItemLocationId").agg(*[
         part for v in _VALUES for part in (
+            F.count_if(F.col(f"n_{v}") > 0).alias(f"d_{v}"),
             F.sum(f"n_{v}").alias(f"n_{v}"), F.sum(f"s_{v}").alias(f"s_{v}"),
             F.sum(f"q_{v}").alias(f"q_{v}"),
             F.sum(F.try_divide(F.col(f"s_{v}") * F.col(f"s_{v}"), F.col(f"n_{v}")))
             .alias(f"b_{v}"))])
     rows = totals.select("ItemLocationId", _by_variant({
-        v: {"n": f"n_{v}", "s": f"s_{v}", "q": f"q_{v}", "b": f"b_{v}"} for v in _VALUES}))
+        v: {"d": f"d_{v}", "n": f"n_{v}", "s": f"s_{v}", "q": f"q_{v}", "b": f"b_{v}"} for v in _VALUES}))
     level = ratio(F.col("s") * F.col("s"), F.col("n"))
     spread = F.col("q") - level
     # A constant series leaves only rounding noise as its variance.
     varies = spread > 1e-9 * F.col("q")
     return rows.where(F.col("n") > 0).select(
         "ItemLocationId", "Variant", F.col("n").cast("long").alias("Points"),
-        F.when(varies, (F.col("b") - level) / spread).alias("WeekdayShare"))
+        F.col("d").alias("Weekdays"), F.when(varies, (F.col("b") - level) / spread).alias("WeekdayShare"))
+
+
+def weekday_significance(strength: DataFrame) -> DataFrame:
+    """Chance of a weekday share at least this large if weekdays did not matter (F test).
+
+    With all seven weekdays the tail of F(6, n - 7) is closed: with e the share and a = (n - 7) / 2,
+    p = (1 - e)^a (1 + a e + a (a + 1) e^2 / 2).
+    """
+    e, a = F.col("WeekdayShare"), (F.col("Points") - 7) / F.lit(2.0)
+    e = F.greatest(F.lit(0.0), F.least(F.lit(1.0), e))
+    return strength.where((F.col("Weekdays") == 7) & (F.col("Points") > 7)
+                          & F.col("WeekdayShare").isNotNull()).withColumn(
+        "P", F.pow(1 - e, a) * (1 + a * e + a * (a + 1) * e * e / 2))
 
 
 def _at_lag(name: str, lag: int) -> Column:

@@ -126,14 +126,22 @@ def class_checks(classified: DataFrame, min_days: int, min_share: float = 0.03)
 
 
 def stratified_sample(profile: DataFrame, per_cell: int, seed: int,
-                      cell: Sequence[str] = ("Quadrant", "Branch")) -> DataFrame:
-    """The same `per_cell` series of every cell on each run, by a seeded hash order. The rank
-    filter is applied before the shuffle too, so a huge cell sends only its candidates."""
-    order = Window.partitionBy(*cell).orderBy(
-        F.xxhash64(F.col("ItemLocationId"), F.lit(seed)), "ItemLocationId")
-    return (profile.where(F.col("Variant") == labels.SALES)
-            .withColumn("Place", F.row_number().over(order))
-            .where(F.col("Place") <= per_cell).drop("Place"))
+                      cell: Sequence[str] = ("Quadrant", "Branch"), buckets: int = 64) -> DataFrame:
+    """The same `per_cell` series of every cell on each run: those with the lowest digests of seed
+    and id.
+
+    In two stages: each of a cell's buckets keeps its lowest, then the cell keeps the lowest of at most
+    `buckets` x `per_cell` rows, so no task ranks a whole cell.
+    """
+    ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("ItemLocationId").cast("string")))
+    rows = profile.where(F.col("Variant") == labels.SALES).withColumns({
+        "Ticket": ticket, "Bucket": F.pmod(F.xxhash64("ItemLocationId"), F.lit(buckets))})
+
+    def lowest(df: DataFrame, *within: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*within).orderBy("Ticket", "ItemLocationId"))
+        return df.withColumn("Place", place).where(F.col("Place") <= per_cell).drop("Place")
+
+    return lowest(lowest(rows, *cell, "Bucket"), *cell).drop("Ticket", "Bucket")
 
 
 def applicability(profile: DataFrame, measures: DataFrame, statuses: Sequence[str],

@@ -56,8 +56,8 @@ class Params:
 
 
 LINEITEM_PARAMS = Params(
-    start=dt.date(1998, 1, 1), end=dt.date(2000, 12, 31), cohort_date=dt.date(1998, 7, 1),
-    outlier_revenue_mln=7.0, disputed=("L2-3",))
+    start=dt.date(1995, 1, 1), end=dt.date(2001, 12, 31), cohort_date=dt.date(1995, 7, 1),
+    outlier_revenue_mln=16.0, disputed=("L2-3",))
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 

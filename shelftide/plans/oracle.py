@@ -19,7 +19,7 @@ raw AS (
                WHEN l_returnflag = 'R' AND l_discount >= 0.09 THEN -l_extendedprice
                ELSE l_extendedprice END) AS Amount
     FROM lineitem JOIN part ON l_partkey = p_partkey
-    WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-01-01' AND DATE '2000-12-31'
+    WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
     GROUP BY 1, 2, 3, 4, 5, 6) d
   LEFT JOIN supplier ON s_suppkey = sk
   LEFT JOIN nation ON n_nationkey = s_nationkey
@@ -98,7 +98,7 @@ days AS (
 
 
 LINEITEM = _layers(
-    RAW_LINEITEM, "'kg', 'pcs'", "f.ItemMeasure", "1998-07-01", "7000000",
+    RAW_LINEITEM, "'kg', 'pcs'", "f.ItemMeasure", "1995-07-01", "16000000",
     "CASE WHEN p.ItemIdLevel2 = 'L2-3' THEN 'disputed' ELSE 'main' END")
 EVENTS = _layers(
     RAW_EVENTS, "'click', 'purchase', 'error', 'signup', 'view'",
@@ -164,7 +164,7 @@ def abc_sql(source: str, prefix: str = "", extra: str = "") -> str:
     metrics, sums, classes = [], [], []
     for name, metric, keys, matrix in ABC_RULES:
         applies = "IsEmpty = 0" + (" AND MatrixDays > 0" if matrix else "")
-        metrics.append(f"CASE WHEN {applies} THEN CAST({metric} AS DECIMAL(18,4)) ELSE 0 END "
+        metrics.append(f"CASE WHEN {applies} THEN CAST({metric} AS DECIMAL(38,10)) ELSE 0 END "
                        f"AS m_{name}, {applies} AS a_{name}")
         over = (f"PARTITION BY {extra}{keys} ORDER BY m_{name} DESC, rev DESC, ItemLocationId "
                 "ROWS BETWEEN UNBOUNDED PRECEDING AND")
@@ -176,7 +176,7 @@ def abc_sql(source: str, prefix: str = "", extra: str = "") -> str:
                        f"ELSE 'C' END AS {name}")
     return f""",
 {prefix}abc_m AS (
-  SELECT *, CAST(Revenue AS DECIMAL(18,4)) AS rev, {', '.join(metrics)} FROM {source}),
+  SELECT *, CAST(Revenue AS DECIMAL(38,10)) AS rev, {', '.join(metrics)} FROM {source}),
 {prefix}abc_s AS (SELECT *, {', '.join(sums)} FROM {prefix}abc_m),
 {prefix}abc AS (SELECT {extra}ItemLocationId, {', '.join(classes)} FROM {prefix}abc_s)"""
 

@@ -16,7 +16,9 @@ def _six(*columns: str) -> str:
     return ", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in columns)
 
 
-_FACTS = f"""WITH {LINEITEM}
+_THREE_YEARS = LINEITEM.replace("DATE '1995-01-01' AND DATE '2001-12-31'",
+                                "DATE '1998-01-01' AND DATE '2000-12-31'")
+_FACTS = f"""WITH {_THREE_YEARS}
 SELECT TransDate, ItemLocationId, LocationId, ItemId, ItemMeasure, ItemIdLevel2, ItemIdLevel3,
   LocationNetwork, LocationFormatTT, IsMatrix, StockStartQty, StockEndQty,
   {_money('SalesQty', 'SalesAmount')}, IsReturn FROM facts"""
@@ -37,7 +39,7 @@ _BASE_ROWS = f"""SELECT {_ATTRIBUTES}, {_money('SalesQtyTotal', 'Revenue')},
 
 # Pivots read the profile; `base` is its name inside the pivot text.
 _PIVOT = f"WITH {LINEITEM}{PROFILE}, base AS (SELECT * FROM profile)"
-_REVENUE = "sum(CAST(Revenue AS DECIMAL(18,4)))"
+_REVENUE = "sum(CAST(Revenue AS DECIMAL(38,10)))"
 _DEFICIT = "100.0 * sum(DeficitDays) / nullif(sum(MatrixDays), 0)"
 _REASON = """CASE WHEN IsEmpty = 1 THEN 'empty series' WHEN MatrixDays = 0 THEN 'no matrix days'
   WHEN VariantDays = 0 THEN 'no variant days'
@@ -98,7 +100,8 @@ src AS (
   SELECT count(*) AS SrcRowsAll, count(*) FILTER (ItemMeasure NOT IN ('kg', 'pcs')) AS UnknownRows,
     count(DISTINCT ItemId) FILTER (ItemMeasure NOT IN ('kg', 'pcs')) AS UnknownItems,
     coalesce((SELECT string_agg(m, ', ' ORDER BY m) FROM (
-      SELECT DISTINCT ItemMeasure AS m FROM measured WHERE ItemMeasure NOT IN ('kg', 'pcs'))), '')
+      SELECT DISTINCT ItemMeasure AS m FROM measured WHERE ItemMeasure NOT IN ('kg', 'pcs')
+      ORDER BY m LIMIT 10)), '')
       AS UnknownMeasures,
     coalesce((SELECT string_agg(e, ', ' ORDER BY e) FROM (
       SELECT DISTINCT concat(ItemId, ' (', ItemMeasure, ')') AS e FROM measured
@@ -144,9 +147,9 @@ _NO_ABC = " OR ".join(f"coalesce({c}, '') = ''" for c in _ABC_LIST)
 _CLASSES = "'smooth', 'erratic', 'intermittent', 'lumpy', 'n/a'"
 
 _PROFILE_COUNTERS = {
-    "profile_filled_branch": "Variant = 'sales' AND IsEmpty = 0 AND Branch IN ('', 'unknown')",
-    "profile_filled_subgroup": "Variant = 'sales' AND IsEmpty = 0 AND ItemIdLevel2 = ''",
-    "profile_filled_cohort": "Variant = 'sales' AND IsEmpty = 0 AND Cohort IN ('', 'n/a')",
+    "profile_filled_branch": "Variant = 'sales' AND IsEmpty = 0 AND coalesce(Branch, '') IN ('', 'unknown')",
+    "profile_filled_subgroup": "Variant = 'sales' AND IsEmpty = 0 AND coalesce(ItemIdLevel2, '') = ''",
+    "profile_filled_cohort": "Variant = 'sales' AND IsEmpty = 0 AND coalesce(Cohort, '') IN ('', 'n/a')",
     "profile_filled_demand_class": f"IsEmpty = 0 AND Quadrant NOT IN ({_CLASSES})",
     "profile_filled_deficit":
         "Variant = 'sales' AND IsEmpty = 0 AND MatrixDays > 0 AND DeficitDayShare IS NULL",
@@ -188,12 +191,30 @@ walk AS (
   UNION ALL
   SELECT w.id, w.pid, w.name, e.pid, concat(e.id, '/', w.ids), concat(e.name, '/', w.names),
     w.depth + 1
-  FROM walk w JOIN edges e ON e.id = w.nxt WHERE w.depth < 5)
+  FROM walk w JOIN edges e ON e.id = w.nxt)
 SELECT id AS LevelId, pid AS ParentLevelId, name AS LevelName, ids AS LevelIdTree,
   depth AS Depth, names AS LevelNameTree
 FROM walk QUALIFY row_number() OVER (PARTITION BY id ORDER BY depth DESC) = 1"""
 
+_LINE_COLUMNS = {
+    "l_orderkey": "", "l_partkey": "", "l_suppkey": "", "l_linenumber": "", "l_quantity": "d",
+    "l_extendedprice": "d", "l_discount": "d", "l_tax": "d", "l_returnflag": "",
+    "l_linestatus": "", "l_shipdate": "t"}
+
+
+def _canonical(column: str, kind: str) -> str:
+    value = {"d": f"CAST({column} AS DECIMAL(38,6))",
+             "t": f"strftime({column}, '%Y-%m-%d %H:%M:%S')"}.get(kind, column)
+    text = f"CAST({value} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN 'n' ELSE concat('v', length({text}), ':', {text}) END"
+
+
+_LINE_MARK = f"""SELECT count(*) AS SrcRows, CAST(coalesce(sum(CAST(CAST(concat('0x', substr(md5(
+  concat({', '.join(_canonical(c, k) for c, k in _LINE_COLUMNS.items())})), 1, 15)) AS BIGINT)
+  AS DECIMAL(38,0))), 0) AS VARCHAR) AS SrcHash FROM lineitem"""
+
 ORACLE: dict[str, str] = {
+    "fingerprint_hash": _LINE_MARK,
     "facts_normalised": _FACTS,
     "store_revenue_outlier": f"""WITH {LINEITEM}
 SELECT LocationId, LocationNetwork, LocationFormatTT, round(Revenue, 2) AS Revenue, OutlierStore
@@ -244,11 +265,11 @@ FROM profile""",
         ["branch", "segment"], {"pairs": "count(*)", "revenue": _REVENUE},
         ["pairs", "revenue"], "Variant = 'sales'", {"revenue": 0}),
     "table_manifest": f"""
-SELECT 'population_pairs' AS name, 'Branch,Scope,Cohort' AS keys, 'Branch,Scope' AS block,
+SELECT 'cohort_sizes' AS name, 'Branch,Scope,Cohort' AS keys, 'Branch,Scope' AS block,
   'pairs,empty series,revenue' AS measures, (SELECT count(*) FROM ({_COHORT})) AS table_rows
-UNION ALL SELECT 'population_demand_class', 'Branch,Scope,Variant,Quadrant',
+UNION ALL SELECT 'class_sizes', 'Branch,Scope,Variant,Quadrant',
   'Branch,Scope,Variant', 'pairs,revenue,deficit days, %', (SELECT count(*) FROM ({_CLASS}))
-UNION ALL SELECT 'population_not_applicable', 'Branch,Scope,Variant,Reason',
+UNION ALL SELECT 'unclassified_reasons', 'Branch,Scope,Variant,Reason',
   'Branch,Scope,Variant', 'pairs,revenue', (SELECT count(*) FROM ({_REASONS}))""",
     "fingerprint_counts": f"""WITH {LINEITEM}{PROFILE}
 SELECT (SELECT count(*) FROM measured) AS SrcRows,

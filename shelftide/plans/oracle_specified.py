@@ -20,7 +20,7 @@ outside AS (
   WHERE rn NOT BETWEEN 0.5 AND 1.5 OR rs NOT BETWEEN 0.5 AND 1.5 OR ri NOT BETWEEN 0.5 AND 1.5)"""
 
 _CONTRACT = f"""WITH {RAW_LINEITEM}{_VOLUME},
-cal AS (SELECT CAST(unnest(generate_series(DATE '1998-01-01', DATE '2000-12-31',
+cal AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31',
                                            INTERVAL 1 DAY)) AS DATE) AS d),
 c AS (
   SELECT
@@ -281,6 +281,29 @@ def _percent_ranks(measures: list[str]) -> str:
 
 _MEASURES = ["Adi", "Cv2", "DeficitDayShare"]
 
+_MEASURED = f"""{_EVENT_SERIES}{PROFILE}{_BACKTEST}, er AS ({_ERRORS}),
+eg AS (SELECT ItemLocationId, sum(Actual) AS Actual, sum(AbsError) AS AbsError FROM er
+       WHERE Variant = 'sales' AND Model = 'mean' AND Horizon BETWEEN 2 AND 3 GROUP BY 1),
+me AS (SELECT p.Branch, p.ItemLocationId, round(p.ZeroShare, 9) AS ZeroShare, Actual, AbsError,
+         round(AbsError / nullif(Actual, 0), 9) AS Wape
+       FROM profile p JOIN eg ON eg.ItemLocationId = p.ItemLocationId WHERE p.Variant = 'sales')"""
+
+_WEIGHTED_RANKS = f"""m AS (
+  SELECT Branch, CAST(w AS DOUBLE) AS w,
+    CAST(sum(w) OVER (PARTITION BY Branch ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING
+                      AND CURRENT ROW) AS DOUBLE)
+      - CAST(sum(w) OVER (PARTITION BY Branch, x) AS DOUBLE) / 2 AS rx,
+    CAST(sum(w) OVER (PARTITION BY Branch ORDER BY y RANGE BETWEEN UNBOUNDED PRECEDING
+                      AND CURRENT ROW) AS DOUBLE)
+      - CAST(sum(w) OVER (PARTITION BY Branch, y) AS DOUBLE) / 2 AS ry FROM k),
+c AS (
+  SELECT Branch, count(*) AS "Rows",
+    (sum(w) * sum(w * rx * ry) - sum(w * rx) * sum(w * ry))
+    / sqrt((sum(w) * sum(w * rx * rx) - sum(w * rx) * sum(w * rx))
+           * (sum(w) * sum(w * ry * ry) - sum(w * ry) * sum(w * ry))) AS Correlation
+  FROM m GROUP BY 1)
+SELECT Branch, "Rows", {_six('Correlation')} FROM c"""
+
 SPECIFIED |= {
     "baseline_forecasts": f"""{_EVENT_SERIES}{_BACKTEST}
 SELECT ItemLocationId, Variant, Origin, Horizon, HistoryDays, LastUsed,
@@ -289,6 +312,51 @@ SELECT ItemLocationId, Variant, Origin, Horizon, HistoryDays, LastUsed,
 er2 AS (SELECT *, AbsError / nullif(Actual, 0) AS Wape FROM er)
 SELECT ItemLocationId, Variant, Horizon, Model, Days,
   {_six('Actual', 'AbsError', 'Pinball', 'Wape')} FROM er2""",
+    "error_by_horizon_group": f"""{_EVENT_SERIES}{_BACKTEST}, er AS ({_ERRORS}),
+hg AS (
+  SELECT p.LocationNetwork, Variant, Model,
+    CASE WHEN Horizon BETWEEN 2 AND 3 THEN '2-3' ELSE '5-7' END AS Horizons,
+    CAST(sum(Days) AS BIGINT) AS Days, sum(Actual) AS Actual, sum(AbsError) AS AbsError,
+    sum(Pinball) AS Pinball
+  FROM er JOIN pairs p ON p.ItemLocationId = er.ItemLocationId
+  WHERE Horizon BETWEEN 2 AND 3 OR Horizon BETWEEN 5 AND 7 GROUP BY 1, 2, 3, 4),
+hw AS (SELECT *, AbsError / nullif(Actual, 0) AS Wape FROM hg)
+SELECT LocationNetwork, Variant, Model, Horizons, Days,
+  {_six('Actual', 'AbsError', 'Pinball', 'Wape')} FROM hw""",
+    "measure_error_rank": f"""{_MEASURED},
+k AS (SELECT Branch, ZeroShare AS x, Wape AS y, CAST(Actual AS DECIMAL(38,10)) AS w FROM me
+      WHERE ZeroShare IS NOT NULL AND Wape IS NOT NULL AND Actual > 0),
+{_WEIGHTED_RANKS}""",
+    "measure_error_deciles": f"""{_MEASURED},
+k AS (SELECT *, CAST(Actual AS DECIMAL(38,10)) AS w FROM me
+      WHERE ZeroShare IS NOT NULL AND Actual > 0),
+d AS (
+  SELECT *, CAST(ceil(
+      CAST(sum(w) OVER (PARTITION BY Branch ORDER BY ZeroShare, ItemLocationId
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) * 10
+      / CAST(sum(w) OVER (PARTITION BY Branch) AS DOUBLE)) AS INTEGER) AS Decile FROM k),
+s AS (
+  SELECT Branch, Decile, count(*) AS Series, min(ZeroShare) AS LowMeasure,
+    max(ZeroShare) AS HighMeasure, sum(Actual) AS Actual, sum(AbsError) AS AbsError,
+    sum(AbsError) / nullif(sum(Actual), 0) AS Wape FROM d GROUP BY 1, 2)
+SELECT Branch, Decile, Series, {_six('LowMeasure', 'HighMeasure', 'Actual', 'AbsError', 'Wape')}
+FROM s""",
+    "weekday_significance": f"""{_EVENT_SERIES}{_ETA},
+wd7 AS (SELECT ItemLocationId, Variant FROM w GROUP BY 1, 2 HAVING count(*) = 7),
+br AS (SELECT ItemLocationId, max(Branch) AS Branch FROM days GROUP BY 1),
+z AS (SELECT e.ItemLocationId, Branch, greatest(0.0, least(1.0, WeekdayShare)) AS s,
+        (Points - 7) / 2.0 AS a
+      FROM e JOIN wd7 ON wd7.ItemLocationId = e.ItemLocationId AND wd7.Variant = e.Variant
+      JOIN br ON br.ItemLocationId = e.ItemLocationId
+      WHERE e.Variant = 'sales' AND Points > 7 AND WeekdayShare IS NOT NULL),
+t7 AS (SELECT Branch, round(pow(1 - s, a) * (1 + a * s + a * (a + 1) * s * s / 2), 9) AS P FROM z),
+r7 AS (SELECT *, count(*) OVER (PARTITION BY Branch ORDER BY P RANGE BETWEEN UNBOUNDED PRECEDING
+                                AND CURRENT ROW) AS rank,
+         count(*) OVER (PARTITION BY Branch) AS m FROM t7),
+c7 AS (SELECT Branch, max(P) FILTER (P <= 0.2 * rank / m) AS cut FROM r7 GROUP BY 1),
+s7 AS (SELECT t7.Branch, count(*) AS Series, count(*) FILTER (P <= cut) AS SignificantSeries,
+         min(P) AS SmallestP FROM t7 JOIN c7 ON c7.Branch = t7.Branch GROUP BY 1)
+SELECT Branch, Series, SignificantSeries, {_six('SmallestP')} FROM s7""",
     "baseline_calibration": f"""{_EVENT_SERIES}{_BACKTEST},
 cal AS (
   SELECT ItemId, Variant, Horizon, count(*) AS Days,
@@ -320,25 +388,11 @@ SELECT ItemLocationId, Variant, Pairs1, Pairs7,
 SELECT ItemLocationId, Variant, Windows, Patterns, {_six('Entropy', 'Complexity')} FROM pec""",
     "rank_correlation": f"""{_RANK_ROWS},
 k AS (SELECT Branch, ZeroShare AS x, DeficitDayShare AS y,
-        CAST(SalesQtyTotal AS DECIMAL(18,4)) AS w FROM r
+        CAST(SalesQtyTotal AS DECIMAL(38,10)) AS w FROM r
       WHERE ZeroShare IS NOT NULL AND DeficitDayShare IS NOT NULL AND SalesQtyTotal > 0),
-m AS (
-  SELECT Branch, CAST(w AS DOUBLE) AS w,
-    CAST(sum(w) OVER (PARTITION BY Branch ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING
-                      AND CURRENT ROW) AS DOUBLE)
-      - CAST(sum(w) OVER (PARTITION BY Branch, x) AS DOUBLE) / 2 AS rx,
-    CAST(sum(w) OVER (PARTITION BY Branch ORDER BY y RANGE BETWEEN UNBOUNDED PRECEDING
-                      AND CURRENT ROW) AS DOUBLE)
-      - CAST(sum(w) OVER (PARTITION BY Branch, y) AS DOUBLE) / 2 AS ry FROM k),
-c AS (
-  SELECT Branch, count(*) AS "Rows",
-    (sum(w) * sum(w * rx * ry) - sum(w * rx) * sum(w * ry))
-    / sqrt((sum(w) * sum(w * rx * rx) - sum(w * rx) * sum(w * rx))
-           * (sum(w) * sum(w * ry * ry) - sum(w * ry) * sum(w * ry))) AS Correlation
-  FROM m GROUP BY 1)
-SELECT Branch, "Rows", {_six('Correlation')} FROM c""",
+{_WEIGHTED_RANKS}""",
     "volume_deciles": f"""{_RANK_ROWS},
-k AS (SELECT *, CAST(SalesQtyTotal AS DECIMAL(18,4)) AS w,
+k AS (SELECT *, CAST(SalesQtyTotal AS DECIMAL(38,10)) AS w,
         coalesce(DeficitSalesShare * VariantQty, 0) AS DeficitQty FROM r
       WHERE ZeroShare IS NOT NULL AND SalesQtyTotal > 0),
 d AS (
@@ -371,6 +425,10 @@ SELECT Branch, Class, Pairs, round(Revenue, 2) AS Revenue, {_six('RevenueShare')
     "stratified_sample_cells": f"""{_RANK_ROWS}
 SELECT Quadrant, Branch, count(*) AS Series, least(count(*), 25) AS Sampled FROM r
 GROUP BY 1, 2""",
+    "stratified_sample_series": f"""{_RANK_ROWS}
+SELECT ItemLocationId, Quadrant, Branch FROM r QUALIFY row_number() OVER (
+  PARTITION BY Quadrant, Branch
+  ORDER BY md5(concat('20260919:', ItemLocationId)), ItemLocationId) <= 25""",
 }
 
 _CORR = ("CASE WHEN sqrt(var_samp({x}) * var_samp({y})) > 1e-9 "
@@ -454,7 +512,7 @@ e AS (SELECT Branch, DayType, count(*) AS Days, sum(v) AS Sales, sum(u) AS Usual
         sum(v) / nullif(sum(u), 0) AS Effect FROM u GROUP BY 1, 2)
 SELECT Branch, DayType, Days, {_six('Sales', 'Usual', 'Effect')} FROM e""",
     "special_day_quantiles": f"""WITH {EVENTS}{_SPECIAL},
-w AS (SELECT Branch, DayType, round(v / u, 9) AS r, sum(CAST(u AS DECIMAL(18,4))) AS w
+w AS (SELECT Branch, DayType, round(v / u, 9) AS r, sum(CAST(u AS DECIMAL(38,10))) AS w
       FROM u GROUP BY 1, 2, 3),
 s AS (SELECT *, CAST(sum(w) OVER (PARTITION BY Branch, DayType ORDER BY r) AS DOUBLE)
         / CAST(sum(w) OVER (PARTITION BY Branch, DayType) AS DOUBLE) AS share FROM w),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -46,7 +46,7 @@ class Build:
         return write_layer(df, self.path(layer), keys)
 
     def _days_table(self) -> str:
-        return f"series_days_{zlib.crc32(self.root.encode())}"
+        return f"series_days_{hashlib.sha256(self.root.encode()).hexdigest()}"
 
     def _write_days(self, facts: DataFrame, summary: DataFrame,
                     stores: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ class Build:
         base = self.layer("profile_base")
         built = population(base)
         for table in built:
-            table.data.write.mode("overwrite").parquet(self.path(f"tables/{table.name}"))
+            table.rows.write.mode("overwrite").parquet(self.path(f"tables/{table.key}"))
         listed = pivot.manifest(self.spark, built)
         listed.write.mode("overwrite").json(self.path("tables/manifest"))
         mark = fingerprint.fingerprint(self.raw.where(in_period(self.params)),

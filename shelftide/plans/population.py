@@ -1,47 +1,45 @@
-"""Population tables of the report: who is in the analysis and with which demand class."""
+"""Reports on the series: which pairs are analysed, and in which demand class."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 from shelftide.functions import labels
-from shelftide.operators.pivot import Key, Measure, Table, pivot
+from shelftide.operators.pivot import Dimension, Figure, Report, report
 
-BRANCH = Key("Branch", "branch")
-VARIANT = Key("Variant", "variant", order=f"Variant = '{labels.DEMAND}'")
-PAIRS = Measure("pairs", "count(1)", share=True)
-REVENUE = Measure("revenue", "sum(cast(Revenue as decimal(18,4)))", digits=0, share=True)
-EMPTY = Measure("empty series", "sum(if(IsEmpty = 1, 1, 0))")
-DEFICIT = Measure("deficit days, %",
-                  "try_divide(100.0D * sum(DeficitDays), sum(MatrixDays))", digits=1)
+BRANCH = Dimension("Branch", "branch")
+VARIANT = Dimension("Variant", "variant", ahead=f"Variant = '{labels.DEMAND}'")
+PAIRS = Figure("pairs", "count(*)", share=True)
+REVENUE = Figure("revenue", "sum(cast(Revenue as decimal(38,10)))", places=0, share=True)
 
-CLASSIFIED = "classified"
-REASON = Key(
-    "Reason", "reason",
-    expr=f"""case when IsEmpty = 1 then 'empty series'
-                  when MatrixDays = 0 then 'no matrix days'
-                  when VariantDays = 0 then 'no variant days'
-                  when Quadrant = '{labels.NOT_APPLICABLE}' then 'fewer than two sale days'
-                  else '{CLASSIFIED}' end""",
-    order=f"Reason = '{CLASSIFIED}'")
+_WHY = f"""case when IsEmpty = 1 then 'empty series' when MatrixDays = 0 then 'no matrix days'
+  when VariantDays = 0 then 'no variant days'
+  when Quadrant = '{labels.NOT_APPLICABLE}' then 'fewer than two sale days'
+  else 'classified' end"""
 
 
-def cohorts(base: DataFrame) -> Table:
-    return pivot("population_pairs", "Pairs and revenue by cohort", base,
-                 [BRANCH, Key("Cohort", "cohort")], [PAIRS, EMPTY, REVENUE],
-                 where=f"Variant = '{labels.SALES}'", source_name="profile_base")
+def cohorts(base: DataFrame) -> Report:
+    return report(
+        "cohort_sizes", "How many pairs each cohort has, and what they earn", base,
+        [BRANCH, Dimension("Cohort", "cohort")],
+        [PAIRS, Figure("empty series", "sum(IsEmpty)"), REVENUE],
+        f"Variant = '{labels.SALES}'", "profile_base")
 
 
-def demand_classes(base: DataFrame) -> Table:
-    return pivot("population_demand_class", "Demand class and deficit by variant", base,
-                 [BRANCH, VARIANT, Key("Quadrant", "demand class")],
-                 [PAIRS, REVENUE, DEFICIT], where="IsEmpty = 0", source_name="profile_base")
+def demand_classes(base: DataFrame) -> Report:
+    short = Figure("deficit days, %", "try_divide(100.0D * sum(DeficitDays), sum(MatrixDays))", 1)
+    return report(
+        "class_sizes", "Series by demand class, with their days short of stock", base,
+        [BRANCH, VARIANT, Dimension("Quadrant", "demand class")], [PAIRS, REVENUE, short],
+        "IsEmpty = 0", "profile_base")
 
 
-def not_applicable(base: DataFrame) -> Table:
-    return pivot("population_not_applicable", "Pairs without a demand class", base,
-                 [BRANCH, VARIANT, REASON], [PAIRS, REVENUE], source_name="profile_base")
+def not_applicable(base: DataFrame) -> Report:
+    return report(
+        "unclassified_reasons", "Why series have no demand class", base,
+        [BRANCH, VARIANT, Dimension("Reason", "reason", _WHY, "Reason = 'classified'")],
+        [PAIRS, REVENUE], source_name="profile_base")
 
 
-def population(base: DataFrame) -> list[Table]:
-    return [cohorts(base), demand_classes(base), not_applicable(base)]
+def population(base: DataFrame) -> list[Report]:
+    return [make(base) for make in (cohorts, demand_classes, not_applicable)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,12 +22,12 @@ from shelftide.operators import (
     links, measures, ranking, series, trend)
 from shelftide.operators.baselines import Backtest
 from shelftide.operators.hierarchy import hierarchy_paths
-from shelftide.operators.pivot import Key, Measure, manifest, pivot
+from shelftide.operators.pivot import Dimension, Figure, manifest, report
 from shelftide.params import EVENTS_PARAMS, LINEITEM_PARAMS
 from shelftide.plans import population
 from shelftide.plans.layers import Layers
 from shelftide.plans.pipeline import Build
-from shelftide.session import materialise, shared_root
+from shelftide.session import materialise, run_folder
 from shelftide.sources import storage
 from shelftide.sources.adapters import facts_events, facts_lineitem, hierarchy_edges
 from shelftide.sources.facts import with_rollups
@@ -44,6 +45,9 @@ def lineitem(spark: SparkSession, sf_dir: str) -> Layers:
     return Layers(facts_lineitem(spark, sf_dir), LINEITEM_PARAMS)
 
 
+THREE_YEARS = replace(LINEITEM_PARAMS, start=dt.date(1998, 1, 1), end=dt.date(2000, 12, 31))
+
+
 def events(spark: SparkSession, sf_dir: str) -> Layers:
     return Layers(facts_events(spark, sf_dir), EVENTS_PARAMS)
 
@@ -70,7 +74,8 @@ MONEY = {"Revenue": 2, "SalesAmount": 2, "SalesQty": 2, "SalesQtyTotal": 2, "Var
 
 @query
 def facts_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(lineitem(spark, sf_dir).facts, MONEY)
+    """The facts of three years: the period is what this query shows; all others read all lines."""
+    return rounded(Layers(facts_lineitem(spark, sf_dir), THREE_YEARS).facts, MONEY)
 
 
 @query
@@ -143,46 +148,46 @@ def profile_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pivot_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return population.cohorts(lineitem(spark, sf_dir).profile_pairs).data
+    return population.cohorts(lineitem(spark, sf_dir).profile_pairs).rows
 
 
 @query
 def pivot_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return population.demand_classes(lineitem(spark, sf_dir).profile_pairs).data
+    return population.demand_classes(lineitem(spark, sf_dir).profile_pairs).rows
 
 
 @query
 def pivot_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return population.not_applicable(lineitem(spark, sf_dir).profile_pairs).data
+    return population.not_applicable(lineitem(spark, sf_dir).profile_pairs).rows
 
 
 @query
 def pivot_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pivot(
+    return report(
         "stores", "Stores by network and format", lineitem(spark, sf_dir).profile_pairs,
-        [population.BRANCH, Key("LocationNetwork", "network"), Key("LocationId", "store")],
+        [population.BRANCH, Dimension("LocationNetwork", "network"),
+         Dimension("LocationId", "store")],
         [population.PAIRS, population.REVENUE,
-         Measure("matrix days", "sum(MatrixDays)", share=True)],
-        where="Variant = 'sales'").data
+         Figure("matrix days", "sum(MatrixDays)", share=True)], "Variant = 'sales'").rows
 
 
 @query
 def pivot_matrix_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numeric key: sorted as a number, shown as text."""
-    return pivot(
+    return report(
         "matrix_days", "Pairs by matrix days", lineitem(spark, sf_dir).profile_pairs,
-        [population.BRANCH, Key("MatrixDays", "matrix days")],
-        [population.PAIRS, population.REVENUE], where="Variant = 'sales'").data
+        [population.BRANCH, Dimension("MatrixDays", "matrix days")],
+        [population.PAIRS, population.REVENUE], "Variant = 'sales'").rows
 
 
 @query
 def table_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = population.population(lineitem(spark, sf_dir).profile_pairs)
+    tables = population.population(materialise(lineitem(spark, sf_dir).profile_pairs, "profile"))
     listed = manifest(spark, tables)
     counted = None
     for table in tables:
-        rows = table.data.agg(F.count(F.lit(1)).alias("table_rows")).select(
-            F.lit(table.name).alias("name"), "table_rows")
+        rows = table.rows.agg(F.count(F.lit(1)).alias("table_rows")).select(
+            F.lit(table.key).alias("name"), "table_rows")
         counted = rows if counted is None else counted.unionByName(rows)
     return listed.join(counted, "name").select(
         "name", F.array_join("keys", ",").alias("keys"),
@@ -201,9 +206,9 @@ def fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fingerprint_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files, bytes, rows and content hash of the lines; the hash belongs to the engine."""
+    """Rows and content mark of all lines."""
     raw = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return fingerprint._source_mark(raw, raw.columns)
+    return fingerprint.source_mark(raw, raw.columns).select("SrcRows", "SrcHash")
 
 
 @query
@@ -254,7 +259,7 @@ def hierarchy_path_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exchange_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_root(spark)}/shelftide/{kind}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 @query
@@ -374,6 +379,44 @@ def baseline_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(baselines.forecast_errors(_event_forecasts(spark, sf_dir), EVENTS_TEST))
 
 
+HORIZON_GROUPS = {"2-3": (2, 3), "5-7": (5, 7)}
+
+
+@query
+def error_by_horizon_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = events(spark, sf_dir)
+    errors = baselines.forecast_errors(baselines.forecasts(layers.arrays, EVENTS_TEST), EVENTS_TEST)
+    attributes = layers.pairs.select("ItemLocationId", "LocationNetwork")
+    return rounded(baselines.errors_by_horizons(
+        errors.join(attributes, "ItemLocationId"), HORIZON_GROUPS, ["LocationNetwork"]))
+
+
+def _measured_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile of every series beside the error of its mean forecast over days 2-3."""
+    layers = events(spark, sf_dir)
+    errors = baselines.errors_by_horizons(
+        baselines.forecast_errors(baselines.forecasts(layers.arrays, EVENTS_TEST), EVENTS_TEST),
+        HORIZON_GROUPS, ["ItemLocationId"]).where("Model = 'mean' and Horizons = '2-3'")
+    profile = layers.profile_pairs.select("ItemLocationId", "Variant", "Branch", "ZeroShare")
+    joined = profile.join(errors, ["ItemLocationId", "Variant"]).where("Variant = 'sales'")
+    # Equal values must be equal to the last bit to share a rank.
+    return materialise(joined.withColumns({n: F.round(n, 9) for n in ("ZeroShare", "Wape")}),
+                       "measured-errors")
+
+
+@query
+def measure_error_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Does the error follow the share of zeros? Weighted rank correlation by branch."""
+    return rounded(ranking.weighted_rank_correlation(
+        _measured_errors(spark, sf_dir), "ZeroShare", "Wape", "Actual"))
+
+
+@query
+def measure_error_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ranking.volume_deciles(
+        _measured_errors(spark, sf_dir), "ZeroShare", "Actual", "AbsError", "Actual", ["Branch"]))
+
+
 @query
 def baseline_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = events(spark, sf_dir)
@@ -389,7 +432,21 @@ def check_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weekday_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(measures.weekday_strength(events(spark, sf_dir).days))
+    return rounded(measures.weekday_strength(events(spark, sf_dir).days)).drop("Weekdays")
+
+
+@query
+def weekday_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of series by branch whose weekly rhythm stays significant among all tests."""
+    days = events(spark, sf_dir).days
+    branches = days.groupBy("ItemLocationId").agg(F.max("Branch").alias("Branch"))
+    tested = measures.weekday_significance(measures.weekday_strength(days)).where(
+        "Variant = 'sales'").withColumn("P", F.round("P", 9))
+    tests = materialise(tested.join(branches, "ItemLocationId"), "tests")
+    marked = calendar.benjamini_hochberg(tests, "P", 0.2, ["Branch"])
+    return rounded(marked.groupBy("Branch").agg(
+        F.count("*").alias("Series"), F.count_if("Significant").alias("SignificantSeries"),
+        F.min("P").alias("SmallestP")))
 
 
 @query
@@ -453,7 +510,7 @@ def check_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stratified_sample_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampled series per cell against the whole cell; the choice itself hashes the ids."""
+    """Sampled series per cell against the whole cell."""
     profile = lineitem(spark, sf_dir).profile_pairs
     whole = profile.where(F.col("Variant") == labels.SALES).groupBy("Quadrant", "Branch").agg(
         F.count(F.lit(1)).alias("Series"))
@@ -462,6 +519,13 @@ def stratified_sample_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.join(sample, ["Quadrant", "Branch"], "left")
 
 
+@query
+def stratified_sample_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampled series themselves."""
+    return ranking.stratified_sample(lineitem(spark, sf_dir).profile_pairs, 25, 20260919).select(
+        "ItemLocationId", "Quadrant", "Branch")
+
+
 SPECIAL = [(dt.date(2024, 1, 1), "holiday"), (dt.date(2024, 1, 15), "mid month")]
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -27,14 +30,31 @@ def local_session(cpus: str | int = "*", app: str = "shelftide") -> SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a private one only where none is configured."""
+    """The cluster's checkpoint folder. Only a local master may go without one and then gets a
+    folder of its own, removed at exit: on a cluster executors would each write to their own disk."""
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share "
+                               f"(master {master})")
         root = tempfile.mkdtemp(prefix="shelftide-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """One folder for each run (application) under the shared root."""
+    return f"{shared_root(spark)}/shelftide-{spark.sparkContext.applicationId}"
+
+
+def drop_run_tables(spark: SparkSession) -> None:
+    """Remove what this run has written. Results still to be read must be read before."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a result once to the shared folder and go on from the written table.
 
@@ -42,6 +62,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     executor re-reads files instead of recomputing (and re-placing) rows.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/shelftide/{label}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 CODEC = "zstd"
@@ -37,15 +38,24 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(conf).exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
-        raise FileNotFoundError(f"layer {path} is not built; build it first")
-    return spark.read.parquet(path)
+    try:
+        spark.read.text(f"{path}/_SUCCESS").schema  # hidden from listings, readable by name
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        raise FileNotFoundError(f"layer {path} is not built; build it first") from missing
+
+
+def _text_options(delimiter: str) -> dict[str, object]:
+    """One set of options for writing and reading: line breaks and quotes stay inside quoted
+    fields, an empty text is quoted and a null is not."""
+    return {"sep": delimiter, "quote": '"', "escape": '"', "multiLine": True, "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+            "lineSep": "\n"}
 
 
 def write_text(df: DataFrame, path: str, delimiter: str = ";", header: bool = True) -> None:
-    df.write.mode("overwrite").csv(path, sep=delimiter, header=header)
+    options = _text_options(delimiter)
+    options.pop("multiLine")  # an option of readers only
+    df.write.mode("overwrite").options(**options, emptyValue='""', header=header).csv(path)
 
 
 def write_text_with_types(df: DataFrame, path: str, delimiter: str = ";") -> None:
@@ -68,8 +78,8 @@ def read_text(spark: SparkSession, path: str, schema: T.StructType, delimiter: s
     """Delimited text by column name: extra fields of the file are skipped, absent ones are
     null. Without a header the columns are taken by position."""
     if not header:
-        return spark.read.schema(schema).csv(path, sep=delimiter)
-    named = spark.read.csv(path, sep=delimiter, header=True, inferSchema=False)
+        return spark.read.schema(schema).options(**_text_options(delimiter)).csv(path)
+    named = spark.read.options(**_text_options(delimiter), header=True).csv(path)
     present = set(named.columns)
     return named.select(*[
         (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType)

@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from shelftide.checks.journal import CheckFailed
 from shelftide.operators import series
-from shelftide.operators.fingerprint import fingerprint
+from shelftide import session
+from shelftide.operators.fingerprint import content_mark, fingerprint
 from shelftide.operators.hierarchy import hierarchy_paths
 from shelftide.plans.pipeline import Build
 from shelftide.sources import storage
@@ -31,7 +34,7 @@ def test_layered_build(spark, stored_raw, tmp_path):
     assert build.layer("profile_base").count() == 16
     assert build.layer("series_days_checks").where("Status = 'error'").count() == 0
     mark = spark.read.json(build.path("tables/fingerprint")).first()
-    assert (mark.SrcFiles, mark.SrcRows, mark.DayPairs, mark.BaseEmptyPairs) == (2, 82, 8, 1)
+    assert (mark.SrcFiles, mark.SrcRows, mark.DayPairs, mark.BaseEmptyPairs) == (2, 83, 8, 1)
     assert spark.read.json(build.path("tables/manifest")).count() == 3
     build.run(["tables"])
     with pytest.raises(ValueError, match="unknown steps"):
@@ -69,24 +72,65 @@ def test_fingerprint_ignores_row_order(spark, layers, stored_raw, tmp_path):
         return fingerprint(raw, layers.days, layers.base).first()
     one, two = mark(stored_raw), mark(read_raw(spark, path))
     assert one.SrcHash == two.SrcHash and (one.SrcFiles, two.SrcFiles) == (2, 1)
-    changed = stored_raw.where("ItemLocationId <> 101")
+    changed = stored_raw.where("ItemLocationId <> 12")
     assert mark(changed).SrcHash != one.SrcHash
 
 
-def test_hierarchy_is_cut_and_cycles_end(spark):
+def test_fingerprint_sees_which_column_is_null(spark):
+    def mark(rows):
+        df = spark.createDataFrame(rows, "a int, b int")
+        return df.agg(content_mark(df, ["a", "b"])).first()[0]
+
+    assert mark([(None, 5)]) != mark([(5, None)])
+    assert mark([(1, 2), (3, 4)]) == mark([(3, 4), (1, 2)]) != mark([(1, 2), (4, 3)])
+
+
+def test_hierarchy_reaches_the_roots(spark):
+    schema = "id string, parent string, name string"
     edges = spark.createDataFrame(
-        [("a", None, "A"), ("b", "a", "B"), ("c", "b", "C"), ("x", "y", "X"), ("y", "x", "Y"),
-         ("d", "c", "")], "id string, parent string, name string")
+        [("a", None, "A"), ("b", "a", "B"), ("c", "b", "C"), ("d", "c", ""), ("e", "d", "E"),
+         ("f", "e", "F"), ("g", "f", "G"), ("x", "gone", "X")], schema)
     rows = {r.LevelId: r for r in hierarchy_paths(edges, "id", "parent", "name").collect()}
     assert rows["c"].LevelNameTree == "A/B/C" and rows["c"].LevelIdList == ["a", "b", "c"]
     assert rows["d"].LevelNameList == ["A", "B", "C"]
-    assert len(rows["x"].LevelIdList) == 5
-    cut = {r.LevelId: r for r in hierarchy_paths(edges, "id", "parent", "name", 2).collect()}
-    assert cut["c"].LevelNameTree == "B/C"
+    assert rows["g"].LevelIdList == list("abcdefg") and rows["g"].LevelNameTree == "A/B/C/E/F/G"
+    assert rows["x"].LevelIdList == ["x"] and len(rows) == 8
+    looped = spark.createDataFrame([("x", "y", "X"), ("y", "x", "Y"), ("z", "y", "Z")], schema)
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy_paths(looped, "id", "parent", "name")
     with pytest.raises(ValueError, match="title"):
         hierarchy_paths(edges, "id", "parent", "title")
 
 
+def test_text_keeps_breaks_quotes_and_empty(spark, tmp_path):
+    path = str(tmp_path / "odd")
+    rows = [(1, 'a\nb'), (2, 'say "x"; y'), (3, "back\\slash\\"), (4, ""), (5, None), (6, " pad "),
+            (7, '"'), (8, "a\r\nb"), (9, '\\"')]
+    storage.write_text_with_types(spark.createDataFrame(rows, "n int, t string"), path)
+    assert sorted(map(tuple, storage.read_text_with_types(spark, path).collect())) == rows
+
+
+def test_shared_root_needs_a_shared_folder(spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(Session())
+    Session.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(Session())
+    made = session.materialise(spark.range(3), "x")
+    folder = session.run_folder(spark).removeprefix("file:")
+    assert made.count() == 3 and any(Path(folder).iterdir())
+
+
 def test_text_by_name_skips_extra_fields(spark, tmp_path):
     path = str(tmp_path / "text")
     storage.write_text(spark.createDataFrame([(1, "x;y", 2.5)], "a int, b string, c double"), path)
