@@ -186,6 +186,23 @@ def facts_of(words: DataFrame, ends: int) -> dict:
             "discount": r.n1 / (r.n1 + 2 * r.n2) if r.n1 else 0.5}
 
 
+def frequent(scores: DataFrame, head: int) -> DataFrame:
+    """The words counted at least so often that no more than ``head`` of them are.
+
+    The bound comes from how many words have each count, so no task gathers candidates.
+    """
+    short = scores.where((F.col("c") > 0) & (F.octet_length("word") <= HEAD_BYTES))
+    sizes = (short.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(head)
+             .collect())
+    least, held = None, 0
+    for r in sizes:
+        held += r.n
+        if held > head:
+            break
+        least = r.c
+    return short.where(F.col("c") >= least) if least is not None else short.limit(0)
+
+
 def scored(docs: DataFrame, vocabulary: str | None = None, head: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     vocabulary = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
@@ -194,9 +211,7 @@ def scored(docs: DataFrame, vocabulary: str | None = None, head: int = HEAD) ->
     words = materialise(word_counts(marked), "words")
     facts = facts_of(words, marked.where("not held_out").count())
     scores = materialise(scored_words(words, facts, vocabulary), "word-scores")
-    top = (scores.where((F.col("c") > 0) & (F.octet_length("word") <= HEAD_BYTES))
-           .orderBy(F.desc("c"), "word").limit(head))
-    rows = top.toArrow()
+    rows = frequent(scores, head).toArrow()
     sent = spark.sparkContext.broadcast((rows.column("word").to_pylist(),
                                          rows.column("base").to_numpy(),
                                          rows.column("model").to_numpy()))
