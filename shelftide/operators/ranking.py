@@ -43,7 +43,13 @@ def weighted_rank_correlation(df: DataFrame, x: str, y: str, weight: str,
         F.sum(w * ry).alias("y"), F.sum(w * rx * ry).alias("xy"),
         F.sum(w * rx * rx).alias("xx"), F.sum(w * ry * ry).alias("yy"))
     c = {n: F.col(n) for n in ("w", "x", "y", "xy", "xx", "yy")}
-    spread = F.sqrt((c["w"] * c["xx"] - c["x"] * c["x"]) * (c["w"] * c["yy"] - c["y"] * c["y"]))
+
+    def spread_of(sum_, squares):
+        """Null where all ranks are equal and only rounding is left of their variance."""
+        left = c["w"] * c[squares] - c[sum_] * c[sum_]
+        return F.when(left > 1e-12 * c["w"] * c[squares], left)
+
+    spread = F.sqrt(spread_of("x", "xx") * spread_of("y", "yy"))
     return sums.select(*keys, "Rows", ratio(c["w"] * c["xy"] - c["x"] * c["y"], spread)
                        .alias("Correlation"))
 

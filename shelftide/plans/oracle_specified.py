@@ -299,8 +299,12 @@ _WEIGHTED_RANKS = f"""m AS (
 c AS (
   SELECT Branch, count(*) AS "Rows",
     (sum(w) * sum(w * rx * ry) - sum(w * rx) * sum(w * ry))
-    / sqrt((sum(w) * sum(w * rx * rx) - sum(w * rx) * sum(w * rx))
-           * (sum(w) * sum(w * ry * ry) - sum(w * ry) * sum(w * ry))) AS Correlation
+    / CASE WHEN sum(w) * sum(w * rx * rx) - sum(w * rx) * sum(w * rx)
+                  > 1e-12 * sum(w) * sum(w * rx * rx)
+             AND sum(w) * sum(w * ry * ry) - sum(w * ry) * sum(w * ry)
+                  > 1e-12 * sum(w) * sum(w * ry * ry)
+      THEN sqrt((sum(w) * sum(w * rx * rx) - sum(w * rx) * sum(w * rx))
+                * (sum(w) * sum(w * ry * ry) - sum(w * ry) * sum(w * ry))) END AS Correlation
   FROM m GROUP BY 1)
 SELECT Branch, "Rows", {_six('Correlation')} FROM c"""
 

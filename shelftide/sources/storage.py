@@ -45,11 +45,16 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
         raise FileNotFoundError(f"layer {path} is not built; build it first") from missing
 
 
+#: How a null is written; a text of just this control character would be read as null.
+NULL_TEXT = "\x01"
+
+
 def _text_options(delimiter: str) -> dict[str, object]:
     """One set of options for writing and reading: line breaks and quotes stay inside quoted
-    fields, an empty text is quoted and a null is not."""
-    return {"sep": delimiter, "quote": '"', "escape": '"', "multiLine": True, "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
-            "lineSep": "\n"}
+    fields, an empty text is quoted, a null has its own mark, and a bare empty field is null too."""
+    return {"sep": delimiter, "quote": '"', "escape": '"', "multiLine": True,
+            "nullValue": NULL_TEXT, "ignoreLeadingWhiteSpace": False,
+            "ignoreTrailingWhiteSpace": False, "lineSep": "\n"}
 
 
 def write_text(df: DataFrame, path: str, delimiter: str = ";", header: bool = True) -> None:
