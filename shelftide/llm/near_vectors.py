@@ -50,15 +50,20 @@ def tables_for(rows: int, cosine: float = COSINE) -> tuple[int, int]:
     return k, max(1, ceil(log(MISS) / log(1 - near ** k)))
 
 
-def unit(raw: list[bytes]) -> np.ndarray:
+def unit(raw: list[bytes], kind: str = "<f8") -> np.ndarray:
     """Rows of equal dimension as vectors of length one, in double precision."""
-    x = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)  # lengths of huge or tiny components stay finite
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, label and raw (components as bytes of doubles; null where nothing can link)."""
+def kind_of(vectors: DataFrame) -> str:
+    """The components' own type: they are carried as they are and computed with as doubles."""
+    return "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
+
+
+def usable(vectors: DataFrame, kind: str) -> DataFrame:
+    """vec_id, label and raw (components as bytes; null where nothing can link)."""
     def start():
         def work(column, labels):
             out = []
@@ -66,7 +71,7 @@ def usable(vectors: DataFrame) -> DataFrame:
                 if v is None or label is None or not v or None in v:
                     out.append(None)
                     continue
-                x = np.array(v, "<f8") + 0.0  # -0.0 is 0.0
+                x = np.array(v, kind) + 0  # -0.0 is 0.0
                 out.append(x.tobytes() if np.isfinite(x).all() and x.any() else None)
             return [pa.array(out, pa.binary())]
         return work
@@ -74,10 +79,10 @@ def usable(vectors: DataFrame) -> DataFrame:
     return with_columns(vectors, ["embedding", "label"], "raw binary", start, ["vec_id", "label"])
 
 
-def keys_of(raw: list[bytes], k: int, tables: int) -> np.ndarray:
+def keys_of(raw: list[bytes], k: int, tables: int, kind: str = "<f8") -> np.ndarray:
     """One 32-bit key for each table. Computed once for a vector and carried along, so a rounding
     at a bucket's edge cannot differ between two places."""
-    x = unit(raw)
+    x = unit(raw, kind)
     rng = np.random.default_rng([SEED, x.shape[1]])
     a = rng.standard_normal((x.shape[1], tables * k))
     b = rng.uniform(0, WIDTH, tables * k)
@@ -89,14 +94,14 @@ def keys_of(raw: list[bytes], k: int, tables: int) -> np.ndarray:
     return (key & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
 
 
-def hashed(reps: DataFrame, k: int, tables: int) -> DataFrame:
+def hashed(reps: DataFrame, k: int, tables: int, kind: str) -> DataFrame:
     def start():
         def work(column):
             raw = column.to_pylist()
             keys = [None] * len(raw)
             for size in {len(r) for r in raw}:
                 at = [i for i, r in enumerate(raw) if len(r) == size]
-                for i, row in zip(at, keys_of([raw[i] for i in at], k, tables).tolist(), strict=True):
+                for i, row in zip(at, keys_of([raw[i] for i in at], k, tables, kind).tolist(), strict=True):
                     keys[i] = row
             return [pa.array(keys, pa.list_(pa.int32()))]
         return work
@@ -134,53 +139,67 @@ def bucket_links(x: np.ndarray, times: np.ndarray, keys: np.ndarray, t: int, sid
         root = lower
 
 
-def linked(buckets: DataFrame, cosine: float) -> DataFrame:
-    """rep, links, root for every row of a bucket that gained a link or a root."""
-    def flush(rows: list[dict]) -> list[tuple]:
-        raw = [r["raw"] for r in rows]
-        x, rep = unit(raw), np.array([r["rep"] for r in rows])
-        order = np.argsort(rep, kind="stable")
-        side = np.array([0 if r["i"] == r["j"] else 1 if r["own"] == r["i"] else 2 for r in rows])
-        links, root = bucket_links(
-            x[order], np.array([r["times"] for r in rows])[order],
-            np.array([r["keys"] for r in rows])[order], rows[0]["t"], side[order], cosine)
-        rep = rep[order]
-        some = np.flatnonzero((links > 0) | (root != np.arange(len(rep))))
-        return list(zip(rep[some].tolist(), links[some].tolist(), rep[root[some]].tolist(),
-                        strict=True))
+def linked(buckets: DataFrame, cosine: float, kind: str) -> DataFrame:
+    """rep, links, root for every row of a bucket that gained a link or a root.
+
+    Rows come sorted by bucket; a batch's last bucket waits for the next batch.
+    """
+    def found(table: pa.Table) -> list[np.ndarray]:
+        raw = table.column("raw").to_pylist()
+        rep, times, t, own, i, j, size = (
+            table.column(n).to_numpy() for n in ("rep", "times", "t", "own", "i", "j", "size"))
+        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(raw), -1)
+        side = np.where(i == j, 0, np.where(own == i, 1, 2))
+        cut = [0, *(np.flatnonzero(changed(table)) + 1).tolist(), len(raw)]
+        out = []
+        x = unit(raw, kind) if len(raw) and (size == size[0]).all() else None
+        for a, b in zip(cut, cut[1:]):
+            if b - a < 2:
+                continue
+            y = x[a:b] if x is not None else unit(raw[a:b], kind)
+            links, root = bucket_links(y, times[a:b], keys[a:b], int(t[a]), side[a:b], cosine)
+            some = np.flatnonzero((links > 0) | (root != np.arange(b - a)))
+            if len(some):
+                own_rep = rep[a:b]
+                out.append(np.stack([own_rep[some], links[some], own_rep[root[some]]]))
+        return out
+
+    def changed(table: pa.Table) -> np.ndarray:
+        differs = np.zeros(max(0, table.num_rows - 1), bool)
+        for n in ("label", "t", "key", "i", "j", "size"):
+            values = table.column(n).to_numpy()
+            differs |= values[1:] != values[:-1]
+        return differs
+
+    def made(out: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate([*out, np.zeros((3, 0), np.int64)], 1)
+        return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["rep", "links", "root"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        group, rows = None, []
+        held = None
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                key = (r["label"], r["t"], r["key"], r["i"], r["j"], len(r["raw"]))
-                if key != group:
-                    if len(rows) > 1:
-                        out += flush(rows)
-                    group, rows = key, []
-                rows.append(r)
-            yield batch_of(out)
-        yield batch_of(flush(rows) if len(rows) > 1 else [])
-
-    def batch_of(out):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], pa.int64()) for i in range(3)],
-            names=["rep", "links", "root"])
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            ends = np.flatnonzero(changed(table))
+            whole = int(ends[-1]) + 1 if len(ends) else 0
+            yield made(found(table.slice(0, whole)) if whole else [])
+            held = table.slice(whole)
+        yield made(found(held) if held is not None else [])
 
     return buckets.mapInArrow(run, "rep bigint, links bigint, root bigint")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links (other vectors linked directly), component_id, kept."""
-    rows = materialise(usable(vectors), "vectors")
+    kind = kind_of(vectors)
+    rows = materialise(usable(vectors, kind), "vectors")
     reps = (rows.where("raw is not null").groupBy("label", "raw")
             .agg(F.min("vec_id").alias("first"), F.count("*").alias("times"))
             .withColumn("rep", F.monotonically_increasing_id()))
     reps = materialise(reps, "distinct-vectors")
     largest = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     k, tables = tables_for(largest, cosine)
-    reps_hashed = materialise(hashed(reps, k, tables), "hashed-vectors")
+    reps_hashed = materialise(hashed(reps, k, tables, kind), "hashed-vectors")
     spread = reps_hashed.select("rep", "label", F.length("raw").alias("size"),
                                 F.posexplode("keys").alias("t", "key"))
     full = materialise(spread.groupBy("label", "size", "t", "key").agg(F.count("*").alias("n"))
@@ -196,7 +215,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     dealt_out = (filled.repartition("label", "t", "key", "i", "j", F.length("raw"))
                  .sortWithinPartitions("label", "t", "key", "i", "j", F.length("raw"), "rep"))
     found = materialise(linked(dealt_out.select(
-        "label", "t", "key", "i", "j", "own", "rep", "times", "raw", "keys"), cosine), "links")
+        "label", "t", "key", "i", "j", F.length("raw").alias("size"), "own", "rep", "times", "raw",
+        "keys"), cosine, kind), "links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     # a component is named by its smallest vec_id, which need not be its smallest rep
