@@ -44,6 +44,7 @@ def with_columns(df: DataFrame, inputs: Sequence[str], added: str, start: Callab
                 columns = part.columns
                 yield pa.RecordBatch.from_arrays(
                     [*columns[:n], *work(*columns[n:])], names=[f.name for f in out])
+        pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
     made = sent.mapInArrow(run, out)
     return made.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)],

@@ -31,7 +31,8 @@ from tokenizers import Tokenizer
 from shelftide.llm.bpe import byte_letters
 from shelftide.llm.common import utf8, with_columns
 
-MEMO = 400_000
+#: Entries of a worker's memo of encoded fragments; it is emptied when full.
+MEMO = 200_000
 BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 #: The byte before the last of a white-space character above ASCII: U+0085, U+00A0, U+1680,
 #: U+2000-200A, U+2028, U+2029, U+202F, U+205F, U+3000. Others that share it only lose a cut.
