@@ -7,6 +7,10 @@ and blocks that follow each other under the same parent, are joined by smoothnes
 with their distance in the element tree. The minimum cut, found by maximum flow, labels all blocks
 of the page at once; the blocks on the source's side are the text.
 
+What speaks against an element (its kind, the words of its class, id and role) holds for all text in
+it, unless it wraps the text: html, body, main and article are never held to be boilerplate, nor is
+what holds main, an article longer than all other text, or nearly all text (``against``).
+
 The classifier's weights are fixed: no table labels pages. What is not text for a reader (scripts,
 styles, the head, form controls) makes no blocks.
 
@@ -31,8 +35,8 @@ from shelftide.llm.common import strings, with_columns
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
-                       re.I)
+#: Every attribute, so that names are met at their start and values are not read for names.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s\"'>/=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math",
        "select", "object", "canvas", "audio", "video", "xmp", "noembed", "noframes"}
 END_OF = {t: re.compile(rf"</{t}\s*(?:>|\Z|/)", re.I) for t in RAW}
@@ -60,33 +64,121 @@ WORDS_AWAY = {
     "sponsored", "subscribe", "toolbar", "topbar", "widget", "widgets"}
 WORDS_TOWARD = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 NAME = re.compile(r"[a-z]+", re.I)
+#: A class with one of these says what a page has (has-sidebar, no-comments), not what the element is.
+STATES = {"has", "no", "not", "with", "without"}
+#: Without main or an article, an element holds nearly all text if it has so many times the rest's words.
+NEARLY_ALL = 3
 
 
-def leaning(tag: str, attributes: str, within: bool) -> tuple[float, float]:
-    """How far an element speaks against the text in it being content, and how far for it."""
-    score, toward = -6.0 if tag in AWAY else 0.0, 3.0 if tag in TOWARD else 0.0
+def leaning(tag: str, attributes: str, within: bool) -> tuple[float, float, float, str]:
+    """How far an element speaks against the text in it by what it is and by being hidden, how far for
+    it, and whether it is the page's "main" or an "article" that is not named otherwise."""
+    away, hidden, toward = -6.0 if tag in AWAY else 0.0, 0.0, 3.0 if tag in TOWARD else 0.0
+    kind, seen = tag if tag in TOWARD else "", set()
+    if tag in ("html", "body"):
+        return 0.0, 0.0, 0.0, ""
     if tag == "header" and not within:
-        score = -6.0
-    if attributes:
-        for name, value in ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), value.strip("\"'").lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" \
-                    and "display:none" in value.replace(" ", ""):
-                score -= 8.0
-            elif name in ("class", "id", "role"):
-                words = set(NAME.findall(value))
-                if words & WORDS_AWAY or "header" in words and not within:
-                    score -= 6.0
-                elif words & WORDS_TOWARD and tag not in ("body", "html"):
-                    toward = max(toward, 1.5)
-    return score, toward
+        away = -6.0
+    for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
+        name, value = name.lower(), value.strip("\"'").lower()
+        if name in seen:
+            continue
+        seen.add(name)
+        if name == "hidden" or name == "style" and "display:none" in value.replace(" ", ""):
+            hidden -= 8.0
+        elif name == "aria-hidden" and value == "true":
+            away -= 8.0
+        elif name in ("class", "id", "role"):
+            if name == "role" and value.strip() in TOWARD:
+                kind = value.strip()
+            words = set()
+            for part in value.split():
+                own = set(NAME.findall(part))
+                words |= set() if own & STATES else own
+            if words & WORDS_AWAY or "header" in words and not within:
+                away -= 6.0
+            elif words & WORDS_TOWARD:
+                toward = max(toward, 1.5)
+    if tag in TOWARD or kind:
+        return 0.0, hidden, toward, "" if kind == "article" and away else kind
+    return away, hidden, toward, ""
+
+
+class Elements:
+    """The elements of a page by number: 0 is the page, and each comes after its parent."""
+
+    def __init__(self):
+        self.parent, self.away, self.hidden, self.words = [0], [0.0], [0.0], [0]
+        self.main, self.article = [0], [0]
+
+    def add(self, parent: int, away: float, hidden: float, kind: str) -> int:
+        number = len(self.parent)
+        self.parent.append(parent)
+        self.away.append(away)
+        self.hidden.append(hidden)
+        self.words.append(0)
+        self.main.append(self.main[parent] or number * (kind == "main"))
+        self.article.append(self.article[parent] or number * (kind == "article"))
+        return number
+
+    def against(self) -> list[float]:
+        """What speaks against the text of each element: the sum over it and what it is in.
+
+        Left out are the elements that hold main, and one after the other those that hold an article
+        of more words than all text in no such element, or ``NEARLY_ALL`` times its words; the words
+        of main are counted where there is one, else those of articles may speak for what holds them
+        and without any article all may. Words in links and in hidden elements are not counted; where
+        all is hidden, nothing is. Each round at least doubles the text, so there are few.
+        """
+        n, parent, away, hidden = len(self.parent), self.parent, list(self.away), list(self.hidden)
+
+        def free(e):
+            while e:
+                away[e] = 0.0
+                e = parent[e]
+
+        buried = [False] * n
+        for e in range(1, n):
+            buried[e] = buried[parent[e]] or hidden[e] < 0
+        if not any(w for w, b in zip(self.words, buried) if not b):
+            hidden, buried = [0.0] * n, [False] * n
+        holds = [e for e in range(n) if self.words[e] and not buried[e]]
+        mains = {self.main[e] for e in holds} - {0}
+        for e in mains:
+            free(e)
+        if mains:
+            holds = [e for e in holds if self.main[e]]
+        core = set(not mains and [e for e in holds if self.article[e]] or holds)
+        while any(away):
+            nearest = [0] * n
+            for e in range(1, n):
+                nearest[e] = e if away[e] else nearest[parent[e]]
+            open_words, weight, parts = 0, {}, {}
+            for e in holds:
+                at, article = nearest[e], self.article[e]
+                if not at:
+                    open_words += self.words[e]
+                elif e in core:
+                    weight[at] = weight.get(at, 0.0) + self.words[e] / NEARLY_ALL
+                    if article and nearest[article] == at:
+                        parts[at, article] = parts.get((at, article), 0) + self.words[e]
+            for (at, _), words in parts.items():
+                weight[at] = max(weight[at], words)
+            best = max(weight, key=weight.get, default=0)
+            if not best or weight[best] <= open_words:
+                break
+            free(best)
+        out = [0.0] * n
+        for e in range(1, n):
+            out[e] = out[parent[e]] + away[e] + hidden[e]
+        return out
 
 
 def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
     """Text, path of element numbers, and classifier score of every block, in page order."""
-    # open elements: (tag, number, sum of what speaks against, most that speaks for, silent)
-    stack = [("", 0, 0.0, 0.0, False)]
-    numbers, linked, done = 0, 0, []
+    # open elements: (tag, number, most that speaks for, silent)
+    stack = [("", 0, 0.0, False)]
+    elements, done = Elements(), []
     pieces: list[str] = []
     links: list[str] = []
     anchor = 0
@@ -101,12 +193,13 @@ def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
                 share = len(" ".join("".join(links).split())) / len(text) if links else 0.0
                 words = text.count(" ") + 1
                 score = (-1.2 + 0.8 * log1p(words / 3) - 4.0 * min(1.0, share)
-                         + stack[-1][2] + stack[-1][3]
+                         + stack[-1][2]
                          + (1.0 if holder[0] in ("p", "blockquote", "pre") else 0.0)
                          + (0.5 if holder[0] in ("h1", "h2", "h3") else 0.0)
                          + (0.5 if text[-1] in ".!?:\"”。" else 0.0)
                          - (2.0 if text[0] == "©" else 0.0))
-                done.append((text, tuple(e[1] for e in stack if e[0] in BLOCK), score))
+                elements.words[stack[-1][1]] += round(words * max(0.0, 1.0 - share))
+                done.append((text, tuple(e[1] for e in stack if e[0] in BLOCK), score, stack[-1][1]))
             pieces, links = [], []
 
     at, size = 0, len(page)
@@ -118,7 +211,7 @@ def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
         else:
             raw = page[at:m.start()]
             at = m.end()
-        if raw and not stack[-1][4]:
+        if raw and not stack[-1][3]:
             pieces.append(raw)
             if anchor:
                 links.append(raw)
@@ -164,13 +257,14 @@ def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
                     break
             elif stack[k][0] in HOLDS:
                 break
-        numbers += 1
-        _, _, against, most, silent = stack[-1]
-        more, toward = leaning(tag, attributes, most >= 3)
-        stack.append((tag, numbers, against + more, max(most, toward), silent or tag in SILENT))
+        _, parent, most, silent = stack[-1]
+        away, hidden, toward, kind = leaning(tag, attributes, most >= 3)
+        stack.append((tag, elements.add(parent, away, hidden, kind), max(most, toward),
+                      silent or tag in SILENT))
         anchor += tag == "a"
     close_block()
-    return done
+    against = elements.against()
+    return [(text, path, score + against[e]) for text, path, score, e in done]
 
 
 def edges_of(paths: list[tuple[int, ...]]) -> dict[tuple[int, int], float]:

@@ -75,6 +75,33 @@ def test_page_text():
     assert html_text.main_text("<p>" * 3000 + "<div>" * 500).strip() == ""
 
 
+WORDS = "Here is a sentence of the text that a reader came for, and it goes on. "
+REST = """<nav><ul><li><a href=/a>One</a></ul></nav>%s<div class="sidebar"><p>Other stories of
+interest, many of them, to read.</p></div><section id="comments"><p>I like this a lot, well said.</p></section>
+<footer>All rights reserved.</footer>"""
+
+
+def test_wrappers_are_not_boilerplate():
+    text = "<h1>Title</h1><p>" + WORDS + "</p><p>Short.</p>"
+    want = f"Title {WORDS}Short."
+    for wrap in ('<body class="has-sidebar">%s', '<body class="sidebar no-comments">%s',
+                 '<html class="widget"><body id="menu">%s',
+                 '<body><div id="page" class="with-sidebar">%s</div>',
+                 '<body><div class="sidebar-left social"><div class="search-page">%s</div></div>',
+                 '<form id="aspnetForm">%s</form>', '<div id="root" aria-hidden="true">%s</div>',
+                 '<body style="display:none">%s', '<body><div data-hidden="no" title="id=ad hidden">%s</div>'):
+        for core in ("<article>%s</article>", "<main>%s</main>", '<article class="post tag-social">%s</article>',
+                     '<div role="main">%s</div>', "<div>%s</div>"):
+            assert html_text.main_text(wrap % (REST % (core % text))) == want, (wrap, core)
+    # articles that are teasers or comments do not speak for what holds them
+    for other in ('<div class="related"><article class="card"><p>%s</p></article></div>',
+                  '<section class="comments"><article class="comment"><p>%s</p></article></section>',
+                  '<div class="cookie-notice"><p>%s</p></div>', "<aside><p>%s</p></aside>"):
+        page = f"<div>{text}<p>{WORDS}</p></div>" + other % "Another text of some length, not the one here."
+        assert html_text.main_text(page) == f"{want} {WORDS.strip()}", other
+    assert html_text.main_text(f"<p>{WORDS}</p><p hidden>Gone. {WORDS}</p>") == WORDS.strip()
+
+
 def test_pages_query(spark):
     rows = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     got = queries.op8_html_text(spark, SMALL).collect()
