@@ -12,7 +12,7 @@ it, unless it wraps the text: html, body, main and article are never held to be
 what holds main, an article longer than all other text, or nearly all text (``against``).
 
 The classifier's weights are fixed: no table labels pages. What is not text for a reader (scripts,
-styles, the head, form controls) makes no blocks.
+styles, the head, form controls, drawings, what stands in for media) makes no blocks; math does.
 
 Defined results: a null or empty page, and one without blocks of content, give an empty text;
 unclosed and misnested elements, an unfinished last tag and unknown references are read as browsers
@@ -36,11 +36,20 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 #: Every attribute, so that names are met at their start and values are not read for names.
-ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s\"'>/=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math",
-       "select", "object", "canvas", "audio", "video", "xmp", "noembed", "noframes"}
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+#: Elements whose content is read up to their end tag, or to the end of the page, as no markup.
+RAW = {"script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
 END_OF = {t: re.compile(rf"</{t}\s*(?:>|\Z|/)", re.I) for t in RAW}
-SILENT = {"head", "button", "datalist", "option", "optgroup", "dialog"}
+#: Elements without text for a reader; what they are not closed by, their parents' end tags close.
+SILENT = {"head", "button", "datalist", "option", "optgroup", "dialog", "noscript", "template", "svg",
+          "select", "object", "canvas", "audio", "video", "annotation", "annotation-xml"}
+#: Of these, the ones in which a block starts without closing a paragraph around them.
+APART = {"noscript", "template", "select", "object"}
+#: Elements of svg and math in which HTML goes on.
+HTML_IN = {"foreignobject", "desc", "title", "mi", "mo", "mn", "ms", "mtext", "annotation-xml"}
+#: Start tags that end svg or math left open, beside those of blocks.
+LEAVES = {"b", "big", "br", "code", "em", "embed", "i", "img", "listing", "meta", "nobr", "ruby", "s",
+          "small", "span", "strong", "strike", "sub", "sup", "tt", "u", "var"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details",
@@ -174,10 +183,17 @@ class Elements:
         return out
 
 
+def self_closing(attributes: str) -> bool:
+    """Whether a tag ends in a slash that is not the end of an attribute value without quotes."""
+    at = 1 + max(attributes.rfind(c) for c in " \t\n\r\f\"'")
+    return (attributes.endswith("/") and "=" not in attributes[at:]
+            and not attributes[:at].rstrip().endswith("="))
+
+
 def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
     """Text, path of element numbers, and classifier score of every block, in page order."""
-    # open elements: (tag, number, most that speaks for, silent)
-    stack = [("", 0, 0.0, False)]
+    # open elements: (tag, number, most that speaks for, silent, whether svg or math go on in it)
+    stack = [("", 0, 0.0, False, False)]
     elements, done = Elements(), []
     pieces: list[str] = []
     links: list[str] = []
@@ -218,37 +234,52 @@ def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
         if m is None or m.group(2) is None:
             continue
         tag, attributes = m.group(2).lower(), m.group(3)
-        if tag in BLOCK:
-            close_block()
-        elif tag == "br":
+        if not m.group(1) and stack[-1][4] and (tag in BLOCK or tag in LEAVES):
+            while stack[-1][4]:
+                stack.pop()
+            anchor = sum(e[0] == "a" for e in stack)
+        if tag == "br":
             pieces.append(" ")
         if m.group(1):
-            if any(e[0] == tag for e in stack):
-                while True:
-                    last = stack.pop()
-                    if last[0] == "a":
-                        anchor = max(0, anchor - 1)
-                    if last[0] == tag:
-                        break
+            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
+            if tag in BLOCK and not stack[k or -1][3]:
+                close_block()
+            if k:
+                anchor -= sum(e[0] == "a" for e in stack[k:])
+                del stack[k:]
+            continue
+        foreign = stack[-1][4] or tag in ("svg", "math")
+        if foreign and self_closing(attributes):
             continue
-        if tag in RAW:
+        if tag in ("select", "input", "textarea") and any(e[0] == "select" for e in stack):
+            while stack.pop()[0] != "select":
+                pass
+            anchor = sum(e[0] == "a" for e in stack)
+            if tag == "select":
+                continue
+        if tag in RAW and not foreign:
             end = END_OF[tag].search(page, at)
             if end is None:
                 at = size
             else:
                 at = page.find(">", end.start()) + 1 or size
             continue
-        if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
-            continue
         if tag in BLOCK:
             # a block start ends a paragraph, and with it what was left open inside
+            ends = len(stack)
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == "p":
-                    del stack[k:]
-                    anchor = sum(e[0] == "a" for e in stack)
+                    ends = k
                     break
-                if stack[k][0] in BLOCK:
+                if stack[k][0] in BLOCK or stack[k][0] in APART:
                     break
+            if not stack[ends - 1][3]:
+                close_block()
+            if ends < len(stack) and tag not in VOID:
+                del stack[ends:]
+                anchor = sum(e[0] == "a" for e in stack)
+        if tag in VOID or not foreign and attributes.endswith("/") and tag not in BLOCK:
+            continue
         for k in range(len(stack) - 1, 0, -1) if tag in CLOSES else ():
             if stack[k][0] in CLOSES[tag]:
                 del stack[k:]
@@ -257,10 +288,12 @@ def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
                     break
             elif stack[k][0] in HOLDS:
                 break
-        _, parent, most, silent = stack[-1]
-        away, hidden, toward, kind = leaning(tag, attributes, most >= 3)
-        stack.append((tag, elements.add(parent, away, hidden, kind), max(most, toward),
-                      silent or tag in SILENT))
+        _, parent, most, silent, _ = stack[-1]
+        silent = silent or tag in SILENT or tag in RAW
+        # text before a silent element left open must not be judged by it
+        away, hidden, toward, kind = (0.0, 0.0, 0.0, "") if silent else leaning(tag, attributes, most >= 3)
+        stack.append((tag, elements.add(parent, away, hidden, kind), max(most, toward), silent,
+                      foreign and tag not in HTML_IN))
         anchor += tag == "a"
     close_block()
     against = elements.against()

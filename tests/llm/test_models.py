@@ -102,6 +102,25 @@ def test_wrappers_are_not_boilerplate():
     assert html_text.main_text(f"<p>{WORDS}</p><p hidden>Gone. {WORDS}</p>") == WORDS.strip()
 
 
+def test_elements_without_text_do_not_swallow_the_page():
+    end = f"<p>{WORDS}</p><p>Second. {WORDS}</p></article>"
+    want = f"Before {WORDS}{WORDS}Second. {WORDS}".strip()
+    for odd in ("<svg/>", "<svg width=1 />", "<math/>", '<svg a="x"/>', "<svg><title/><path d=m0/ ></svg>", "<svg><style/></svg>",
+                "<svg><title>no</title><text>no</text></svg>", "<svg><g><path>", "<div><select><option>no</div>",
+                "<div><object data=x>no</div>", "<div><canvas></div>", "<div><audio src=x>no</div>",
+                "<div><video><source src=y>no</div>", "<section><template><b>no</b></section>",
+                "<div><select><option>no<select></div>", "<div><select><option>no<input></div>",
+                "<svg width=1/>no</svg>", "<SVG/>", "<noscript><div>no</div><p>no</noscript>"):
+        page = f"<article><p>Before {WORDS}</p>{odd}{end}"
+        assert html_text.main_text(page) == want, odd
+    for inline in ("<noscript><div>no</div></noscript>", "<object><p>no</p></object>", "<svg><text>no</text></svg>",
+                   "<select><option>no</select>", "<template><p>no</p></template>", "<svg/>", "<canvas>no</canvas>"):
+        assert html_text.blocks_of(f"<p>One {inline}two</p>")[0][0] == "One two", inline
+    math = ("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></mrow>"
+            "<annotation encoding='application/x-tex'>x=2</annotation></semantics></math>")
+    assert html_text.main_text(f"<article><p>Let {math} be. {WORDS}</p></article>") == f"Let x=2 be. {WORDS.strip()}"
+
+
 def test_pages_query(spark):
     rows = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     got = queries.op8_html_text(spark, SMALL).collect()
