@@ -14,11 +14,18 @@ from shelftide.llm.common import table
 from shelftide.session import materialise
 
 
+def apart(docs: DataFrame) -> DataFrame:
+    """The documents with their columns under reserved names, so that an operator's own columns (score,
+    n_words and so on) do not take the place of columns that documents already have."""
+    return docs.toDF(*[f"own__{c}" for c in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
-    scored = quality.scored(docs, model, carry=docs.columns)
-    return scored.where("predicted = 1").select(*docs.columns)
+    own = apart(docs)
+    scored = quality.scored(own, model, "own__text", carry=own.columns)
+    return scored.where("predicted = 1").select(*[f"`{c}`" for c in own.columns]).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +42,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns)
-    return found.where(F.size("hit_ranges") == 0).select(*docs.columns)
+    own = apart(docs)
+    found = decontaminate.contamination(own, table(spark, sf_dir, "benchmark"), "own__text", own.columns)
+    return found.where(F.size("hit_ranges") == 0).select(*[f"`{c}`" for c in own.columns]).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

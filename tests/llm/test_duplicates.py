@@ -315,3 +315,17 @@ def test_pipeline_stages(spark):
         docs = spark.createDataFrame(rows, after.schema)
     run = corpus_pipeline.run(spark, SMALL).collect()
     assert sorted((r.doc_id, r.ids_sha256) for r in run) == sorted((r.doc_id, r.ids_sha256) for r in rows)
+
+
+def test_pipeline_filters_keep_columns_named_as_their_own(spark):
+    docs = (spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("score", F.col("doc_id") * 2)
+            .withColumn("Predicted", F.lit("p")).withColumn("n_words", F.col("doc_id") + 7)
+            .withColumn("hit_items", F.lit("x")))
+    plain = docs.drop("score", "Predicted", "n_words", "hit_items")
+    for stage in (corpus_pipeline.keep_quality, corpus_pipeline.drop_contaminated):
+        got = stage(spark, docs, SMALL)
+        assert got.dtypes == docs.dtypes
+        rows = got.collect()
+        assert {r.doc_id for r in rows} == {r.doc_id for r in stage(spark, plain, SMALL).collect()} and rows
+        assert all((r.score, r.Predicted, r.n_words, r.hit_items) == (r.doc_id * 2, "p", r.doc_id + 7, "x")
+                   for r in rows)
