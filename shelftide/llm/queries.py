@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftide.llm import (
-    decontaminate, forced_bpe, html_text, lattice_lm, near_texts, near_vectors, quality, repeats,
-    sharding, token_files)
+    decontaminate, forced_bpe, html_text, lattice_lm, license_scan, near_texts, near_vectors, quality,
+    repeats, sharding, spelling, token_align, token_files)
 from shelftide.llm.common import table
 
 
@@ -68,9 +68,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (hit > 0).alias("contaminated"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment(table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scanned(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_near_vectors, op3_forced_bpe, op4_token_files, op5_near_texts, op6_sharding,
-    op7_repeats, op8_html_text, op9_lattice_lm, op10_decontaminate)}
+    op7_repeats, op8_html_text, op9_lattice_lm, op10_decontaminate, op11_spelling, op12_token_align,
+    op13_license_scan)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
