@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelftide.checks.journal import check, relative_gap, rows_of, text
 from shelftide.functions import labels
 from shelftide.params import Params
+from shelftide.session import materialise
 from shelftide.sources.facts import RAW_SCHEMA, clean_measure, in_period
 
 KEY = ("TransDate", "LocationId", "ItemId", "ItemLocationId")
@@ -40,8 +41,10 @@ def _bad(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0))
 
 
-def _row_counters(rows: DataFrame, params: Params, rules: ContractRules) -> DataFrame:
-    """Everything a row shows on its own, in one pass."""
+def _places(rows: DataFrame, params: Params, rules: ContractRules) -> DataFrame:
+    """One row for each store x item x id: what its rows show on their own, and the range of the hashes of
+    the attributes its item and store should keep. As many rows as pairs; all but the key rule, the
+    calendar and the stock read no more than these."""
     qty = F.coalesce(F.col("SalesQty"), F.lit(0.0))
     amount = F.coalesce(F.col("SalesAmount"), F.lit(0.0))
     blank = [F.trim(F.coalesce(F.col(c), F.lit(""))) == "" for c in FILLED]
@@ -50,7 +53,13 @@ def _row_counters(rows: DataFrame, params: Params, rules: ContractRules) -> Data
         any_blank = any_blank | other
     for name in KEY[1:]:
         any_null = any_null | F.col(name).isNull()
-    return rows.agg(
+
+    def kinds(name: str, *columns: str) -> list[Column]:
+        # A null is a value of its own, so its mark is hashed beside it.
+        mark = F.xxhash64(*[c for n in columns for c in (F.col(n).isNull(), F.col(n))])
+        return [F.min(mark).alias(f"{name}Low"), F.max(mark).alias(f"{name}High")]
+
+    return rows.groupBy("LocationId", "ItemId", "ItemLocationId").agg(
         F.count(F.lit(1)).alias("Rows"),
         _bad(any_null).alias("NullKeys"),
         _bad(~F.col("ItemIdLevel1").eqNullSafe(F.lit(rules.top_group))).alias("OtherGroup"),
@@ -58,7 +67,28 @@ def _row_counters(rows: DataFrame, params: Params, rules: ContractRules) -> Data
         _bad(any_blank).alias("BlankAttributes"),
         _bad(~clean_measure().isin(params.measures)).alias("UnknownMeasure"),
         _bad(qty < 0).alias("NegativeQty"),
-        _bad((qty > 0) != (amount > 0)).alias("MoneyWithoutQty"))
+        _bad((qty > 0) != (amount > 0)).alias("MoneyWithoutQty"),
+        *kinds("Item", "ItemMeasure", "ItemIdLevel3"),
+        *kinds("Store", "LocationNetwork", "LocationFormatTT"))
+
+
+ROW_COUNTERS = ("Rows", "NullKeys", "OtherGroup", "NegativeStock", "BlankAttributes", "UnknownMeasure",
+                "NegativeQty", "MoneyWithoutQty")
+
+
+def _place_counters(places: DataFrame) -> DataFrame:
+    """Sums of the rows' own faults, store x item against pair id both ways, and attributes that change."""
+    one = F.count(F.lit(1)).alias("n")
+    ids = places.groupBy("LocationId", "ItemId").agg(one).agg(_bad(F.col("n") > 1).alias("PairManyIds"))
+    back = places.groupBy("ItemLocationId").agg(one).agg(_bad(F.col("n") > 1).alias("IdManyPairs"))
+
+    def changing(owner: str, kind: str) -> DataFrame:
+        return (places.groupBy(owner).agg(F.min(f"{kind}Low").alias("low"), F.max(f"{kind}High").alias("high"))
+                .agg(_bad(F.col("low") != F.col("high")).alias(f"{kind}Changed")))
+
+    sums = places.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ROW_COUNTERS])
+    return (sums.crossJoin(ids).crossJoin(back).crossJoin(changing("ItemId", "Item"))
+            .crossJoin(changing("LocationId", "Store")))
 
 
 def _key_counters(rows: DataFrame) -> DataFrame:
@@ -66,20 +96,13 @@ def _key_counters(rows: DataFrame) -> DataFrame:
     return keys.agg(_bad(F.col("n") > 1).alias("RepeatedKeys"))
 
 
-def _pair_counters(rows: DataFrame) -> DataFrame:
-    """Store x item against pair id, both ways, from the distinct combinations."""
-    seen = rows.groupBy("LocationId", "ItemId", "ItemLocationId").agg(F.count(F.lit(1)).alias("n"))
-    forward = seen.groupBy("LocationId", "ItemId").agg(F.count(F.lit(1)).alias("ids"))
-    back = seen.groupBy("ItemLocationId").agg(F.count(F.lit(1)).alias("places"))
-    return (forward.agg(_bad(F.col("ids") > 1).alias("PairManyIds"))
-            .crossJoin(back.agg(_bad(F.col("places") > 1).alias("IdManyPairs"))))
-
-
-def _constancy(rows: DataFrame, owner: str, attributes: Sequence[str], name: str) -> DataFrame:
-    """Owners with more than one combination of attributes over the period."""
-    return (rows.groupBy(owner, *attributes).agg(F.count(F.lit(1)).alias("n"))
-            .groupBy(owner).agg(F.count(F.lit(1)).alias("kinds"))
-            .agg(_bad(F.col("kinds") > 1).alias(name)))
+def _store_and_item_days(rows: DataFrame) -> DataFrame:
+    """Rows and amounts of every store day (ofStore 1) and rows of every item day (ofStore 0), in one pass."""
+    stored = F.col("SalesByLocationAmount")
+    return rows.groupingSets(
+        [["TransDate", "LocationId"], ["TransDate", "ItemId"]], "TransDate", "LocationId", "ItemId").agg(
+        (1 - F.grouping("LocationId")).cast("int").alias("ofStore"), F.count(F.lit(1)).alias("n"),
+        F.sum("SalesAmount").alias("Total"), F.min(stored).alias("Low"), F.max(stored).alias("High"))
 
 
 def _missing_days(rows: DataFrame, params: Params) -> DataFrame:
@@ -102,27 +125,24 @@ def _stock_breaks(rows: DataFrame, rules: ContractRules) -> DataFrame:
             .agg(_bad(F.col("Broken")).alias("StockBreaks")))
 
 
-def _rollup_breaks(rows: DataFrame, rules: ContractRules) -> DataFrame:
-    """The stored store-day amount against the sum of its rows. Both are brought down to
-    one row per store and day by a single aggregation with map-side combine."""
-    stored = F.col("SalesByLocationAmount")
-    days = rows.groupBy("TransDate", "LocationId").agg(
-        F.sum("SalesAmount").alias("Total"), F.min(stored).alias("Low"),
-        F.max(stored).alias("High"))
+def _rollup_breaks(days: DataFrame, rules: ContractRules) -> DataFrame:
+    """The stored store-day amount against the sum of its rows."""
     off = (F.col("Low").isNull()
            | (relative_gap(F.col("Low"), F.col("Total")) > rules.sum_tolerance)
            | (relative_gap(F.col("High"), F.col("Total")) > rules.sum_tolerance))
-    return days.agg(_bad(off).alias("RollupBreaks"))
+    return days.where("ofStore = 1").agg(_bad(off).alias("RollupBreaks"))
 
 
 def daily_volume(rows: DataFrame) -> DataFrame:
     """Rows, stores and items of every day, without distinct aggregates."""
-    by_store = rows.groupBy("TransDate", "LocationId").agg(F.count(F.lit(1)).alias("n"))
-    by_item = rows.groupBy("TransDate", "ItemId").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        by_store.groupBy("TransDate").agg(F.sum("n").alias("DayRows"),
-                                          F.count(F.lit(1)).alias("Stores"))
-        .join(by_item.groupBy("TransDate").agg(F.count(F.lit(1)).alias("Items")), "TransDate"))
+    return _volume_of(_store_and_item_days(rows))
+
+
+def _volume_of(days: DataFrame) -> DataFrame:
+    of_store = F.col("ofStore") == 1
+    return days.groupBy("TransDate").agg(
+        F.sum(F.when(of_store, F.col("n"))).alias("DayRows"), F.count_if(of_store).alias("Stores"),
+        F.count_if(~of_store).alias("Items"))
 
 
 def volume_outliers(volume: DataFrame, rules: ContractRules) -> DataFrame:
@@ -143,21 +163,26 @@ def volume_outliers(volume: DataFrame, rules: ContractRules) -> DataFrame:
     return days
 
 
-def contract_checks(raw: DataFrame, params: Params, rules: ContractRules) -> list[DataFrame]:
+def contract_checks(raw: DataFrame, params: Params, rules: ContractRules,
+                    files: DataFrame | None = None) -> list[DataFrame]:
+    """One journal row per rule. With `files`, the raw facts as read from their files, also whether each month of
+    the period has one."""
     mismatched = schema_mismatches(raw)
     rows = raw.where(in_period(params))
+    places = materialise(_places(rows, params, rules), "places")
+    days = materialise(_store_and_item_days(rows), "store-and-item-days")
     totals = (
-        _row_counters(rows, params, rules)
-        .crossJoin(_key_counters(rows)).crossJoin(_pair_counters(rows))
-        .crossJoin(_missing_days(rows, params))
+        _place_counters(places).crossJoin(_key_counters(rows))
+        .crossJoin(_missing_days(days, params))
         .crossJoin(_stock_breaks(rows, rules))
-        .crossJoin(_constancy(rows, "ItemId", ("ItemMeasure", "ItemIdLevel3"), "ItemChanged"))
-        .crossJoin(_constancy(rows, "LocationId", ("LocationNetwork", "LocationFormatTT"),
-                              "StoreChanged"))
-        .crossJoin(_rollup_breaks(rows, rules))
-        .crossJoin(volume_outliers(daily_volume(rows), rules)
+        .crossJoin(_rollup_breaks(days, rules))
+        .crossJoin(volume_outliers(_volume_of(days), rules)
                    .agg(F.count(F.lit(1)).alias("VolumeDays"))))
 
+    if files is not None:
+        totals = totals.crossJoin(months_without_file(files, params).agg(
+            F.count(F.lit(1)).alias("MonthsWithoutFile")))
+
     def counted(name: str, column: str, words: str, level: str = labels.ERROR) -> Column:
         return check(f"contract_{name}", level, F.col(column), text(f"{words}: ", F.col(column)))
 
@@ -191,6 +216,7 @@ def contract_checks(raw: DataFrame, params: Params, rules: ContractRules) -> lis
                 labels.WARNING),
         counted("daily_volume", "VolumeDays", "days outside the volume corridor",
                 labels.WARNING),
+        *([counted("file_per_month", "MonthsWithoutFile", "months without a file")] if files is not None else []),
     ])]
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelftide.checks.journal import check, relative_gap, rows_of, text
 from shelftide.functions import labels
 from shelftide.functions.expressions import branch_of
 from shelftide.params import Params
+from shelftide.session import materialise
 from shelftide.sources.facts import clean_measure, in_period
 
 SUM_TOLERANCE = 1e-9
@@ -19,15 +20,18 @@ def branch_frame(like: DataFrame, params: Params) -> DataFrame:
     return like.sparkSession.createDataFrame([(b,) for b in params.branches], "Branch string")
 
 
-def branch_totals(facts: DataFrame, day_layer: DataFrame, params: Params) -> DataFrame:
-    source = facts.groupBy(branch_of(F.col("ItemMeasure"), params.branches).alias("Branch")).agg(
+def source_branches(facts: DataFrame, params: Params) -> DataFrame:
+    return facts.groupBy(branch_of(F.col("ItemMeasure"), params.branches).alias("Branch")).agg(
         F.sum("SalesQty").alias("SrcQty"), F.sum("SalesAmount").alias("SrcAmount"),
         F.count(F.lit(1)).alias("SrcRows"))
+
+
+def branch_totals(facts: DataFrame, day_layer: DataFrame, params: Params) -> DataFrame:
     layer = day_layer.groupBy("Branch").agg(
         F.sum("SalesQty").alias("Qty"), F.sum("SalesAmount").alias("Amount"),
         F.count(F.lit(1)).alias("Rows"))
     return (branch_frame(facts, params).join(layer, "Branch", "left")
-            .join(source, "Branch", "left").na.fill(0))
+            .join(source_branches(facts, params), "Branch", "left").na.fill(0))
 
 
 def branch_checks(totals: DataFrame, prefix: str, counted: str = "rows") -> DataFrame:
@@ -53,8 +57,8 @@ def source_totals(raw: DataFrame, params: Params) -> DataFrame:
     rows = raw.where(in_period(params)).select(
         F.coalesce(F.col("ItemId"), F.lit("")).alias("ItemId"), clean_measure().alias("Measure"))
     known = F.col("Measure").isin(params.measures)
-    counted = (rows.groupBy("ItemId", "Measure").agg(F.count(F.lit(1)).alias("n"))
-               .withColumn("Unknown", ~known))
+    counted = materialise(rows.groupBy("ItemId", "Measure").agg(F.count(F.lit(1)).alias("n"))
+                          .withColumn("Unknown", ~known), "source-items")
     unknown = counted.where("Unknown")
     totals = counted.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("SrcRowsAll"),
@@ -69,56 +73,82 @@ def source_totals(raw: DataFrame, params: Params) -> DataFrame:
     return totals.crossJoin(items).crossJoin(measures).crossJoin(examples)
 
 
-def day_totals(day_layer: DataFrame) -> DataFrame:
-    """Counters of the day layer. Keys are counted by grouping on the key, which combines
-    repeated keys before the shuffle and needs no distinct aggregate."""
-    by_key = day_layer.groupBy("TransDate", "ItemLocationId").agg(
-        F.count(F.lit(1)).alias("Rows"),
-        F.sum(F.when(F.coalesce(F.col("Branch"), F.lit("")).isin("", labels.UNKNOWN), 1)
-              .otherwise(0)).alias("UnknownBranch"),
-        F.sum("IsReturn").alias("ReturnRows"))
-    zero = F.lit(0)
-    return by_key.agg(
-        F.coalesce(F.sum("Rows"), zero).alias("Rows"),
-        F.count(F.lit(1)).alias("Keys"),
-        F.coalesce(F.sum("UnknownBranch"), zero).alias("UnknownBranch"),
-        F.coalesce(F.sum("ReturnRows"), zero).alias("ReturnRows"))
-
+def _branch_code(params: Params) -> Column:
+    """Number of the branch from 1, 0 for none or an unknown one."""
+    code = F.lit(0)
+    for i, b in enumerate(params.branches, 1):
+        code = F.when(F.col("Branch") == b, i).otherwise(code)
+    return code
+
+
+def day_totals(day_layer: DataFrame, params: Params) -> DataFrame:
+    """Counters of every pair, by a grouping on day and pair and one on the pair: rows, keys, branches,
+    matrix days of life, and rows, quantity and amount by branch. Branches go by numbers, as a text
+    minimum would make a sort of the grouping."""
+    code, one = F.col("Code"), F.lit(1)
+    observed = (F.col("IsEmpty") == 0) & (F.col("IsMatrix") == 1) & (F.col("InLife") == 1)
+
+    def total(condition: Column, value: Column | int = 1) -> Column:
+        zero = 0 if isinstance(value, int) else 0.0
+        return F.sum(F.when(condition, value).otherwise(zero))
+
+    counters = {
+        "Rows": F.count(one), "UnknownBranch": total(code == 0), "ReturnRows": F.sum("IsReturn"),
+        "LowBranch": F.min(code), "HighBranch": F.max(code), "Filled": F.max(F.when(F.col("IsEmpty") == 0, 1).otherwise(0)),
+        "MatrixLifeDays": total(observed)}
+    for i, _ in enumerate(params.branches, 1):
+        counters |= {f"Rows{i}": total(code == i), f"Qty{i}": total(code == i, F.col("SalesQty")),
+                     f"Amount{i}": total(code == i, F.col("SalesAmount"))}
+    by_key = day_layer.withColumn("Code", _branch_code(params)).groupBy("ItemLocationId", "TransDate").agg(
+        *[c.alias(n) for n, c in counters.items()])
+    merge = {"LowBranch": F.min, "HighBranch": F.max, "Filled": F.max}
+    return by_key.groupBy("ItemLocationId").agg(
+        F.count(one).alias("Keys"), *[merge.get(n, F.sum)(n).alias(n) for n in counters])
+
+
+def array_totals(array_layer: DataFrame) -> DataFrame:
+    """Of every pair: arrays of a wrong length, and the points of the sales series."""
+    def broken(condition: Column) -> Column:
+        return F.sum(F.when(condition, 1).otherwise(0))
+
+    return array_layer.groupBy("ItemLocationId").agg(
+        broken(F.size("Values") != F.datediff("LastDay", "FirstDay") + 1).alias("BadLength"),
+        broken(F.size("Values") != F.size("Deficit")).alias("BadDeficit"),
+        F.max(F.when(F.col("Variant") == labels.SALES,
+                     F.size(F.filter("Values", lambda v: v.isNotNull())))).alias("ArrayPoints"))
 
-def multi_branch_pairs(day_layer: DataFrame) -> DataFrame:
-    return (day_layer.groupBy("ItemLocationId", "Branch").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("ItemLocationId").agg(F.count(F.lit(1)).alias("Branches"))
-            .agg(F.coalesce(F.sum(F.when(F.col("Branches") > 1, 1).otherwise(0)), F.lit(0))
-                 .alias("MultiBranchPairs")))
 
+def layer_totals(day_layer: DataFrame, array_layer: DataFrame | None, params: Params) -> DataFrame:
+    """All counters of the days and arrays in one row."""
+    pairs = day_totals(day_layer, params)
+    added = [c for c in pairs.columns if c not in ("ItemLocationId", "LowBranch", "HighBranch", "Filled",
+                                                   "MatrixLifeDays")]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in added]
 
-def array_totals(day_layer: DataFrame, array_layer: DataFrame) -> DataFrame:
-    def broken(condition):
+    def counted(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0))
 
-    lengths = array_layer.agg(
-        broken(F.size("Values") != F.datediff("LastDay", "FirstDay") + 1).alias("BadLength"),
-        broken(F.size("Values") != F.size("Deficit")).alias("BadDeficit"))
-    expected = (day_layer.where("IsEmpty = 0").groupBy("ItemLocationId").agg(
-        F.sum(F.when((F.col("IsMatrix") == 1) & (F.col("InLife") == 1), 1).otherwise(0))
-        .alias("MatrixLifeDays")))
-    observed = array_layer.where(F.col("Variant") == labels.SALES).select(
-        "ItemLocationId", F.lit(1).alias("Found"),
-        F.size(F.filter("Values", lambda v: v.isNotNull())).alias("ArrayPoints"))
-    points = expected.join(observed, "ItemLocationId", "left").agg(broken(
-        F.col("Found").isNull() | (F.col("ArrayPoints") != F.col("MatrixLifeDays")))
-        .alias("BadPoints"))
-    return lengths.crossJoin(points)
+    sums.append(counted(F.col("LowBranch") < F.col("HighBranch")).alias("MultiBranchPairs"))
+    if array_layer is not None:
+        pairs = pairs.join(array_totals(array_layer), "ItemLocationId", "full")
+        wrong = F.col("ArrayPoints").isNull() | (F.col("ArrayPoints") != F.col("MatrixLifeDays"))
+        sums += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("BadLength", "BadDeficit")]
+        sums.append(counted((F.col("Filled") == 1) & wrong).alias("BadPoints"))
+    return pairs.agg(*sums)
 
 
 def series_checks(raw: DataFrame, facts: DataFrame, day_layer: DataFrame,
                   array_layer: DataFrame | None, params: Params) -> list[DataFrame]:
     """Journal parts of the day layer and, where given, of the array layer."""
     c = F.col
-    totals = (day_totals(day_layer).crossJoin(multi_branch_pairs(day_layer))
-              .crossJoin(source_totals(raw, params)))
+    counted = materialise(layer_totals(day_layer, array_layer, params), "layer-totals")
+    totals = counted.crossJoin(source_totals(raw, params))
+    by_branch = counted.select(F.inline(F.array(*[
+        F.struct(F.lit(b).alias("Branch"), *[c(f"{n}{i}").alias(n) for n in ("Qty", "Amount", "Rows")])
+        for i, b in enumerate(params.branches, 1)])))
+    source = source_branches(facts, params)
     parts = [
-        branch_checks(branch_totals(facts, day_layer, params), "days"),
+        branch_checks(by_branch.join(source, "Branch", "left").na.fill(0), "days"),
         rows_of(totals, [
             check("days_rows_total", labels.ERROR,
                   F.abs(c("Rows") + c("UnknownRows") - c("SrcRowsAll")),
@@ -140,13 +170,13 @@ def series_checks(raw: DataFrame, facts: DataFrame, day_layer: DataFrame,
                   text(c("ReturnRows"), " rows were returns and count as no sale")),
         ])]
     if array_layer is not None:
-        parts.append(array_checks(day_layer, array_layer))
+        parts.append(array_checks(counted))
     return parts
 
 
-def array_checks(day_layer: DataFrame, array_layer: DataFrame) -> DataFrame:
+def array_checks(totals: DataFrame) -> DataFrame:
     c = F.col
-    return rows_of(array_totals(day_layer, array_layer), [
+    return rows_of(totals, [
         check("arrays_length_life", labels.ERROR, c("BadLength"),
               text("series whose length is not their days of life: ", c("BadLength"))),
         check("arrays_deficit_length", labels.ERROR, c("BadDeficit"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -64,6 +65,17 @@ def demand_quadrant(adi: Column, cv2: Column, params: Params) -> Column:
             .otherwise(F.lit(labels.SMOOTH)))
 
 
+def normal_tail(z: Column) -> Column:
+    """Chance of a standard normal value at least as far from 0 as z, on both sides: erfc(|z| / sqrt 2) by the
+    rational formula of Abramowitz and Stegun, 7.1.26, right to 1.5e-7."""
+    x = F.abs(z) / math.sqrt(2)
+    t = 1 / (1 + 0.3275911 * x)
+    poly = F.lit(1.061405429)
+    for c in (-1.453152027, 1.421413741, -0.284496736, 0.254829592):
+        poly = poly * t + c
+    return poly * t * F.exp(-x * x)
+
+
 def exact(value: Column) -> Column:
     """Fixed-point copy of a double, so that sums do not depend on the order of addition.
 

@@ -17,6 +17,8 @@ from shelftide.params import Params
 
 Q_GRID = tuple(Decimal(q) for q in ("0.40", "0.50", "0.60", "0.70", "0.80", "0.90", "0.95"))
 TARGETS = (0.75, 0.80)
+#: Attributes of a pair by which the curve is cut: the six ABC rules, subgroup and store format.
+CUTS = (*labels.ABC_COLUMNS, "ItemIdLevel2", "LocationFormatTT")
 
 
 def _points(values: Column, threshold: Column, q_grid: Sequence[Decimal]) -> Column:
@@ -73,6 +75,27 @@ def frontier_curve(frontier: DataFrame, profile: DataFrame, keys: Sequence[str])
         .withColumn("LeftoverShare", ratio(F.col("Leftover"), F.col("Output"))))
 
 
+def frontier_cuts(frontier: DataFrame, profile: DataFrame, cuts: Sequence[str] = CUTS) -> DataFrame:
+    """The curve of every branch by each cut (one attribute of the pair) and as a whole.
+
+    The rows of pairs are first added up by all attributes together, then all cuts come from those few
+    sums in one aggregation over grouping sets. The values of a cut are shown as text.
+    """
+    attributes = profile.where(F.col("Variant") == labels.SALES).select("ItemLocationId", "Branch", *cuts)
+    sums = [F.sum(c).alias(c) for c in ("AvailableDays", "Days", "Leftover", "Output")]
+    axes = ["Branch", "Variant", "Q"]
+    fine = frontier.join(attributes, "ItemLocationId").groupBy(*axes, *cuts).agg(*sums)
+    by = {c: F.grouping(c) == 0 for c in cuts}
+    return (
+        fine.groupingSets([axes, *[[*axes, c] for c in cuts]], *axes, *cuts)
+        .agg(F.coalesce(*[F.when(here, c) for c, here in by.items()], F.lit(labels.TOTAL)).alias("Cut"),
+             F.coalesce(*[F.when(here, F.col(c).cast("string")) for c, here in by.items()]).alias("CutValue"),
+             *sums)
+        .withColumn("Availability", ratio(F.col("AvailableDays"), F.col("Days")))
+        .withColumn("LeftoverShare", ratio(F.col("Leftover"), F.col("Output")))
+        .drop(*cuts))
+
+
 def actual_point(day_layer: DataFrame, params: Params, keys: Sequence[str]) -> DataFrame:
     """Where the segment really was, by the same definitions, over matrix days of life."""
     enough = F.col("StockEndQty") >= threshold_of(F.col("Branch"), params.thresholds)

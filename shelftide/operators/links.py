@@ -50,6 +50,25 @@ def deficit_frequency(day_layer: DataFrame, base: DataFrame, rule: str) -> DataF
         .withColumn("DeficitShare", ratio(F.col("DeficitDays"), F.col("MatrixDays"))))
 
 
+def deficit_effect(profile: DataFrame, measures: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """What days without stock do to the measures: the difference of a pair's sales and demand variant, by
+    segment and measure, over the pairs that have both, and how many pairs change their demand class."""
+    def of(variant: str, name: str) -> Column:
+        return F.max(F.when(F.col("Variant") == variant, F.col(name)))
+
+    pairs = profile.where("IsEmpty = 0").groupBy("ItemLocationId", *keys).agg(
+        *[(of(labels.SALES, m) - of(labels.DEMAND, m)).alias(m) for m in measures],
+        F.max(F.struct("Variant", "Quadrant")).alias("high"), F.min(F.struct("Variant", "Quadrant")).alias("low"))
+    changed = (F.col("high.Quadrant") != F.col("low.Quadrant")).cast("int")
+    rows = pairs.select(*keys, changed.alias("Changed"), F.inline(F.array(*[
+        F.struct(F.lit(m).alias("Measure"), F.col(m).alias("Difference")) for m in measures])))
+    d = F.col("Difference")
+    return rows.where(d.isNotNull()).groupBy(*keys, "Measure").agg(
+        F.count(F.lit(1)).alias("Pairs"), F.sum("Changed").alias("ClassChanged"),
+        F.avg(d).alias("MeanEffect"), F.sum(F.when(F.abs(d) > 1e-9, 1).otherwise(0)).alias("PairsMoved"),
+        F.max(F.abs(d)).alias("LargestEffect"))
+
+
 def weekly_profile_similarity(day_layer: DataFrame) -> DataFrame:
     """Cosine between the weekday profile of a pair and that of its item in all stores."""
     pair = (day_layer.where(F.col("ValueSales").isNotNull())
@@ -84,9 +103,14 @@ def common_factors(day_layer: DataFrame) -> DataFrame:
     store = _others(rows, ["TransDate", "LocationId"], "SalesAmount", "StoreRest")
     both = _others(store, ["TransDate", "LocationId", "ItemIdLevel2", "Branch"], "SalesQty",
                    "GroupRest")
+    return _two_factors(both, ["ItemLocationId"])
+
+
+def _two_factors(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Correlations of ValueSales, StoreRest and GroupRest where all are known, and R squared of the two."""
     known = (F.col("ValueSales").isNotNull() & F.col("StoreRest").isNotNull()
              & F.col("GroupRest").isNotNull())
-    r = both.where(known).groupBy("ItemLocationId").agg(
+    r = rows.where(known).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("Days"),
         _corr(F.col("ValueSales"), F.col("StoreRest")).alias("StoreCorr"),
         _corr(F.col("ValueSales"), F.col("GroupRest")).alias("GroupCorr"),
@@ -96,6 +120,45 @@ def common_factors(day_layer: DataFrame) -> DataFrame:
     return r.withColumn("R2", F.when(free > 1e-9, (a * a + b * b - 2 * a * b * ab) / free))
 
 
+def lagged_factors(day_layer: DataFrame, lags: int = 7) -> DataFrame:
+    """The two factors of ``common_factors`` some days before, which a forecast may know: one row for every
+    pair and lag of 1 to ``lags`` days that has days with both factors that far back.
+
+    The totals of a store or subgroup day carry the days they will explain, all lags side by side, so the
+    facts meet them once; the pair's own part of the earlier day, which may have no row, comes from
+    windows over the pair's days. Lags are unfolded only then, where rows lie by pair already.
+    """
+    days = range(1, lags + 1)
+
+    def ahead(on: Sequence[str], value: str, name: str) -> DataFrame:
+        totals = day_layer.groupBy("TransDate", *on).agg(F.sum(value).alias("t"), F.count(F.lit(1)).alias("n"))
+        carried = totals.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(lags))))
+        return carried.groupBy(F.date_add("TransDate", F.col("k")).alias("TransDate"), *on).agg(
+            *[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{name}_{c}{k}") for k in days for c in ("t", "n")])
+
+    store, group = ["LocationId"], ["LocationId", "ItemIdLevel2", "Branch"]
+    rows = (
+        day_layer.select("ItemLocationId", "TransDate", *group, "SalesQty", "SalesAmount", "ValueSales")
+        .join(ahead(store, "SalesAmount", "Store"), ["TransDate", *store], "left")
+        .join(ahead(group, "SalesQty", "Group"), ["TransDate", *group], "left"))
+    pair = Window.partitionBy("ItemLocationId").orderBy(F.datediff("TransDate", F.lit(dt.date(1970, 1, 1))))
+
+    def before(value: str, k: int) -> Column:
+        return F.max(value).over(pair.rangeBetween(-k, -k))
+
+    own = rows.select("*", *[before(v, k).alias(f"{v}{k}") for k in days for v in ("SalesAmount", "SalesQty")])
+
+    def rest(name: str, value: str, k: int) -> Column:
+        mine = F.col(f"{value}{k}")
+        others = F.col(f"{name}_n{k}") > F.when(mine.isNull(), 0).otherwise(1)
+        return F.when(others, F.col(f"{name}_t{k}") - F.coalesce(mine, F.lit(0.0)))
+
+    lagged = own.where(F.col("ValueSales").isNotNull()).select("ItemLocationId", "ValueSales", F.inline(F.array(*[
+        F.struct(F.lit(k).alias("Lag"), rest("Store", "SalesAmount", k).alias("StoreRest"),
+                 rest("Group", "SalesQty", k).alias("GroupRest")) for k in days])))
+    return _two_factors(lagged, ["ItemLocationId", "Lag"])
+
+
 def substitution(day_layer: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sales of an item while its neighbours are in deficit, against the same weekday without
     neighbour deficits. Days with a deficit of its own are left out."""

@@ -7,13 +7,14 @@ distinct value, then ranked in range blocks (`running.running_total`), never in
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelftide.checks.journal import check, rows_of, text
 from shelftide.functions import labels
-from shelftide.functions.expressions import exact, ratio
+from shelftide.functions.expressions import exact, map_values, ratio
 from shelftide.operators.running import running_total
 
 
@@ -106,6 +107,40 @@ def assign_classes(profile: DataFrame, ladder: Sequence[tuple[str, str]], otherw
                         labels.NOT_APPLICABLE).otherwise(result))
 
 
+@dataclass(frozen=True)
+class ClassRules:
+    """A ladder of classes, the class of all that no rung takes, the fewest days, and what each class asks for."""
+    ladder: Sequence[tuple[str, str]]
+    otherwise: str
+    min_days: int
+    decisions: Mapping[str, str]
+
+    def __post_init__(self):
+        if missing := {self.otherwise, *[name for name, _ in self.ladder]} - set(self.decisions):
+            raise ValueError(f"classes without a decision: {sorted(missing)}")
+
+
+def classified_profile(profile: DataFrame, rules: ClassRules) -> DataFrame:
+    """The profile with Class and Decision; where the class does not apply, neither does a decision."""
+    return assign_classes(profile, rules.ladder, rules.otherwise, rules.min_days).withColumn(
+        "Decision", map_values(F.col("Class"), rules.decisions, F.lit(labels.NOT_APPLICABLE)))
+
+
+def class_decisions(classified: DataFrame, top_rule: str) -> DataFrame:
+    """Decision of each branch's classes with its share of pairs and of revenue, the latter also within the top
+    (class A of `top_rule`) and within the tail."""
+    revenue = exact(F.round("Revenue", 2))
+    top = F.col(top_rule) == "A"
+    sums = classified.where(F.col("Variant") == labels.SALES).groupBy("Branch", "Class", "Decision").agg(
+        F.count(F.lit(1)).alias("Pairs"), F.sum(revenue).alias("All"),
+        F.sum(F.when(top, revenue).otherwise(0)).alias("Top"), F.sum(F.when(top, 0).otherwise(revenue)).alias("Tail"))
+    # A few classes per branch: the window sees the aggregated table only.
+    branch = Window.partitionBy("Branch")
+    return sums.select("Branch", "Class", "Decision", "Pairs", *[
+        ratio(F.col(c), F.sum(c).over(branch)).alias(name) for c, name in (
+            ("Pairs", "PairShare"), ("All", "RevenueShare"), ("Top", "TopShare"), ("Tail", "TailShare"))])
+
+
 def class_shares(classified: DataFrame) -> DataFrame:
     counts = classified.where(F.col("Variant") == labels.SALES).groupBy("Branch", "Class").agg(
         F.count(F.lit(1)).alias("Pairs"), F.sum("Revenue").alias("Revenue"))

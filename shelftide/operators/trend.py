@@ -5,43 +5,60 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelftide.functions.expressions import ratio
 
 
-def _trend(weeks: np.ndarray, sums: np.ndarray) -> tuple[float | None, float | None]:
-    """Kendall's tau-b with time, and the median of the slopes between all two weeks."""
-    n = len(sums)
-    if n < 2:
-        return None, None
-    i, j = np.triu_indices(n, 1)
-    rise = sums[j] - sums[i]
-    score = np.sign(rise).sum()
-    untied = np.count_nonzero(rise)
-    tau = score / np.sqrt(float(len(rise)) * untied) if untied else None
-    return tau, float(np.median(rise / (weeks[j] - weeks[i])))
+def _size(values: Column) -> Column:
+    return F.size(values).cast("double")
 
 
-_TREND = T.StructType([T.StructField("Tau", T.DoubleType()),
-                       T.StructField("SenSlope", T.DoubleType())])
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
 
 
-@pandas_udf(_TREND)
-def _trend_column(weeks: pd.Series, sums: pd.Series) -> pd.DataFrame:
-    rows = [_trend(np.asarray(w, dtype="float64"), np.asarray(s, dtype="float64"))
-            for w, s in zip(weeks, sums)]
-    return pd.DataFrame(rows, columns=["Tau", "SenSlope"], dtype="float64")
+def _steps(points: Column) -> Column:
+    """Rise and slope between every two weeks of a series."""
+    def from_week(p: Column, i: Column) -> Column:
+        return F.transform(F.slice(points, i + 2, F.size(points)), lambda q: F.struct(
+            (q["Qty"] - p["Qty"]).alias("Rise"),
+            ((q["Qty"] - p["Qty"]) / (q["Week"] - p["Week"])).alias("Slope")))
+    return F.flatten(F.transform(points, from_week))
 
 
-def weekly_trend(day_layer: DataFrame, min_weeks: int = 8) -> DataFrame:
-    """Kendall tau and Sen slope per pair over the weeks that have matrix days.
+def _median(ordered: Column) -> Column:
+    n = F.size(ordered)
+    return (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
 
-    Spark reduces the days to weekly sums and one short array per pair; the comparison of
-    every two weeks stays inside numpy, no pair of weeks becomes a row.
+
+def _mid_ranks(values: Column) -> Column:
+    """Ranks around their mean; equal values share the mean of their ranks."""
+    def rank(x: Column) -> Column:
+        return _size(F.filter(values, lambda y: y < x)) + (_size(F.filter(values, lambda y: y == x)) + 1) / 2
+    return F.transform(values, lambda x: rank(x) - (_size(values) + 1) / 2)
+
+
+def _lag_weight(c: Column, n: Column, significant: float) -> Column:
+    """Hamed and Rao's sum over the lags whose rank autocorrelation is significant."""
+    spread = _total(F.transform(c, lambda x: x * x))
+
+    def lag(k: Column) -> Column:
+        both = F.zip_with(F.slice(c, F.lit(1), F.size(c) - k), F.slice(c, k + 1, F.size(c) - k), lambda x, y: x * y)
+        r = F.try_divide(_total(both), spread)
+        return F.when(F.abs(r) > significant / F.sqrt(n), (n - k) * (n - k - 1) * (n - k - 2) * r).otherwise(0.0)
+    return _total(F.transform(F.sequence(F.lit(1), F.size(c) - 1), lag))
+
+
+def weekly_trend(day_layer: DataFrame, min_weeks: int = 8, significant: float = 1.96) -> DataFrame:
+    """Kendall tau with time, Sen slope and Mann-Kendall z per pair over the weeks that have matrix days.
+
+    Weekly sums follow each other closely, which makes a trend look surer than it is. `ZCorrected` takes the
+    variance times Hamed and Rao's factor: from the autocorrelations, beyond `significant` standard errors, of
+    the ranks of the sums without their Sen slope. It is NULL where the factor is not positive.
+
+    Days are reduced to weekly sums and one array per pair, as long as the calendar at most; all that follows
+    are array expressions inside that row.
     """
     week = F.floor(F.datediff("TransDate", F.lit(dt.date(1970, 1, 5))) / 7).cast("int")
     weekly = (day_layer.where(F.col("ValueSales").isNotNull())
@@ -50,11 +67,28 @@ def weekly_trend(day_layer: DataFrame, min_weeks: int = 8) -> DataFrame:
     series = (
         weekly.groupBy("ItemLocationId")
         .agg(F.sort_array(F.collect_list(F.struct("Week", "Qty"))).alias("Points"))
-        .where(F.size("Points") >= min_weeks))
+        .where(F.size("Points") >= max(2, min_weeks)))
+    n, score = F.col("n"), F.col("Score")
+    equal = F.transform(F.array_distinct("Points.Qty"),
+                        lambda v: _size(F.filter("Points.Qty", lambda x: x == v)))
+    ties = _total(F.transform(equal, lambda t: t * (t - 1) * (2 * t + 5)))
+    first = F.get("Points", F.lit(0))["Week"]
+    # Equal sums around the slope must be equal to the last bit to share a rank.
+    around = F.transform("Points", lambda p: F.round(p["Qty"] - F.col("SenSlope") * (p["Week"] - first), 9))
+    z = score - F.signum(score)
+    corrected = F.col("Variance") * (1 + F.try_divide(2 * F.col("LagWeight"), n * (n - 1) * (n - 2)))
     return (
-        series.select("ItemLocationId", F.size("Points").alias("Weeks"),
-                      _trend_column(F.col("Points.Week"), F.col("Points.Qty")).alias("Trend"))
-        .select("ItemLocationId", "Weeks", "Trend.*"))
+        series.withColumn("n", _size(F.col("Points"))).withColumn("Steps", _steps(F.col("Points")))
+        .withColumns({
+            "Score": _total(F.transform("Steps.Rise", lambda r: F.signum(r))),
+            "Untied": _size(F.filter("Steps.Rise", lambda r: r != 0)),
+            "SenSlope": _median(F.array_sort("Steps.Slope")),
+            "Variance": (n * (n - 1) * (2 * n + 5) - ties) / 18})
+        .withColumn("LagWeight", _lag_weight(_mid_ranks(around), n, significant))
+        .select("ItemLocationId", F.size("Points").alias("Weeks"),
+                F.when(F.col("Untied") > 0, score / F.sqrt(_size(F.col("Steps")) * F.col("Untied"))).alias("Tau"),
+                "SenSlope", F.when(F.col("Variance") > 0, z / F.sqrt("Variance")).alias("Z"),
+                F.when(corrected > 0, z / F.sqrt(corrected)).alias("ZCorrected")))
 
 
 def known_shift(day_layer: DataFrame, date: dt.date, keys: Sequence[str]) -> DataFrame:

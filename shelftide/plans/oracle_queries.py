@@ -39,7 +39,7 @@ _BASE_ROWS = f"""SELECT {_ATTRIBUTES}, {_money('SalesQtyTotal', 'Revenue')},
 
 # Pivots read the profile; `base` is its name inside the pivot text.
 _PIVOT = f"WITH {LINEITEM}{PROFILE}, base AS (SELECT * FROM profile)"
-_REVENUE = "sum(CAST(Revenue AS DECIMAL(38,10)))"
+_REVENUE = "sum(CAST(round(Revenue, 2) AS DECIMAL(36,2)))"
 _DEFICIT = "100.0 * sum(DeficitDays) / nullif(sum(MatrixDays), 0)"
 _REASON = """CASE WHEN IsEmpty = 1 THEN 'empty series' WHEN MatrixDays = 0 THEN 'no matrix days'
   WHEN VariantDays = 0 THEN 'no variant days'
@@ -203,15 +203,30 @@ _LINE_COLUMNS = {
 
 
 def _canonical(column: str, kind: str) -> str:
-    value = {"d": f"CAST({column} AS DECIMAL(38,6))",
-             "t": f"strftime({column}, '%Y-%m-%d %H:%M:%S')"}.get(kind, column)
+    value = {"d": f"CAST(round({column} * 1000000) AS BIGINT)", "t": f"epoch_us({column})"}.get(kind, column)
     text = f"CAST({value} AS VARCHAR)"
     return f"CASE WHEN {column} IS NULL THEN 'n' ELSE concat('v', length({text}), ':', {text}) END"
 
 
-_LINE_MARK = f"""SELECT count(*) AS SrcRows, CAST(coalesce(sum(CAST(CAST(concat('0x', substr(md5(
-  concat({', '.join(_canonical(c, k) for c, k in _LINE_COLUMNS.items())})), 1, 15)) AS BIGINT)
-  AS DECIMAL(38,0))), 0) AS VARCHAR) AS SrcHash FROM lineitem"""
+def _mark(columns: dict[str, str]) -> str:
+    return f"""CAST(coalesce(sum(CAST(CAST(concat('0x', substr(md5(
+  concat({', '.join(_canonical(c, k) for c, k in columns.items())})), 1, 15)) AS BIGINT)
+  AS DECIMAL(38,0))), 0) AS VARCHAR)"""
+
+
+_LINE_MARK = f"SELECT count(*) AS SrcRows, {_mark(_LINE_COLUMNS)} AS SrcHash FROM lineitem"
+_FACT_COLUMNS = {
+    "TransDate": "", "LocationId": "", "ItemId": "", "ItemLocationId": "", "IsMatrix": "", "StockStartQty": "d",
+    "StockEndQty": "d", "Qty": "d", "Amount": "d", "LocationNetwork": "", "LocationFormatTT": "",
+    "ItemMeasure": "", "ItemIdLevel1": "", "ItemIdLevel2": "", "ItemIdLevel3": "",
+    **{f"CAST(NULL AS DOUBLE) /* roll-up {i} */": "" for i in range(4)}}
+_LAYER_COUNTS = """(SELECT count(*) FROM days) AS DayRows,
+  (SELECT count(DISTINCT ItemLocationId) FROM days) AS DayPairs,
+  (SELECT CAST(min(TransDate) AS VARCHAR) FROM days) AS DayFirst,
+  (SELECT CAST(max(TransDate) AS VARCHAR) FROM days) AS DayLast,
+  (SELECT count(*) FROM profile) AS BaseRows,
+  (SELECT count(DISTINCT ItemLocationId) FROM profile) AS BasePairs,
+  (SELECT count(*) FROM profile WHERE Variant = 'sales' AND IsEmpty = 1) AS BaseEmptyPairs"""
 
 ORACLE: dict[str, str] = {
     "fingerprint_hash": _LINE_MARK,
@@ -273,14 +288,11 @@ UNION ALL SELECT 'unclassified_reasons', 'Branch,Scope,Variant,Reason',
   'Branch,Scope,Variant', 'pairs,revenue', (SELECT count(*) FROM ({_REASONS}))""",
     "fingerprint_counts": f"""WITH {LINEITEM}{PROFILE}
 SELECT (SELECT count(*) FROM measured) AS SrcRows,
-  (SELECT count(DISTINCT ItemLocationId) FROM measured) AS SrcPairs,
-  (SELECT count(*) FROM days) AS DayRows,
-  (SELECT count(DISTINCT ItemLocationId) FROM days) AS DayPairs,
-  (SELECT CAST(min(TransDate) AS VARCHAR) FROM days) AS DayFirst,
-  (SELECT CAST(max(TransDate) AS VARCHAR) FROM days) AS DayLast,
-  (SELECT count(*) FROM profile) AS BaseRows,
-  (SELECT count(DISTINCT ItemLocationId) FROM profile) AS BasePairs,
-  (SELECT count(*) FROM profile WHERE Variant = 'sales' AND IsEmpty = 1) AS BaseEmptyPairs""",
+  (SELECT count(DISTINCT ItemLocationId) FROM measured) AS SrcPairs, {_LAYER_COUNTS}""",
+    "fingerprint_report": f"""WITH {LINEITEM}{PROFILE}
+SELECT true AS FilesKnown, (SELECT count(*) FROM measured) AS SrcRows,
+  (SELECT {_mark(_FACT_COLUMNS)} FROM measured) AS SrcHash,
+  (SELECT count(DISTINCT ItemLocationId) FROM measured) AS SrcPairs, {_LAYER_COUNTS}""",
     "source_measures": f"WITH {RAW_LINEITEM}{_SOURCE} SELECT * FROM src",
     "check_branch_totals": f"WITH {LINEITEM}{_DAY_BRANCH} {_journal(_DAY_BRANCH_ROWS)}",
     "check_days": f"""WITH {LINEITEM}{ARRAYS}{_DAY_BRANCH}{_SOURCE}{_ARRAY_TOTALS}

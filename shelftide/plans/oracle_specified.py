@@ -86,6 +86,11 @@ def _curve(keys: str) -> str:
   GROUP BY ALL"""
 
 
+_CUTS = "\n UNION ALL ".join(
+    f"SELECT '{name}' AS Cut, * FROM ({_curve(f'b.Branch, {value} AS CutValue')})"
+    for name, value in [("total", "CAST(NULL AS VARCHAR)"), *[(r[0], f"b.{r[0]}") for r in ABC_RULES],
+                        ("ItemIdLevel2", "b.ItemIdLevel2"), ("LocationFormatTT", "b.LocationFormatTT")])
+
 _OVERLAP = "\n UNION ALL ".join(
     f"SELECT Branch, '{a[0]}' AS RuleA, '{b[0]}' AS RuleB, "
     f"count(*) FILTER ({a[0]} = 'A' AND {b[0]} = 'A') AS \"Both\", "
@@ -116,6 +121,10 @@ SELECT ItemLocationId, Variant, Q, AvailableDays, Days, Lookahead,
 curve AS ({_curve('b.Branch, b.AbcRevenueStore')})
 SELECT Branch, AbcRevenueStore, Variant, Q, AvailableDays, Days,
   {_six('Leftover', 'Output', 'Availability', 'LeftoverShare')} FROM curve""",
+    "frontier_cuts": f"""WITH {LINEITEM}{BASE}{_FRONTIER},
+cuts AS ({_CUTS})
+SELECT Branch, Cut, CutValue, Variant, Q, AvailableDays, Days,
+  {_six('Leftover', 'Output', 'Availability', 'LeftoverShare')} FROM cuts""",
     "frontier_actual": f"""WITH {LINEITEM},
 a AS (
   SELECT Branch, LocationNetwork, count(*) AS Days,
@@ -420,6 +429,20 @@ c AS ({' UNION ALL '.join(
 SELECT Branch, MeasureA, MeasureB, {_six('Correlation')} FROM c""",
     "predictability_classes": f"""WITH {LINEITEM}{PROFILE}{_CLASSES}
 SELECT Branch, Class, Pairs, round(Revenue, 2) AS Revenue, {_six('RevenueShare')} FROM shares""",
+    "class_decisions": f"""WITH {LINEITEM}{BASE}, profile_classes AS (
+  SELECT Branch, AbcRevenueStore = 'A' AS top, CAST(round(Revenue, 2) AS DECIMAL(38,2)) AS rev,
+    CASE WHEN coalesce(VariantDays, 0) < 4 THEN 'n/a' WHEN ZeroShare >= 0.6 THEN 'no structure'
+         WHEN Quadrant = 'smooth' THEN 'level' WHEN Cv2 >= 0.49 THEN 'jumpy' ELSE 'mixed' END AS Class
+  FROM base WHERE Variant = 'sales'),
+k AS (SELECT Branch, Class, count(*) AS Pairs, sum(rev) AS a, coalesce(sum(rev) FILTER (top), 0) AS t,
+        coalesce(sum(rev) FILTER (NOT top), 0) AS u FROM profile_classes GROUP BY 1, 2),
+s AS (SELECT Branch, Class, CASE Class WHEN 'no structure' THEN 'stock rule' WHEN 'level' THEN 'simple model'
+        WHEN 'jumpy' THEN 'own model' WHEN 'mixed' THEN 'calendar model' ELSE 'n/a' END AS Decision, Pairs,
+        Pairs / sum(Pairs) OVER b AS PairShare, CAST(a AS DOUBLE) / CAST(sum(a) OVER b AS DOUBLE) AS RevenueShare,
+        CAST(t AS DOUBLE) / nullif(CAST(sum(t) OVER b AS DOUBLE), 0) AS TopShare,
+        CAST(u AS DOUBLE) / nullif(CAST(sum(u) OVER b AS DOUBLE), 0) AS TailShare
+      FROM k WINDOW b AS (PARTITION BY Branch))
+SELECT Branch, Class, Decision, Pairs, {_six('PairShare', 'RevenueShare', 'TopShare', 'TailShare')} FROM s""",
     "check_classes": f"""WITH {LINEITEM}{PROFILE}{_CLASSES}
 {_journal([
     _check("'class_revenue_share'", "error",
@@ -432,7 +455,7 @@ GROUP BY 1, 2""",
     "stratified_sample_series": f"""{_RANK_ROWS}
 SELECT ItemLocationId, Quadrant, Branch FROM r QUALIFY row_number() OVER (
   PARTITION BY Quadrant, Branch
-  ORDER BY md5(concat('20260919:', ItemLocationId)), ItemLocationId) <= 25""",
+  ORDER BY md5(concat('41:', ItemLocationId)), ItemLocationId) <= 25""",
 }
 
 _CORR = ("CASE WHEN sqrt(var_samp({x}) * var_samp({y})) > 1e-9 "
@@ -448,12 +471,32 @@ tr AS (
   SELECT a.ItemLocationId, max(Weeks) AS Weeks,
     sum(sign(b.q - a.q)) / nullif(sqrt(CAST(count(*) AS DOUBLE)
       * count(*) FILTER (b.q <> a.q)), 0) AS Tau,
-    median((b.q - a.q) / (b.w - a.w)) AS SenSlope
+    median((b.q - a.q) / (b.w - a.w)) AS SenSlope, sum(sign(b.q - a.q)) AS s
   FROM wk a JOIN wk b ON b.ItemLocationId = a.ItemLocationId AND b.w > a.w
-  JOIN nw n ON n.ItemLocationId = a.ItemLocationId GROUP BY 1)"""
+  JOIN nw n ON n.ItemLocationId = a.ItemLocationId GROUP BY 1),
+eq AS (SELECT ItemLocationId, sum(t * (t - 1) * (2 * t + 5)) AS ties FROM (
+         SELECT ItemLocationId, q, CAST(count(*) AS DOUBLE) AS t FROM wk GROUP BY 1, 2) GROUP BY 1),
+dt AS (SELECT wk.ItemLocationId, w, round(q - SenSlope * (w - min(w) OVER (PARTITION BY wk.ItemLocationId)), 9) AS d,
+         CAST(Weeks AS DOUBLE) AS n FROM wk JOIN tr ON tr.ItemLocationId = wk.ItemLocationId),
+rk AS (SELECT ItemLocationId, n, row_number() OVER (PARTITION BY ItemLocationId ORDER BY w) AS i,
+         rank() OVER (PARTITION BY ItemLocationId ORDER BY d)
+           + (count(*) OVER (PARTITION BY ItemLocationId, d) - 1) / 2.0 - (n + 1) / 2.0 AS c FROM dt),
+ss AS (SELECT ItemLocationId, sum(c * c) AS v FROM rk GROUP BY 1),
+ac AS (SELECT a.ItemLocationId, b.i - a.i AS k, max(a.n) AS n, sum(a.c * b.c) / nullif(max(v), 0) AS r
+       FROM rk a JOIN rk b ON b.ItemLocationId = a.ItemLocationId AND b.i > a.i
+       JOIN ss ON ss.ItemLocationId = a.ItemLocationId GROUP BY 1, 2),
+hr AS (SELECT ItemLocationId, coalesce(sum((n - k) * (n - k - 1) * (n - k - 2) * r)
+         FILTER (abs(r) > 1.96 / sqrt(n)), 0) AS h FROM ac GROUP BY 1),
+zz AS (SELECT tr.*, s - sign(s) AS z, (Weeks * (Weeks - 1) * (2.0 * Weeks + 5) - ties) / 18.0 AS v0,
+         (Weeks * (Weeks - 1) * (2.0 * Weeks + 5) - ties) / 18.0
+           * (1 + 2 * h / (CAST(Weeks AS DOUBLE) * (Weeks - 1) * (Weeks - 2))) AS v1
+       FROM tr JOIN eq ON eq.ItemLocationId = tr.ItemLocationId JOIN hr ON hr.ItemLocationId = tr.ItemLocationId),
+zc AS (SELECT ItemLocationId, Weeks, Tau, SenSlope, CASE WHEN v0 > 0 THEN z / sqrt(v0) END AS Z,
+         CASE WHEN v1 > 0 THEN z / sqrt(v1) END AS ZCorrected FROM zz)"""
 
 _RAMP = """,
-born AS (SELECT ItemLocationId, min(TransDate) AS b FROM days WHERE InLife = 1 GROUP BY 1),
+born AS (SELECT ItemLocationId, min(TransDate) AS b FROM days WHERE InLife = 1 GROUP BY 1
+         HAVING min(TransDate) >= DATE '1995-07-01'),
 wk AS (SELECT d.ItemLocationId, SalesQty,
          CAST(floor(datediff('day', b, TransDate) / 7) AS INTEGER) AS w
        FROM days d JOIN born ON born.ItemLocationId = d.ItemLocationId
@@ -536,7 +579,9 @@ SELECT Branch, Year, Month, Days, {_six('LevelRatio', 'ZeroShareChange')} FROM y
 z AS (SELECT ItemLocationId, Variant,
         (VarianceRatio7 - 1) / sqrt(156.0 / (21 * Pairs1)) AS z
       FROM lags WHERE Variant = 'sales' AND VarianceRatio7 IS NOT NULL),
-t AS (SELECT ItemLocationId, Variant, round(least(1.0, 2 * exp(-z * z / 2)), 9) AS P FROM z),
+y AS (SELECT *, abs(z) / sqrt(2) AS x, 1 / (1 + 0.3275911 * abs(z) / sqrt(2)) AS t FROM z),
+t AS (SELECT ItemLocationId, Variant, round((((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t
+        - 0.284496736) * t + 0.254829592) * t) * exp(-x * x), 9) AS P FROM y),
 r AS (SELECT *, count(*) OVER (ORDER BY P RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
         AS rank, count(*) OVER () AS m FROM t),
 c AS (SELECT max(P) FILTER (P <= 0.2 * rank / m) AS cut FROM r)
@@ -554,7 +599,7 @@ FROM c GROUP BY 1""",
 SELECT ItemLocationId, {_six('Level')},
   CASE WHEN Level > 0 AND s <= 16 THEN s END AS StableWeek FROM st""",
     "weekly_trend": f"""WITH {LINEITEM}{_TREND}
-SELECT ItemLocationId, Weeks, {_six('Tau', 'SenSlope')} FROM tr""",
+SELECT ItemLocationId, Weeks, {_six('Tau', 'SenSlope', 'Z', 'ZCorrected')} FROM zc""",
     "known_shift": f"""WITH {LINEITEM},
 w AS (SELECT ItemLocationId, Branch, LocationNetwork, dayofweek(TransDate) AS d,
         count(*) FILTER (TransDate >= DATE '1999-07-01') AS n1,
@@ -578,6 +623,17 @@ f AS (SELECT b.Branch, b.AbcRevenueStore AS Class, dayofweek(d.TransDate) + 1 AS
       WHERE d.IsMatrix = 1 AND d.InLife = 1 GROUP BY 1, 2, 3)
 SELECT Branch, Class, Weekday, MatrixDays, DeficitDays,
   {_six('DeficitSalesShare', 'DeficitShare')} FROM f""",
+    "deficit_effect": f"""WITH {LINEITEM}{PROFILE},
+w AS (SELECT s.Branch, s.Scope, CAST(s.Quadrant <> d.Quadrant AS INTEGER) AS ch,
+        s.SalesLevel - d.SalesLevel AS SalesLevel, s.ZeroShare - d.ZeroShare AS ZeroShare, s.Adi - d.Adi AS Adi,
+        s.Cv2 - d.Cv2 AS Cv2
+      FROM profile s JOIN profile d ON d.ItemLocationId = s.ItemLocationId AND d.Variant = 'demand'
+      WHERE s.Variant = 'sales' AND s.IsEmpty = 0),
+u AS (UNPIVOT w ON SalesLevel, ZeroShare, Adi, Cv2 INTO NAME Measure VALUE d),
+e AS (SELECT Branch, Scope, Measure, count(*) AS Pairs, sum(ch) AS ClassChanged, avg(d) AS MeanEffect,
+        count(*) FILTER (abs(d) > 1e-9) AS PairsMoved, max(abs(d)) AS LargestEffect
+      FROM u WHERE d IS NOT NULL GROUP BY 1, 2, 3)
+SELECT Branch, Scope, Measure, Pairs, ClassChanged, {_six('MeanEffect')}, PairsMoved, {_six('LargestEffect')} FROM e""",
     "weekly_profile_similarity": f"""WITH {EVENTS},
 p AS (SELECT ItemLocationId, ItemId, dayofweek(TransDate) AS d, sum(ValueSales) AS s,
         count(*) AS n FROM days WHERE ValueSales IS NOT NULL GROUP BY 1, 2, 3),
@@ -658,3 +714,105 @@ s AS (SELECT Branch, Scope, Period, count(DISTINCT ItemLocationId) AS Pairs,
 SELECT Branch, Scope, Period, Pairs,
   {_six('ZeroShare', 'DeficitShare', 'OutMatrixShare', 'Price')} FROM s""",
 }
+
+_LAGGED = f""",
+st AS (SELECT TransDate, LocationId, sum(SalesAmount) AS t, count(*) AS n FROM days GROUP BY 1, 2),
+gt AS (SELECT TransDate, LocationId, ItemIdLevel2, Branch, sum(SalesQty) AS t, count(*) AS n
+       FROM days GROUP BY 1, 2, 3, 4),
+lag AS (
+  SELECT d.ItemLocationId, k.k AS Lag, d.ValueSales,
+    CASE WHEN s.n > CASE WHEN o.ItemLocationId IS NULL THEN 0 ELSE 1 END
+         THEN s.t - coalesce(o.SalesAmount, 0) END AS sr,
+    CASE WHEN g.n > CASE WHEN o.ItemLocationId IS NULL THEN 0 ELSE 1 END
+         THEN g.t - coalesce(o.SalesQty, 0) END AS gr
+  FROM days d CROSS JOIN (SELECT CAST(unnest(range(1, 8)) AS INTEGER) AS k) k
+  LEFT JOIN days o ON o.ItemLocationId = d.ItemLocationId AND o.TransDate = d.TransDate - k.k
+  LEFT JOIN st s ON s.LocationId = d.LocationId AND s.TransDate = d.TransDate - k.k
+  LEFT JOIN gt g ON g.LocationId = d.LocationId AND g.ItemIdLevel2 = d.ItemIdLevel2
+    AND g.Branch = d.Branch AND g.TransDate = d.TransDate - k.k
+  WHERE d.ValueSales IS NOT NULL),
+known AS (SELECT * FROM lag WHERE sr IS NOT NULL AND gr IS NOT NULL),
+c AS (SELECT ItemLocationId, Lag, count(*) AS Days, {_CORR.format(x='ValueSales', y='sr')} AS a,
+        {_CORR.format(x='ValueSales', y='gr')} AS b, {_CORR.format(x='sr', y='gr')} AS ab
+      FROM known GROUP BY 1, 2),
+r AS (SELECT ItemLocationId, Lag, Days, a AS StoreCorr, b AS GroupCorr, ab AS FactorCorr,
+        CASE WHEN 1 - ab * ab > 1e-9 THEN (a * a + b * b - 2 * a * b * ab) / (1 - ab * ab) END
+          AS R2 FROM c)"""
+
+
+def _windows(months: int, count: int, skipped: str = "-1") -> str:
+    """CTEs numbering the windows, and for each the last one before it that is not skipped."""
+    return f""",
+win AS (SELECT i AS w, CAST(DATE '1995-01-01' + to_months(CAST(i * {months} AS INTEGER)) AS DATE) AS f,
+          CAST(DATE '1995-01-01' + to_months(CAST((i + 1) * {months} AS INTEGER)) AS DATE) AS u,
+          CASE WHEN i IN ({skipped}) THEN 1 ELSE 0 END AS k FROM range({count}) t(i)),
+cmp AS (SELECT a.w, max(b.w) AS b, max(a.f) AS "Window", max(b.f) AS Base, max(a.k) AS KnownEvent
+        FROM win a JOIN win b ON b.w < a.w AND b.k = 0 GROUP BY 1),
+dw AS (SELECT d.*, win.w FROM days d JOIN win ON d.TransDate >= win.f AND d.TransDate < win.u)"""
+
+
+_MATRIX_ENTITIES = "\n UNION ALL ".join(
+    f"SELECT DISTINCT Branch, '{kind}' AS Entity, CAST({column} AS VARCHAR) AS Key, w FROM dw "
+    "WHERE IsMatrix = 1 AND InLife = 1"
+    for kind, column in (("store", "LocationId"), ("item", "ItemId"), ("pair", "ItemLocationId")))
+
+SPECIFIED |= {
+    "lagged_factors": f"""WITH {EVENTS}{_LAGGED}
+SELECT ItemLocationId, Lag, Days, {_five('StoreCorr', 'GroupCorr', 'FactorCorr', 'R2')} FROM r""",
+    "matrix_entries": f"""WITH {EVENTS},
+m AS (SELECT Branch, LocationFormatTT, ItemLocationId, TransDate FROM days WHERE IsMatrix = 1 AND InLife = 1),
+seg AS (SELECT DISTINCT Branch, LocationFormatTT FROM m),
+cal AS (SELECT seg.*, CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE)
+          AS TransDate FROM seg),
+i AS (SELECT Branch, LocationFormatTT, TransDate, count(*) AS n FROM m a WHERE NOT EXISTS (
+        SELECT 1 FROM m b WHERE b.ItemLocationId = a.ItemLocationId AND b.TransDate = a.TransDate - 1) GROUP BY ALL),
+o AS (SELECT Branch, LocationFormatTT, TransDate + 1 AS TransDate, count(*) AS n FROM m a WHERE NOT EXISTS (
+        SELECT 1 FROM m b WHERE b.ItemLocationId = a.ItemLocationId AND b.TransDate = a.TransDate + 1) GROUP BY ALL),
+p AS (SELECT Branch, LocationFormatTT, TransDate, count(*) AS n FROM m GROUP BY ALL)
+SELECT Branch, LocationFormatTT, TransDate, coalesce(i.n, 0) AS Entries, coalesce(o.n, 0) AS Exits,
+  coalesce(p.n, 0) AS OnMatrix
+FROM cal LEFT JOIN i USING (Branch, LocationFormatTT, TransDate)
+LEFT JOIN o USING (Branch, LocationFormatTT, TransDate) LEFT JOIN p USING (Branch, LocationFormatTT, TransDate)""",
+    "drift_composition": f"""WITH {LINEITEM}{_windows(3, 28, '18')},
+e AS ({_MATRIX_ENTITIES}),
+f AS (SELECT Branch, Entity, Key, min(w) AS born FROM e GROUP BY ALL),
+s AS (SELECT f.Branch, f.Entity, "Window", Base, KnownEvent, n.w IS NOT NULL AS now, o.w IS NOT NULL AS was,
+        f.born < cmp.w AS earlier
+      FROM f CROSS JOIN cmp
+      LEFT JOIN e n ON n.Branch = f.Branch AND n.Entity = f.Entity AND n.Key = f.Key AND n.w = cmp.w
+      LEFT JOIN e o ON o.Branch = f.Branch AND o.Entity = f.Entity AND o.Key = f.Key AND o.w = cmp.b),
+g AS (SELECT Branch, Entity, "Window", Base, KnownEvent, count(*) FILTER (now) AS Present,
+        count(*) FILTER (was) AS InBase, count(*) FILTER (now AND was) AS Stayed,
+        count(*) FILTER (now AND NOT earlier) AS New,
+        count(*) FILTER (now AND NOT was AND earlier) AS Returned,
+        count(*) FILTER (was AND NOT now) AS Withdrawn FROM s GROUP BY ALL),
+h AS (SELECT *, (New + Returned + Withdrawn) / nullif(InBase, 0) AS Turnover FROM g)
+SELECT Branch, Entity, "Window", Base, KnownEvent, Present, InBase, Stayed, New, Returned, Withdrawn,
+  {_six('Turnover')} FROM h""",
+    "drift_targets": f"""WITH {LINEITEM}{_windows(3, 28, '18')},
+a AS (SELECT Branch, w, count(*) AS Days,
+        count(*) FILTER (StockEndQty >= CASE Branch WHEN 'kg' THEN 0.1 ELSE 1 END) / count(*) AS Availability,
+        sum(StockEndQty) / nullif(sum(SalesQty + StockEndQty), 0) AS LeftoverShare
+      FROM dw WHERE IsMatrix = 1 AND InLife = 1 GROUP BY 1, 2),
+t AS (SELECT a.Branch, "Window", Base, KnownEvent, a.Days, a.Availability, a.LeftoverShare,
+        o.Availability AS BaseAvailability, o.LeftoverShare AS BaseLeftoverShare,
+        CAST(a.Availability < 0.75 AS INTEGER) AS AvailabilityMissed,
+        CAST(a.LeftoverShare > 0.05 AS INTEGER) AS LeftoverMissed,
+        a.Availability - o.Availability AS AvailabilityChange, a.LeftoverShare - o.LeftoverShare AS LeftoverChange
+      FROM a JOIN cmp ON cmp.w = a.w LEFT JOIN a o ON o.Branch = a.Branch AND o.w = cmp.b)
+SELECT Branch, "Window", Base, KnownEvent, Days, AvailabilityMissed, LeftoverMissed,
+  {_six('Availability', 'LeftoverShare', 'BaseAvailability', 'BaseLeftoverShare', 'AvailabilityChange',
+        'LeftoverChange')} FROM t""",
+    "drift_distance": f"""WITH {LINEITEM}{_windows(12, 7)},
+v AS (SELECT Branch, LocationNetwork, "Window", Base, KnownEvent, ValueSales AS v,
+        count(*) FILTER (dw.w = cmp.w) AS r, count(*) FILTER (dw.w = cmp.b) AS b
+      FROM dw JOIN cmp ON dw.w IN (cmp.w, cmp.b) WHERE ValueSales IS NOT NULL GROUP BY ALL),
+s AS (SELECT *, sum(r) OVER k AS nr, sum(b) OVER k AS nb, sum(r) OVER o AS cr, sum(b) OVER o AS cb,
+        lead(v) OVER o AS nv
+      FROM v WINDOW k AS (PARTITION BY Branch, LocationNetwork, "Window"),
+        o AS (PARTITION BY Branch, LocationNetwork, "Window" ORDER BY v)),
+d AS (SELECT Branch, LocationNetwork, "Window", Base, KnownEvent, CAST(max(nr) AS BIGINT) AS RecentRows,
+        CAST(max(nb) AS BIGINT) AS BaseRows, coalesce(sum(abs(cr / nr - cb / nb) * (nv - v)), 0) AS Distance
+      FROM s WHERE nr > 0 AND nb > 0 GROUP BY ALL)
+SELECT Branch, LocationNetwork, "Window", Base, KnownEvent, RecentRows, BaseRows, {_six('Distance')} FROM d""",
+}

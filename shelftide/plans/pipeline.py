@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelftide.checks.journal import assemble, enforce
 from shelftide.checks.profile_checks import profile_checks
-from shelftide.checks.series_checks import array_checks, series_checks
-from shelftide.operators import abc, fingerprint, pivot, profile, series
+from shelftide.checks.series_checks import array_checks, layer_totals, series_checks
+from shelftide.operators import abc, fingerprint, pivot, profile, ranking, series
 from shelftide.params import Params
 from shelftide.plans.population import population
 from shelftide.sources.facts import in_period, normalise
@@ -27,7 +27,8 @@ class Build:
     With `buckets` the day layer is bucketed by pair: the join that builds it already places
     the rows, and the arrays, the profile and the checks then read it without another shuffle
     of the days. For facts whose key contract holds, so that no pair has more rows than the
-    period has days.
+    period has days. With `classes` the profile also gets predictability classes with their decisions, as a
+    layer behind a gate of its own.
     """
     spark: SparkSession
     raw: DataFrame
@@ -35,6 +36,7 @@ class Build:
     root: str
     checks: bool = True
     buckets: int | None = None
+    classes: ranking.ClassRules | None = None
 
     def path(self, layer: str) -> str:
         return f"{self.root}/{layer}"
@@ -81,7 +83,7 @@ class Build:
             self._gate("series_days", series_checks(self.raw, facts, days, None, self.params))
         arrays = self._write("series_arrays", series.arrays(days), "ItemLocationId", "Variant")
         if self.checks:
-            self._gate("series_arrays", [array_checks(days, arrays)])
+            self._gate("series_arrays", [array_checks(layer_totals(days, arrays, self.params))])
 
     def profile(self) -> None:
         days = self._read_days()
@@ -95,6 +97,11 @@ class Build:
             self._gate("series_profile", profile_checks(
                 normalise(self.raw, self.params), base, self.layer("series_pairs"),
                 self.params))
+        if self.classes:
+            classed = self._write("profile_classes", ranking.classified_profile(base, self.classes),
+                                  "ItemLocationId", "Variant")
+            if self.checks:
+                self._gate("profile_classes", ranking.class_checks(classed, self.classes.min_days))
 
     def tables(self) -> None:
         base = self.layer("profile_base")

@@ -10,7 +10,9 @@ from shelftide.operators.pivot import Dimension, Figure, Report, report
 BRANCH = Dimension("Branch", "branch")
 VARIANT = Dimension("Variant", "variant", ahead=f"Variant = '{labels.DEMAND}'")
 PAIRS = Figure("pairs", "count(*)", share=True)
-REVENUE = Figure("revenue", "sum(cast(Revenue as decimal(38,10)))", places=0, share=True)
+#: A pair's revenue is whole cents; sums of doubles show it up to their last bits, which depend on the order
+#: of addition, so it is brought back to cents before it is added.
+REVENUE = Figure("revenue", "sum(cast(round(Revenue, 2) as decimal(36,2)))", places=0, share=True)
 
 _WHY = f"""case when IsEmpty = 1 then 'empty series' when MatrixDays = 0 then 'no matrix days'
   when VariantDays = 0 then 'no variant days'

@@ -17,9 +17,10 @@ from shelftide.checks.profile_checks import profile_checks
 from shelftide.checks.series_checks import (
     branch_checks, branch_totals, series_checks, source_totals)
 from shelftide.functions import labels
+from shelftide.functions.expressions import normal_tail
 from shelftide.operators import (
-    abc_compare, array_measures, baselines, calendar, drift, fingerprint, frontier, lifecycle,
-    links, measures, ranking, series, trend)
+    abc_compare, baselines, calendar, drift, fingerprint, frontier, lifecycle, links, measures,
+    ranking, series, series_measures, trend)
 from shelftide.operators.baselines import Backtest
 from shelftide.operators.hierarchy import hierarchy_paths
 from shelftide.operators.pivot import Dimension, Figure, manifest, report
@@ -197,13 +198,23 @@ def table_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = lineitem(spark, sf_dir)
+    layers = _written(lineitem(spark, sf_dir))
     return layers.raw.agg(
         F.count(F.lit(1)).alias("SrcRows"),
         F.count_distinct("ItemLocationId").alias("SrcPairs")).crossJoin(
         fingerprint.layer_counts(layers.days, layers.profile_pairs))
 
 
+@query
+def fingerprint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one row that goes with a report, over written facts and days. Which files the facts lie in is the
+    cluster's affair, so of their number and bytes only that they are known is shown."""
+    layers = _written(lineitem(spark, sf_dir))
+    row = fingerprint.fingerprint(layers.raw, layers.days, layers.profile_pairs)
+    known = (F.col("SrcFiles") > 0) & (F.col("SrcBytes") > 0)
+    return row.withColumn("FilesKnown", known).drop("SrcFiles", "SrcBytes")
+
+
 @query
 def fingerprint_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and content mark of all lines."""
@@ -317,6 +328,14 @@ def frontier_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["Branch", "AbcRevenueStore"]))
 
 
+@query
+def frontier_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curve by every ABC rule, subgroup and format, and of the branch as a whole."""
+    layers = lineitem(spark, sf_dir)
+    return rounded(frontier.frontier_cuts(
+        frontier.order_frontier(layers.days, layers.params), layers.base))
+
+
 @query
 def frontier_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = lineitem(spark, sf_dir)
@@ -503,6 +522,18 @@ def predictability_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ranking.class_shares(_classified(spark, sf_dir)), MONEY)
 
 
+DECISIONS = {"no structure": "stock rule", "level": "simple model", "jumpy": "own model",
+             "mixed": "calendar model"}
+CLASS_RULES = ranking.ClassRules(CLASS_LADDER, "mixed", CLASS_MIN_DAYS, DECISIONS)
+
+
+@query
+def class_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What to do with each class, and how much of top and tail it holds."""
+    classified = ranking.classified_profile(lineitem(spark, sf_dir).base, CLASS_RULES)
+    return rounded(ranking.class_decisions(classified, "AbcRevenueStore"))
+
+
 @query
 def check_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _journal(ranking.class_checks(_classified(spark, sf_dir), CLASS_MIN_DAYS))
@@ -514,7 +545,7 @@ def stratified_sample_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = lineitem(spark, sf_dir).profile_pairs
     whole = profile.where(F.col("Variant") == labels.SALES).groupBy("Quadrant", "Branch").agg(
         F.count(F.lit(1)).alias("Series"))
-    sample = ranking.stratified_sample(profile, 25, 20260919).groupBy(
+    sample = ranking.stratified_sample(profile, 25, 41).groupBy(
         "Quadrant", "Branch").agg(F.count(F.lit(1)).alias("Sampled"))
     return whole.join(sample, ["Quadrant", "Branch"], "left")
 
@@ -522,7 +553,7 @@ def stratified_sample_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stratified_sample_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sampled series themselves."""
-    return ranking.stratified_sample(lineitem(spark, sf_dir).profile_pairs, 25, 20260919).select(
+    return ranking.stratified_sample(lineitem(spark, sf_dir).profile_pairs, 25, 41).select(
         "ItemLocationId", "Quadrant", "Branch")
 
 
@@ -558,13 +589,13 @@ def year_over_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def significant_variance_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Variance-ratio tests of all series at once. The p-value is the exponential bound of
-    the normal tail for z = (VR - 1) / sqrt(2(2k-1)(k-1) / (3kN)), k = 7."""
+    """Variance-ratio tests of all series at once: both tails of the normal distribution beyond
+    z = (VR - 1) / sqrt(2(2k-1)(k-1) / (3kN)), k = 7."""
     lags = measures.lag_measures(events(spark, sf_dir).days)
     z = (F.col("VarianceRatio7") - 1) / F.sqrt(F.lit(156.0) / (21 * F.col("Pairs1")))
     tests = materialise(lags.where("Variant = 'sales' and VarianceRatio7 is not null").select(
         "ItemLocationId", "Variant",
-        F.round(F.least(F.lit(1.0), 2 * F.exp(-z * z / 2)), 9).alias("P")), "tests")
+        F.round(normal_tail(z), 9).alias("P")), "tests")
     return rounded(calendar.benjamini_hochberg(tests, "P", 0.2, ["Variant"])).withColumn(
         "Significant", F.col("Significant").cast("int"))
 
@@ -574,9 +605,17 @@ def matrix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.matrix_runs(events(spark, sf_dir).days)
 
 
+@query
+def matrix_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.matrix_entries(events(spark, sf_dir).days, ["Branch", "LocationFormatTT"],
+                                    EVENTS_PARAMS.start, EVENTS_PARAMS.end)
+
+
 @query
 def ramp_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(lifecycle.ramp_up(lineitem(spark, sf_dir).days))
+    """Of pairs that were born after the facts begin."""
+    layers = lineitem(spark, sf_dir)
+    return rounded(lifecycle.ramp_up(layers.days, born_from=layers.params.cohort_date))
 
 
 @query
@@ -596,6 +635,13 @@ def deficit_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(links.deficit_frequency(layers.days, layers.base, "AbcRevenueStore"))
 
 
+@query
+def deficit_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of sales minus those of demand."""
+    return rounded(links.deficit_effect(
+        lineitem(spark, sf_dir).profile_pairs, ["SalesLevel", "ZeroShare", "Adi", "Cv2"], ["Branch", "Scope"]))
+
+
 @query
 def weekly_profile_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(links.weekly_profile_similarity(events(spark, sf_dir).days))
@@ -611,6 +657,12 @@ def common_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(links.common_factors(events(spark, sf_dir).days), default=5)
 
 
+@query
+def lagged_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What store and subgroup of 1 to 7 days before say about a pair's day."""
+    return rounded(links.lagged_factors(events(spark, sf_dir).days), default=5)
+
+
 @query
 def substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(links.substitution(events(spark, sf_dir).days, ["Branch"]))
@@ -643,10 +695,38 @@ def drift_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        ["Branch", "Scope"]))
 
 
+#: Quarters of the whole period; the range was changed in July 1999.
+QUARTERS = drift.MonthWindows(LINEITEM_PARAMS.start, 3, 28, [dt.date(1999, 7, 1)])
+YEARS = drift.MonthWindows(LINEITEM_PARAMS.start, 12, 7)
+
+
+@query
+def drift_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New, returned and withdrawn stores, items and pairs, quarter by quarter."""
+    return rounded(drift.composition(lineitem(spark, sf_dir).days, QUARTERS))
+
+
+@query
+def drift_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = lineitem(spark, sf_dir)
+    return rounded(drift.target_windows(layers.days, layers.params, QUARTERS, ["Branch"], 0.75, 0.05))
+
+
+@query
+def drift_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the distribution of daily sales moved from one year to the next."""
+    return rounded(drift.distribution_distance(lineitem(spark, sf_dir).days, "ValueSales", YEARS,
+                                               ["Branch", "LocationNetwork"]))
+
+
+def _event_measures(layers: Layers) -> DataFrame:
+    return series_measures.array_measures(materialise(layers.arrays, "arrays"), SHORT_SERIES)
+
+
 @query
 def array_measure_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measures that need the whole array; numpy inside the tasks."""
-    return array_measures.array_measures(events(spark, sf_dir).arrays, SHORT_SERIES)
+    """Measures of short series, few of which are long enough."""
+    return rounded(_event_measures(events(spark, sf_dir)))
 
 
 @query
@@ -661,21 +741,23 @@ def array_measure_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", F.lit("all").alias("LocationId"), F.lit("all").alias("LocationNetwork"),
         F.lit("all").alias("LocationFormatTT"),
         F.expr("cast(substr(ItemId, 7) as bigint)").alias("ItemLocationId"))
-    return array_measures.array_measures(Layers(whole, LINEITEM_PARAMS).arrays)
+    # Few and long series: each task takes some of them.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    arrays = materialise(Layers(whole, LINEITEM_PARAMS).arrays.repartition(parts, "ItemLocationId"), "arrays")
+    return rounded(series_measures.array_measures(arrays))
 
 
 @query
 def measure_applicability(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = events(spark, sf_dir)
-    statuses = [f"{m}Status" for m in array_measures.MEASURES]
+    statuses = [f"{m}Status" for m in series_measures.MEASURES]
     flags = ranking.applicability(
-        layers.profile_pairs, array_measures.array_measures(layers.arrays, SHORT_SERIES),
-        statuses, {"NaiveGainStatus": "excluded", "PacfOrderStatus": "limited"})
+        layers.profile_pairs, _event_measures(layers), statuses, {"NaiveGainStatus": "excluded", "PacfOrderStatus": "limited"})
     return rounded(flags.groupBy("Branch", "Variant", *statuses).agg(
         F.count(F.lit(1)).alias("Series"), F.sum("Revenue").alias("Revenue")), MONEY)
 
 
 # The events cover 30 days, so every minimum length is lowered accordingly.
-SHORT_SERIES = array_measures.Settings(
+SHORT_SERIES = series_measures.Settings(
     min_length=8, min_length_sampen=12, min_length_dfa=28, dfa_windows=(4, 7, 10, 14),
     pacf_lags=7)

@@ -14,8 +14,7 @@ from shelftide.checks.forecast_checks import forecast_checks
 from shelftide.checks.journal import assemble
 from shelftide.functions import labels
 from shelftide.operators import (
-    abc_compare, array_measures as am, baselines, calendar, frontier, lifecycle, links,
-    measures, ranking, trend)
+    abc_compare, baselines, calendar, frontier, lifecycle, links, measures, ranking, trend)
 from shelftide.plans.layers import Layers
 from shelftide.sources.facts import RAW_SCHEMA, read_raw, with_rollups
 from shop_data import ALL_DAYS, PARAMS, Point, day, main_rows, raw_frame, rows_of
@@ -78,6 +77,9 @@ def test_contract_of_the_whole_table(spark, sound_rows, tmp_path):
     missing = months_without_file(read_raw(spark, path), two).collect()
     assert [r.Month for r in missing] == [dt.date(2025, 2, 1)]
     assert [f.name for f in RAW_SCHEMA] == good.columns
+    journal = {r.CheckName: r.Value for r in assemble(
+        contract_checks(good, two, RULES, read_raw(spark, path))).collect()}
+    assert journal["contract_file_per_month"] == 1
 
 
 def test_order_is_the_smallest_value_that_covers_q(spark, quadrant_layers):
@@ -367,49 +369,6 @@ def test_abc_comparisons(layers):
     assert agreement["rye"].Stores == 2
 
 
-def test_known_values_of_array_measures():
-    sine = np.sin(np.linspace(0, 10 * np.pi, 100))
-    noise = np.random.default_rng(0).normal(size=400)
-    assert am.spectral_entropy(sine) < 0.35 < 0.85 < am.spectral_entropy(noise)
-    assert am.sample_entropy(np.array([0, 0, 3, 0, 0, 4, 0, 0, 3, 0.0]), 2, 0.2) == pytest.approx(
-        math.log(2))
-    assert am.fano_root(1.2, 10) == pytest.approx(0.830, abs=2e-3)
-    saturdays = np.tile([0, 0, 0, 0, 0, 10, 0.0], 52)
-    assert am.shuffle_gain(saturdays, 7, 20, 1) == 1.0
-    assert am.predictability_bound(np.tile([0.0, 1.0], 60), 10) == pytest.approx(1, abs=1e-6)
-    walk = am.dfa_slope(np.cumsum(noise), (7, 14, 28, 56, 91))
-    assert am.dfa_slope(noise, (7, 14, 28, 56, 91)) == pytest.approx(0.5, abs=0.15) and walk > 1.2
-    ar = np.zeros(400)
-    for i in range(2, 400):
-        ar[i] = 0.6 * ar[i - 1] + noise[i]
-    assert am.autocorrelation(ar, 1)[1] == pytest.approx(0.6, abs=0.1)
-    assert am.partial_order(ar, 1) == 1.0
-
-
-def test_array_measures_job(spark):
-    rng = np.random.default_rng(1)
-    full = [float(v) for v in rng.gamma(2.0, 2.0, 200)]
-    gaps = [None if i % 9 == 0 else v for i, v in enumerate(full)]
-    layer = spark.createDataFrame(
-        [(1, "sales", full), (2, "sales", gaps), (3, "sales", full[:20]), (4, "sales", [2.0] * 200),
-         (5, "demand", [None] * 30)],
-        "ItemLocationId long, Variant string, Values array<double>")
-    rows = {r.ItemLocationId: r for r in am.array_measures(layer).collect()}
-    status = {k: r.SpectralEntropyStatus for k, r in rows.items()}
-    assert status == {1: am.OK, 2: am.GAPS, 3: am.SHORT, 4: am.CONSTANT, 5: am.SHORT}
-    assert rows[1].SpectralEntropy == pytest.approx(am.spectral_entropy(np.array(full)))
-    assert rows[2].PacfOrderStatus == am.OK and rows[2].DfaSlope is None
-    flags = ranking.applicability(
-        spark.createDataFrame([(1, "sales", "kg", 1.0, 5), (2, "sales", "kg", 1.0, 0),
-                               (9, "sales", "kg", 1.0, 4)],
-                              "ItemLocationId long, Variant string, Branch string, "
-                              "Revenue double, MatrixDays int"),
-        am.array_measures(layer), ["PacfOrderStatus"], {"PacfOrderStatus": "limited"})
-    assert {r.ItemLocationId: r.PacfOrderStatus for r in flags.collect()} == {
-        1: "limited", 2: "no matrix days", 9: "short"}
-    assert labels.SALES == "sales"
-
-
 def test_weighted_quantiles_of_special_days(spark):
     special = spark.createDataFrame(
         [("kg", "feast", 1.0, 1.0), ("kg", "feast", 2.0, 1.0), ("kg", "feast", 3.0, 8.0)],

@@ -8,6 +8,7 @@ from shelftide.operators import series
 from shelftide import session
 from shelftide.operators.fingerprint import content_mark, fingerprint
 from shelftide.operators.hierarchy import hierarchy_paths
+from shelftide.operators.ranking import ClassRules, class_decisions
 from shelftide.plans.pipeline import Build
 from shelftide.sources import storage
 from shelftide.sources.facts import read_raw
@@ -174,3 +175,33 @@ def test_bucketed_layer_groups_without_a_shuffle(spark, layers, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and plan.count() == 8
     spark.sql("drop table days_bucketed")
+
+
+def test_build_writes_classes_behind_their_gate(spark, stored_raw, tmp_path):
+    with pytest.raises(ValueError, match="mixed"):
+        ClassRules((("flat", "Cv2 < 0.2"),), "mixed", 4, {"flat": "rule"})
+    rules = ClassRules((("flat", "Cv2 < 0.2"),), "mixed", 4, {"flat": "stock rule", "mixed": "own model"})
+    build = Build(spark, stored_raw, PARAMS, str(tmp_path / "classes"), classes=rules)
+    try:
+        build.run(["days", "profile"])
+    except CheckFailed as failed:
+        assert "class_revenue_share" in str(failed)
+    rows = build.layer("profile_classes").collect()
+    assert rows and all(r.Decision == rules.decisions.get(r.Class, "n/a") for r in rows)
+    assert build.layer("profile_classes_checks").count() == 2
+    strict = Build(spark, stored_raw, PARAMS, str(tmp_path / "strict"), classes=ClassRules(
+        (("flat", "ItemLocationId < 0"), ("none", "true")), "mixed", 10**6, {"flat": "a", "none": "b", "mixed": "c"}))
+    strict.run(["days", "profile"])  # no series is long enough, so no class is missing or small
+    assert {r.Decision for r in strict.layer("profile_classes").collect()} == {"n/a"}
+
+
+def test_shares_of_classes_in_top_and_tail(spark):
+    rows = [("kg", "flat", "rule", "sales", 10.0, "A"), ("kg", "flat", "rule", "sales", 10.0, "B"),
+            ("kg", "mixed", "own", "sales", 30.0, "A"), ("kg", "mixed", "own", "demand", 99.0, "A")]
+    got = {r.Class: r for r in class_decisions(spark.createDataFrame(
+        rows, "Branch string, Class string, Decision string, Variant string, Revenue double, Rule string"),
+        "Rule").collect()}
+    assert (got["flat"].Pairs, got["flat"].RevenueShare, got["flat"].TopShare, got["flat"].TailShare) == (
+        2, 0.4, 0.25, 1.0)
+    assert (got["mixed"].PairShare, got["mixed"].TopShare, got["mixed"].TailShare) == (
+        pytest.approx(1 / 3), 0.75, 0.0)
