@@ -11,12 +11,16 @@ What speaks against an element (its kind, the words of its class, id and role) h
 it, unless it wraps the text: html, body, main and article are never held to be boilerplate, nor is
 what holds main, an article longer than all other text, or nearly all text (``against``).
 
-The classifier's weights are fixed: no table labels pages. What is not text for a reader (scripts,
+Text that nothing speaks against is content, however short: list items and cells of a table as well as
+bare words. The classifier's weights are fixed: no table labels pages. What is not text for a reader (scripts,
 styles, the head, form controls, drawings, what stands in for media) makes no blocks; math does.
 
 Defined results: a null or empty page, and one without blocks of content, give an empty text;
+a page of any length is read whole;
 unclosed and misnested elements, an unfinished last tag and unknown references are read as browsers
-read them, as far as text goes; repeated rows are handled row by row; an empty table gives no rows.
+read them, as far as text goes; a block tied at 0 goes where the cut puts it, to the
+boilerplate if both sides cost the same; repeated rows are handled row by row; an empty table gives no rows;
+an added column takes the place of a carried one of its name, others are not looked at.
 """
 
 from __future__ import annotations
@@ -62,6 +66,7 @@ CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = {"ul", "ol", "dl", "menu", "table", "tbody", "thead", "tfoot", "select"}
 AWAY = {"nav", "aside", "footer", "form", "menu", "search", "fieldset"}
+NO_WRAPPER = {"nav", "aside", "footer", "menu", "search"}
 TOWARD = {"article", "main"}
 WORDS_AWAY = {
     "ad", "ads", "advert", "adverts", "advertisement", "alert", "banner", "breadcrumb", "breadcrumbs",
@@ -75,6 +80,10 @@ WORDS_TOWARD = {"article", "body", "content", "entry", "main", "post", "story",
 NAME = re.compile(r"[a-z]+", re.I)
 #: A class with one of these says what a page has (has-sidebar, no-comments), not what the element is.
 STATES = {"has", "no", "not", "with", "without"}
+#: What an element that is named or made as boilerplate adds to the score of the text in it, and the
+#: capacity of an edge between next neighbours: two of them outweigh a block that only looks unlike text,
+#: none outweighs what is named as boilerplate.
+AGAINST, SMOOTH = -12.0, 1.0
 #: Without main or an article, an element holds nearly all text if it has so many times the rest's words.
 NEARLY_ALL = 3
 
@@ -82,12 +91,12 @@ NEARLY_ALL = 3
 def leaning(tag: str, attributes: str, within: bool) -> tuple[float, float, float, str]:
     """How far an element speaks against the text in it by what it is and by being hidden, how far for
     it, and whether it is the page's "main" or an "article" that is not named otherwise."""
-    away, hidden, toward = -6.0 if tag in AWAY else 0.0, 0.0, 3.0 if tag in TOWARD else 0.0
+    away, hidden, toward = AGAINST if tag in AWAY else 0.0, 0.0, 3.0 if tag in TOWARD else 0.0
     kind, seen = tag if tag in TOWARD else "", set()
     if tag in ("html", "body"):
         return 0.0, 0.0, 0.0, ""
     if tag == "header" and not within:
-        away = -6.0
+        away = AGAINST
     for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'").lower()
         if name in seen:
@@ -105,7 +114,7 @@ def leaning(tag: str, attributes: str, within: bool) -> tuple[float, float, floa
                 own = set(NAME.findall(part))
                 words |= set() if own & STATES else own
             if words & WORDS_AWAY or "header" in words and not within:
-                away -= 6.0
+                away += AGAINST
             elif words & WORDS_TOWARD:
                 toward = max(toward, 1.5)
     if tag in TOWARD or kind:
@@ -118,9 +127,9 @@ class Elements:
 
     def __init__(self):
         self.parent, self.away, self.hidden, self.words = [0], [0.0], [0.0], [0]
-        self.main, self.article = [0], [0]
+        self.main, self.article, self.apart = [0], [0], [False]
 
-    def add(self, parent: int, away: float, hidden: float, kind: str) -> int:
+    def add(self, parent: int, away: float, hidden: float, kind: str, apart: bool = False) -> int:
         number = len(self.parent)
         self.parent.append(parent)
         self.away.append(away)
@@ -128,6 +137,7 @@ class Elements:
         self.words.append(0)
         self.main.append(self.main[parent] or number * (kind == "main"))
         self.article.append(self.article[parent] or number * (kind == "article"))
+        self.apart.append(apart)
         return number
 
     def against(self) -> list[float]:
@@ -136,14 +146,16 @@ class Elements:
         Left out are the elements that hold main, and one after the other those that hold an article
         of more words than all text in no such element, or ``NEARLY_ALL`` times its words; the words
         of main are counted where there is one, else those of articles may speak for what holds them
-        and without any article all may. Words in links and in hidden elements are not counted; where
+        and without any article all may. What is no wrapper by its kind (a menu, an aside, a footer) only main
+        can speak for. Words in links and in hidden elements are not counted; where
         all is hidden, nothing is. Each round at least doubles the text, so there are few.
         """
         n, parent, away, hidden = len(self.parent), self.parent, list(self.away), list(self.hidden)
 
-        def free(e):
+        def free(e, any_kind=False):
             while e:
-                away[e] = 0.0
+                if any_kind or not self.apart[e]:
+                    away[e] = 0.0
                 e = parent[e]
 
         buried = [False] * n
@@ -154,7 +166,10 @@ class Elements:
         holds = [e for e in range(n) if self.words[e] and not buried[e]]
         mains = {self.main[e] for e in holds} - {0}
         for e in mains:
-            free(e)
+            free(e, any_kind=True)
+        for e in range(1, n):
+            buried[e] = buried[e] or buried[parent[e]] or self.apart[e] and away[e] < 0
+        holds = [e for e in holds if not buried[e]]
         if mains:
             holds = [e for e in holds if self.main[e]]
         core = set(not mains and [e for e in holds if self.article[e]] or holds)
@@ -208,7 +223,8 @@ def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
                 holder = next((e for e in reversed(stack) if e[0] in BLOCK), stack[0])
                 share = len(" ".join("".join(links).split())) / len(text) if links else 0.0
                 words = text.count(" ") + 1
-                score = (-1.2 + 0.8 * log1p(words / 3) - 4.0 * min(1.0, share)
+                # links are what menus are made of, less so in an article, where they may be references
+                score = (0.3 + 0.8 * log1p(words / 3) - (3.0 if stack[-1][2] >= 3 else 4.0) * min(1.0, share)
                          + stack[-1][2]
                          + (1.0 if holder[0] in ("p", "blockquote", "pre") else 0.0)
                          + (0.5 if holder[0] in ("h1", "h2", "h3") else 0.0)
@@ -292,7 +308,7 @@ def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float]]:
         silent = silent or tag in SILENT or tag in RAW
         # text before a silent element left open must not be judged by it
         away, hidden, toward, kind = (0.0, 0.0, 0.0, "") if silent else leaning(tag, attributes, most >= 3)
-        stack.append((tag, elements.add(parent, away, hidden, kind), max(most, toward), silent,
+        stack.append((tag, elements.add(parent, away, hidden, kind, tag in NO_WRAPPER), max(most, toward), silent,
                       foreign and tag not in HTML_IN))
         anchor += tag == "a"
     close_block()
@@ -312,7 +328,7 @@ def edges_of(paths: list[tuple[int, ...]]) -> dict[tuple[int, int], float]:
                 break
             common += 1
         distance = max(0, len(p) + len(q) - 2 * common - 2)
-        edges[a, b] = edges.get((a, b), 0.0) + 0.5 / (1 + distance)
+        edges[a, b] = edges.get((a, b), 0.0) + SMOOTH / (1 + distance)
 
     last: dict[tuple[int, ...], int] = {}
     for i, p in enumerate(paths):

@@ -121,6 +121,31 @@ def test_elements_without_text_do_not_swallow_the_page():
     assert html_text.main_text(f"<article><p>Let {math} be. {WORDS}</p></article>") == f"Let x=2 be. {WORDS.strip()}"
 
 
+def test_text_that_nothing_speaks_against_is_kept():
+    for page, want in (
+            ("just a few words", "just a few words"),
+            ("<ul><li>One apple</li><li>Two pears</li></ul><p>Some text follows.</p>", "One apple Two pears Some text follows."),
+            ("<table><tr><th>Name</th><td>Bob</td></tr></table>", "Name Bob"),
+            (f"<article><p>{WORDS}</p><ul><li><a href=1>Ref one</a></li><li><a href=2>Ref two</a></li></ul></article>",
+             f"{WORDS.strip()} Ref one Ref two"),
+            (f"<ul><li><a>Home</a></li><li><a>About us</a></li></ul><p>{WORDS}</p>", WORDS.strip()),
+            (f"<article><p>{WORDS}</p><div class=comments><p>Nice post, a reader wrote.</p></div><p>End.</p></article>",
+             f"{WORDS.strip()} End.")):
+        assert html_text.main_text(page) == want
+
+
+def test_the_cut_decides_where_single_scores_fail():
+    """A line of links between paragraphs is text; a bare label between lines of links is not."""
+    inside = f"<div><p>{WORDS}</p><p><a href=1>One of the sources</a></p><p>{WORDS}</p></div>"
+    links = "".join(f"<li><a href={k}>Place {k}</a></li>" for k in range(4))
+    label = f"<ul>{links}<li>Places</li>{links}</ul><div><div><p>{WORDS}</p></div></div>"
+    for page, want, block in ((inside, f"{WORDS.strip()} One of the sources {WORDS.strip()}", "One of the sources"),
+                              (label, WORDS.strip(), "Places")):
+        score = {b[0]: b[2] for b in html_text.blocks_of(page)}[block]
+        assert (score > 0) != (block in want)
+        assert html_text.main_text(page) == want
+
+
 def test_pages_query(spark):
     rows = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     got = queries.op8_html_text(spark, SMALL).collect()
