@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,8 +31,8 @@ def with_columns(df: DataFrame, inputs: Sequence[str], added: str, start: Callab
     fields = StructType.fromDDL(added)
     taken = {f.name.lower() for f in fields}
     kept = [c for c in carry if c.lower() not in taken]
-    sent = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)],
-                     *[F.col(f"`{c}`").alias(f"i{i}") for i, c in enumerate(inputs)])
+    sent = df.select(*[column(c).alias(f"k{i}") for i, c in enumerate(kept)],
+                     *[column(c).alias(f"i{i}") for i, c in enumerate(inputs)])
     out = StructType([f for f in sent.schema.fields[:len(kept)]] + list(fields))
     n = len(kept)
 
@@ -48,7 +48,12 @@ def with_columns(df: DataFrame, inputs: Sequence[str], added: str, start: Callab
 
     made = sent.mapInArrow(run, out)
     return made.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)],
-                       *[F.col(f"`{f.name}`") for f in fields])
+                       *[column(f.name) for f in fields])
+
+
+def column(name: str) -> Column:
+    """A column by its whole name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def utf8(column: pa.Array) -> list[bytes]:

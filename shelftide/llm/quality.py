@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import utf8, with_columns
+from shelftide.llm.common import column, utf8, with_columns
 
 SAMPLE = 20_000
 PAIRS = 10
@@ -146,7 +146,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
     share = {q: min(1.0, sample / max(1, counts.get(q, 0))) for q in (0, 1)}
     bound = F.when(F.col("quality") == 1, share[1]).otherwise(share[0]) * 2.0**31
     taken = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < bound)
-    rows = (featured(docs.join(F.broadcast(taken), "doc_id"), text, ["doc_id", "quality"])
+    own = docs.select("doc_id", column(text).alias("text"))
+    rows = (featured(own.join(F.broadcast(taken), "doc_id"), "text", ["doc_id", "quality"])
             .groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect())
     y = np.array([r.quality for r in rows], int)
     x = np.array([r.x for r in rows], float).reshape(len(rows), FEATURES)
