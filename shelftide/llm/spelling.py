@@ -12,7 +12,8 @@ last five bits, which keeps that bound.
    those of the next length (one up): each ordered pair of one length, and each pair of a word and a
    longer one, meets in exactly one cell. Cells grow in number with the words, not in size.
 4. A cell's words make a k-d tree of their own inside the task, through which its visitors pass in slices;
-   words of a leaf whose vectors agree within the box are verified by the order of their letters.
+   words of a leaf whose vectors agree within the box (first by the parity of their counts, one bit a letter)
+   are verified by the order of their letters.
 5. Near pairs are reduced to a count and a best form for each word, and forms are followed to the last by
    rounds of joins of those not yet at an end. A form has at least twice the count, so chains are short.
 
@@ -34,18 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import strings
+from shelftide.llm.common import utf8
 from shelftide.session import materialise
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: A-Z in lower case, as bytes.
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Every so many words of all documents lose a letter.
 NOISE = 97
 LENGTH, OCCURRENCES = 5, 3
 #: Words on which the trees are cut, about, and words in a cell, about.
 SAMPLE, CELL = 1 << 16, 2048
 #: Words in a leaf of the tree inside a cell; queries taken through it at a time.
-LEAF, SLICE = 24, 4096
+LEAF, SLICE = 64, 4096
 #: Letters (5 bits) of a count vector, and cells of one length in a cell's number.
 LETTERS, CELLS = 32, 1 << 32
 #: Letters compared at a time when pairs are verified.
@@ -53,17 +54,12 @@ BLOCK = 1 << 23
 FORM_RATIO = 2
 
 
-def noisy(doc_id, word: str, noise: int = NOISE) -> str:
-    """The word as the document holds it: one code point less where the hash says so."""
-    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
-    at = h % len(word)
-    return word if h % noise else word[:at] + word[at + 1:]
-
-
 def words(docs: DataFrame, text: str = "text", least: int = OCCURRENCES, length: int = LENGTH) -> DataFrame:
     """word, n and size of all words with enough letters and occurrences."""
+    run_of_letters = re.compile("[A-Za-zÀ-ÿ]{%d,}" % length)  # a shorter one stays shorter
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: dict[str, int] = {}
 
         def sent():
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
@@ -72,11 +68,15 @@ def words(docs: DataFrame, text: str = "text", least: int = OCCURRENCES, length:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for at in range(0, batch.num_rows, 200):
-                for i, t in zip(ids[at:at + 200], strings(batch.column(1).slice(at, 200)), strict=True):
-                    for w, n in Counter(RUN.findall(t.translate(LOWER))).items():
-                        made = noisy(i, w)
-                        if len(made) >= length:
-                            counts[made] += n
+                for i, t in zip(ids[at:at + 200], utf8(batch.column(1).slice(at, 200)), strict=True):
+                    before = zlib.crc32(f"{i or ''}:".encode())
+                    for w, n in Counter(run_of_letters.findall(t.translate(LOWER).decode())).items():
+                        h = zlib.crc32(w.encode(), before)
+                        if h % NOISE == 0:  # the document's noise: one code point less
+                            w = w[:h % len(w)] + w[h % len(w) + 1:]
+                            if len(w) < length:
+                                continue
+                        counts[w] = counts.get(w, 0) + n
                 if len(counts) > 100_000:  # a bound on memory; the sums go on in Spark
                     yield sent()
                     counts.clear()
@@ -150,7 +150,6 @@ class KdTree:
                 continue
             v = vectors[own, letter]
             # Beyond what the box above already asked for in this letter.
-            v = v.astype(np.int64)
             less = np.maximum(v - threshold, 0) - (np.maximum(v - high[letter], 0) if letter in high else 0)
             more = np.maximum(threshold + 1 - v, 0) - (np.maximum(low[letter] - v, 0) if letter in low else 0)
             for child, cost, budget, box in ((left, less, downs, (low, high | {letter: threshold})),
@@ -173,31 +172,38 @@ def one_inserted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return head + tail >= a.shape[1]
 
 
+def parities(vectors: np.ndarray) -> np.ndarray:
+    """One bit for each letter: whether its count is odd. Bits that differ are at most the L1 distance."""
+    return (vectors & 1).astype(np.uint32) @ (np.uint32(1) << np.arange(LETTERS, dtype=np.uint32))
+
+
 class Cell:
     """Words of one length, to be searched for words near others."""
 
     def __init__(self, column: list[str], leaf: int = LEAF):
         self.codes = letters(column)
-        # Differences of short words' counts fit a byte.
-        self.kind = np.int8 if self.codes.shape[1] < 120 else np.int64
-        self.vectors = letter_counts(self.codes).astype(self.kind)
+        self.vectors = letter_counts(self.codes)
+        self.parities = parities(self.vectors)
         self.tree = KdTree(self.vectors, leaf)
 
     def near(self, column: list[str], longer: bool) -> tuple[np.ndarray, np.ndarray]:
         """Places of queries and of the cell's words near them. The queries are of one length: that of the
         words, or one letter less (``longer``)."""
         codes = letters(column)
-        vectors = letter_counts(codes).astype(self.kind)
+        vectors = letter_counts(codes)
+        odd = parities(vectors)
+        same = one_inserted if longer else one_replaced
         pairs = [np.zeros((2, 0), np.int64)]
         for leaf, own in self.tree.visits(vectors, 1, 0 if longer else 1):
             points = self.tree.leaves[leaf]
             step = max(1, BLOCK // (len(points) * max(LETTERS, codes.shape[1])))
             for low in range(0, len(own), step):
                 part = own[low:low + step]
-                gap = np.abs(vectors[part, None] - self.vectors[points]).sum(2, dtype=np.int64)
-                q, p = np.nonzero(gap == 1 if longer else (gap == 0) | (gap == 2))
+                bits = np.bitwise_count(odd[part, None] ^ self.parities[points])
+                q, p = np.nonzero(bits == 1 if longer else (bits == 0) | (bits == 2))
                 q, p = part[q], points[p]
-                same = one_inserted if longer else one_replaced
+                gap = np.abs(vectors[q] - self.vectors[p]).sum(1)
+                q, p = (x[gap <= (1 if longer else 2)] for x in (q, p))
                 pairs.append(np.stack([q, p])[:, same(codes[q], self.codes[p])])
         return tuple(np.concatenate(pairs, axis=1))
 
