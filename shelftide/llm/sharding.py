@@ -12,7 +12,8 @@ ever holds a shard.
 Defined results: a null key hashes as Spark's null does, into one slot; rows with equal keys share a
 slot and are spread over blocks by size and checksum of their text; equal rows get different places;
 a null text has size 16 (the record's overhead) and the checksum of no bytes, 0; an empty table
-gives no rows.
+gives no rows; slots with equal bytes move in the order of their numbers; a text of any length counts by its
+bytes alone; columns of the input other than key and text are not looked at.
 """
 
 from __future__ import annotations
@@ -122,13 +123,19 @@ def placed(records: DataFrame, slot_map: DataFrame, blocks: int = BLOCKS) -> Dat
 
 def sharded(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text",
             slots: int = SLOTS) -> DataFrame:
-    """Every record with its shard, its place there, and its shard after growing by one.
+    """Every record with its shard, its place there, its shard after growing by one, and the shard that holds
+    its slot once the table has been edited by the bytes of all slots.
 
-    The versions of the slot table are stored in the shared folder and read from there.
+    The versions of the slot table and the bytes of its slots are stored in the shared folder and read from
+    there.
     """
+    records = records_of(docs, key, text, slots)
     maps = materialise(slot_maps(docs.sparkSession, shards, slots), "slot-maps")
     old = maps.where(F.col("version") == shards)
     new = maps.where(F.col("version") == shards + 1).select(
         "virtual_slot", F.col("shard").alias("grown_shard"))
-    return (placed(records_of(docs, key, text, slots), old)
-            .join(F.broadcast(new), "virtual_slot"))
+    sizes = materialise(slot_sizes(records, slots), "slot-sizes")
+    even = materialise(rebalanced_map(old, sizes, shards), "balanced-map").select(
+        "virtual_slot", F.col("shard").alias("balanced_shard"))
+    return (placed(records, old).join(F.broadcast(new), "virtual_slot")
+            .join(F.broadcast(even), "virtual_slot"))

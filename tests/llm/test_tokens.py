@@ -134,6 +134,20 @@ def test_sharding_edges(spark):
     assert sharding.sharded(docs.limit(0), 3).count() == 0
 
 
+def test_sharding_edits_the_map_by_the_bytes_of_the_table(spark):
+    rows = queries.op6_sharding(spark, SF_DIR).collect()
+    size = {"shard": [0] * 40, "balanced_shard": [0] * 40}
+    held = {}
+    for r in rows:
+        for law, per in size.items():
+            per[r[law]] += r.size
+        assert held.setdefault(r.virtual_slot, r.balanced_shard) == r.balanced_shard
+    assert sum(size["shard"]) == sum(size["balanced_shard"])
+    assert max(size["balanced_shard"]) < max(size["shard"])
+    largest = max(r.size for r in rows)
+    assert max(size["balanced_shard"]) <= max(1.01 * sum(size["shard"]) / 40, largest + min(size["balanced_shard"]))
+
+
 def test_slot_maps_grow_into_the_new_shard_only():
     table = [0] * 4096
     for n in range(2, 60):
