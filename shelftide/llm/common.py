@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -25,7 +26,7 @@ def with_columns(df: DataFrame, inputs: Sequence[str], added: str, start: Callab
     """Add columns made in Python from ``inputs``, row by row in Arrow slices.
 
     ``start()`` runs once in a task and returns a function from the input columns (Arrow arrays)
-    to the added columns. Only ``carry`` is kept of the other columns; an added column replaces a
+    to the added columns; if that has an attribute ``finish``, it is called when the task is done. Only ``carry`` is kept of the other columns; an added column replaces a
     carried one of the same name (names match without case, as Spark resolves them).
     """
     fields = StructType.fromDDL(added)
@@ -44,13 +45,23 @@ def with_columns(df: DataFrame, inputs: Sequence[str], added: str, start: Callab
                 columns = part.columns
                 yield pa.RecordBatch.from_arrays(
                     [*columns[:n], *work(*columns[n:])], names=[f.name for f in out])
-        pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
+        getattr(work, "finish", lambda: None)()
+        del work
+        release()
 
     made = sent.mapInArrow(run, out)
     return made.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)],
                        *[column(f.name) for f in fields])
 
 
+def release() -> None:
+    """Give freed memory back to the machine, as a worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
+
+
 def column(name: str) -> Column:
     """A column by its whole name, whatever signs it holds."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -11,8 +11,10 @@ broadcast is bounded whatever the size of the benchmark; every block meets all d
 
 Defined results: null and empty texts have no words and no hits; an item without words has no
 window; a null item id counts as an empty one; repeated items count once; an item that shares a
-window with another is reported with it; documents with equal ids are reported row by row; an empty
-benchmark leaves every document clean.
+window with another is reported with it; of words equally rare the first in byte order is a window's
+prefix, which changes no hit; a text of any length is read whole; documents with equal ids are reported row by row; the
+added columns take the place of carried ones of their names, other columns may have any name; an empty
+benchmark leaves every document clean, and an empty table gives no rows.
 """
 
 from __future__ import annotations

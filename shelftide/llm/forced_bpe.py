@@ -38,7 +38,7 @@ from shelftide.llm.common import utf8, with_columns
 
 #: Entries of a worker's memo of encoded fragments. A full one becomes the older one, from which fragments
 #: that come again move on; the one before is dropped.
-MEMO = 200_000
+MEMO = 100_000
 #: Runs of white space that the faster library's pattern cannot take.
 LONG_BLANK = re.compile(r"\s{2000}")
 BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
@@ -49,10 +49,8 @@ WIDE_BLANK = np.isin(np.arange(256), [0xC2, 0x9A, 0x80, 0x81])
 
 class ForcedEncoder:
     def __init__(self, vocabulary: str):
-        t = Tokenizer.from_file(vocabulary)
-        t.no_truncation()
-        t.no_padding()
-        self.tokenizer, letters = t, byte_letters()
+        t, letters = Tokenizer.from_file(vocabulary), byte_letters()
+        self.vocabulary, self.slow = vocabulary, None
         special = {i: a.content for i, a in t.get_added_tokens_decoder().items()}
         vocab = t.get_vocab()
         self.bytes_of = [b""] * (max(vocab.values()) + 1)
@@ -70,12 +68,23 @@ class ForcedEncoder:
         self.special = re.compile(b"|".join(re.escape(s.encode()) for s in special.values())) \
             if special else None
         self.special_ids = {s.encode(): np.array([i], "<i4").tobytes() for i, s in special.items()}
-        self.memo: dict[bytes, bytes] = dict(self.special_ids)
-        self.older: dict[bytes, bytes] = {}
+        self.forget()
         ranks = {b: i for i, b in enumerate(self.bytes_of) if i not in special}
         self.fast = tiktoken.Encoding("fragments", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
 
+    def forget(self) -> None:
+        """Empty the memo, which is of use only inside a task."""
+        self.memo: dict[bytes, bytes] = dict(self.special_ids)
+        self.older: dict[bytes, bytes] = {}
+
+    def encoded_slowly(self, text: str) -> list[int]:
+        if self.slow is None:
+            self.slow = Tokenizer.from_file(self.vocabulary)
+            self.slow.no_truncation()
+            self.slow.no_padding()
+        return self.slow.encode(text, add_special_tokens=False).ids
+
     def marks(self, text: bytes) -> np.ndarray:
         """Where a fragment may start, for places 1 to the text's end."""
         a = np.frombuffer(text, np.uint8)
@@ -91,7 +100,7 @@ class ForcedEncoder:
     def encoded_fragment(self, fragment: bytes) -> bytes:
         text = fragment.decode()
         if LONG_BLANK.search(text):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids = self.encoded_slowly(text)
         else:
             ids = self.fast.encode_ordinary(text)
         return np.array(ids, "<i4").tobytes()
@@ -139,7 +148,7 @@ _ENCODERS: dict[str, ForcedEncoder] = {}
 
 
 def encoder(vocabulary: str) -> ForcedEncoder:
-    """One for each worker process: its memo is of use to the tasks after."""
+    """One for each worker process, which runs many tasks."""
     if vocabulary not in _ENCODERS:
         _ENCODERS[vocabulary] = ForcedEncoder(vocabulary)
     return _ENCODERS[vocabulary]
@@ -158,9 +167,11 @@ def encoded(docs: DataFrame, vocabulary: str | None = None, text: str = "text",
             decoded = [own.decode(ids[i:j]) for i, j in zip(at, at[1:])]
             return [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids, pa.int32())),
                     pa.array(decoded, pa.string())]
+
+        work.finish = own.forget
         return work
 
-    return with_columns(docs, [text], "ids array<int>, decoded string", start, carry, rows=500)
+    return with_columns(docs, [text], "ids array<int>, decoded string", start, carry, rows=250)
 
 
 def digests(made: DataFrame, *more: str) -> DataFrame:

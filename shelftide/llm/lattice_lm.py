@@ -16,8 +16,9 @@ join, in which no word is frequent any more.
 
 Defined results: a null or empty text is one end token; a null id hashes as empty text; documents with
 equal ids are scored row by row; with no training documents the base score is 0 for every token
-(c = N = V = 0) and the model spreads half of each token over the subword model; an empty table
-gives no rows.
+(c = N = V = 0) and the model spreads half of each token over the subword model; a text of any length is
+scored whole, word by word; words of equal counts at the bound of the frequent ones are all frequent or none;
+other columns of the documents are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations

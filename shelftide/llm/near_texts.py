@@ -21,7 +21,8 @@ Documents with the same words are one class from the start; so are repeated rows
 
 Defined results: a document of fewer words than a shingle, but at least one, is one shingle; one
 without words (null or empty, too) links with nothing and is always kept; a null doc_id is a name like
-any other and is never kept in the place of another; an empty table gives no rows.
+any other and is never kept in the place of another; a similarity right at the threshold links; a text of any
+length is read whole; the documents' own columns may have any names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -329,11 +330,9 @@ def cross_links(members: DataFrame, roots: DataFrame, sets: DataFrame, similarit
         run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
-    """doc_id, digest of the words, cluster_id (smallest doc_id of its component), n_shingles, kept.
-
-    One row for every row of ``docs``.
-    """
+def clusters(docs: DataFrame, similarity: float, text: str):
+    """The rows with their digests (doc_id, digest, n), the classes of equal words (digest, cid, first id, n)
+    with their component's root, and the smallest id of every root."""
     signed = materialise(signatures(docs, text), "signatures")
     classes = materialise(
         signed.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"),
@@ -361,7 +360,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str =
     named = (classes.select("digest", "cid", "first", "n")
              .join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
              .withColumn("root", F.coalesce("root", "cid")))
-    names = named.groupBy("root").agg(F.min("first").alias("name"))
+    return signed, named, named.groupBy("root").agg(F.min("first").alias("name"))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
+    """doc_id, digest of the words, cluster_id (smallest doc_id of its component), n_shingles, kept.
+
+    One row for every row of ``docs``.
+    """
+    signed, named, names = clusters(docs, similarity, text)
     return (signed.select("doc_id", "digest", "n")
             .join(named.join(names, "root").select("digest", "name"), "digest")
             .select("doc_id", "digest", F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id"))
@@ -370,20 +377,30 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str =
 
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
-    """The documents that are kept, all columns as they are; of repeated rows with words, one."""
-    kept = near_duplicates(docs, similarity, text).where("kept").select(
-        F.col("doc_id").alias("doc_id__"), F.col("digest").alias("digest__"), "n_shingles").distinct()
+    """The documents that are kept, all columns as they are, of any names; of repeated rows with words, one;
+    those without words all.
+
+    The kept row of a component is known from its classes, so rows meet only names of their own id and words:
+    a group of any number of copies is no key of a join.
+    """
+    _, named, names = clusters(docs, similarity, text)
+    kept = named.where("n > 0").join(names, "root").where(F.col("first").eqNullSafe(F.col("name"))).select(
+        F.col("first").alias("id__"), F.col("digest").alias("digest__"))
+    cols = docs.columns
+    own = docs.toDF(*[f"own__{i}" for i in range(len(cols))])
+    at = {c: own.columns[i] for i, c in enumerate(cols)}
 
     def start():
-        def work(column):
-            n_words, words, first, _, _ = shingles(utf8(column))
+        def work(texts):
+            _, words, first, _, _ = shingles(utf8(texts))
             return [pa.array([hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest()
-                              for a, b in zip(first, first[1:])], pa.binary())]
+                              for a, b in zip(first, first[1:])], pa.binary()),
+                    pa.array(np.diff(first), pa.int64())]
         return work
 
-    names = docs.columns
-    marked = with_columns(docs, [text], "own__ binary", start, names, rows=500)
-    found = marked.join(kept, (F.col("own__") == F.col("digest__"))
-                        & F.col("doc_id").eqNullSafe(F.col("doc_id__")))
-    with_words = found.where("n_shingles > 0").dropDuplicates(["own__", "doc_id"])
-    return with_words.select(*names).unionAll(found.where("n_shingles = 0").select(*names))
+    marked = with_columns(own, [at[text]], "words__ binary, n__ bigint", start, own.columns, rows=500)
+    some = (marked.where("n__ > 0")
+            .join(kept, (F.col("words__") == F.col("digest__")) & F.col(at["doc_id"]).eqNullSafe(F.col("id__")))
+            .dropDuplicates(["words__", at["doc_id"]]))
+    return (some.select(*own.columns).unionAll(marked.where("n__ = 0").select(*own.columns))
+            .select(*[F.col(at[c]).alias(c) for c in cols]))

@@ -13,7 +13,8 @@ pairs of blocks, so no task holds a whole one.
 
 Defined results: a vector that is null, empty, of zero length, or with null or non-finite components
 links with nothing, as does any vector without a label; vectors of different dimension never link;
-repeated rows are vectors of their own; an empty table gives no rows.
+repeated rows are vectors of their own; a cosine right at the threshold links; a vector of any length is
+compared whole; columns other than id, vector and label are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations

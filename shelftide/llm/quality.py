@@ -11,7 +11,9 @@ label, those of lowest hash. Scores and decisions cover all documents.
 
 Defined results: null and empty texts have the features of no words; labels other than 0 and 1 and
 null ids teach nothing; of repeated labels or documents of one id the lowest counts; without labels of
-both kinds every score is 0.5; an empty table gives no rows.
+both kinds every score is 0.5; a text of any length is read whole; documents with a score right at the cut
+are predicted 1, and equal texts have equal scores; score and predicted take the place of carried columns of
+those names, other columns of the documents may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftide.llm import (
-    decontaminate, forced_bpe, html_text, lattice_lm, license_scan, near_texts, near_vectors, quality,
-    repeats, sharding, spelling, token_align, token_files)
+    decontaminate, forced_bpe, html_text, lattice_lm, license_scan, near_texts, near_vectors, passages,
+    quality, repeats, sharding, spelling, token_align, token_files)
 from shelftide.llm.common import table
 
 
@@ -39,14 +39,21 @@ def op5_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = sharding.sharded(table(spark, sf_dir, "documents"), shards=40)
     return made.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
-                       "grown_shard", "virtual_slot")
+                       "grown_shard", "virtual_slot", "balanced_shard")
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     made = repeats.kept_digests(docs, repeats.repeated_spans(docs))
-    return made.select("doc_id", "n_bytes", "n_removed",
-                       F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+    # Equal rows share the same words, so one of them stands for all.
+    shared = (passages.shared_spans(docs).groupBy("doc_id", "d1", "d2")
+              .agg(F.max("n_removed").alias("shared_words"))
+              .select(F.col("doc_id").alias("id"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), "shared_words"))
+    same = ((F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))
+            & F.col("doc_id").eqNullSafe(F.col("id")))
+    return made.join(shared, same).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256",
+        "shared_words")
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

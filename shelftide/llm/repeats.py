@@ -22,7 +22,8 @@ Fingerprints have 64 bits beside the 64 bits of the anchor's gram, under which t
 
 Defined results: a null or empty text, and one shorter than ``WIDTH`` bytes, keeps all its bytes;
 repeated rows repeat each other; a document of one repeated byte repeats itself, overlaps included;
-a null doc_id is an id; an empty table gives no rows.
+a null doc_id is an id; a text of any length is read whole, in stretches; a gram tied for the least of a string
+goes to its first place; other columns of the documents may have any names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import id_filter, passes, utf8, with_columns
+from shelftide.llm.common import column, id_filter, passes, utf8, with_columns
 from shelftide.llm.near_texts import mix, powers, prefix_hash
 from shelftide.session import materialise
 
@@ -220,22 +221,30 @@ def listed(rows: DataFrame, names: list[str], index: DataFrame) -> DataFrame:
             .select("row_no", "doc_id", "d1", "d2", *[F.col(f"x.{n}").alias(n) for n in names]))
 
 
+def merged_spans(row: np.ndarray, s: np.ndarray, e: np.ndarray):
+    """Row, start and stop of the maximal spans of [s, e) ranges of rows; those that touch are one."""
+    order = np.lexsort((s, row))
+    row, s, e = row[order], s[order], e[order]
+    # The running maximum of the stops starts anew in each row, as rows lie in ranges of their own.
+    base = row * (int(e.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(e + base) - base
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (s[1:] > reach[:-1])]) if len(s) else np.zeros(0, bool)
+    at = np.flatnonzero(new)
+    return row[at], s[at], reach[np.concatenate([at[1:], [len(s)]]) - 1] if len(s) else s
+
+
 def merged(ranges: DataFrame) -> DataFrame:
     """row_no, spans (merged [start, stop) ranges, in order) and the number of bytes in them."""
     def start():
         def work(column):
-            spans, sizes = [], []
-            for rows in column.to_pylist():
-                rows.sort(key=lambda r: (r["s"], r["e"]))
-                out: list[list[int]] = []
-                for r in rows:
-                    if out and r["s"] <= out[-1][1]:
-                        out[-1][1] = max(out[-1][1], r["e"])
-                    else:
-                        out.append([r["s"], r["e"]])
-                spans.append(out)
-                sizes.append(sum(b - a for a, b in out))
-            return [pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(sizes, pa.int64())]
+            rows, values = column.value_lengths().to_numpy(zero_copy_only=False), column.flatten()
+            row, low, high = merged_spans(
+                np.repeat(np.arange(len(rows)), rows), *[values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)])
+            pairs = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * 2),
+                                             pa.array(np.stack([low, high], 1).ravel()))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(rows)))]).astype(np.int32)
+            sizes = np.bincount(row, high - low, len(rows)).astype(np.int64)
+            return [pa.ListArray.from_arrays(pa.array(ends), pairs), pa.array(sizes)]
         return work
 
     grouped = ranges.groupBy("row_no").agg(F.collect_list(F.struct("s", "e")).alias("x"))
@@ -307,8 +316,9 @@ def kept_digests(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataF
         "cut_sha", F.when(F.col("n_removed") > 0, empty).otherwise(F.col("own_sha"))))
 
 
-def cut_texts(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with the repeated bytes taken out of their texts, other columns as they are.
+def cut_texts(docs: DataFrame, spans: DataFrame, text: str = "text", cut=without) -> DataFrame:
+    """The documents with the bytes that ``cut`` takes for their spans out of their texts, other columns as
+    they are.
 
     A character of which a span takes a part goes as a whole. A row meets its spans by id and digest;
     of equal rows each gets the same spans.
@@ -317,15 +327,15 @@ def cut_texts(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFram
     digests = F.struct("d1", "d2")
 
     def start_digest():
-        def work(column):
-            return [pa.array([list(digest(t)) for t in utf8(column)], pa.list_(pa.int64()))]
+        def work(texts):
+            return [pa.array([list(digest(t)) for t in utf8(texts)], pa.list_(pa.int64()))]
         return work
 
     def start_cut():
-        def work(column, cuts):
+        def work(texts, cuts):
             out = []
-            for t, s in zip(column.to_pylist(), cuts.to_pylist(), strict=True):
-                out.append(t if not s else without(t.encode(), s).decode("utf-8", "ignore"))
+            for t, s in zip(texts.to_pylist(), cuts.to_pylist(), strict=True):
+                out.append(t if not s else cut(t.encode(), s).decode("utf-8", "ignore"))
             return [pa.array(out, pa.string())]
         return work
 
@@ -336,4 +346,4 @@ def cut_texts(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFram
                     "spans__"))
     joined = marked.join(some, (marked["digest__"] == some["digest__"])
                          & marked["doc_id"].eqNullSafe(some["doc_id__"]), "left").drop(some["digest__"])
-    return with_columns(joined, [text, "spans__"], f"`{text}` string", start_cut, names).select(*names)
+    return with_columns(joined, [text, "spans__"], f"`{text}` string", start_cut, names).select(*map(column, names))

@@ -10,7 +10,8 @@ The files are Parquet: one row is a segment of whole documents in order of their
 token in its part and its documents' ids and lengths. A part is the range of ids one task wrote.
 
 Defined results: a null or empty text has only the end id; documents with equal ids are ordered by
-their text; a null document id comes first; an empty table gives files without rows.
+their text; a null document id comes first; a text of any length is encoded whole; other columns of the documents
+are not looked at; an empty table gives files without rows.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelftide.llm import near_texts, near_vectors, queries, repeats
+from shelftide.llm import near_texts, near_vectors, passages, quality, queries, repeats
 from shelftide.llm.components import components
 from shelftide.llm.decontaminate import words_of
 
@@ -261,11 +262,71 @@ def test_repeats_query(spark):
     for (i, t), (n, s, k) in zip(rows, want):
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == (
             len(t), n, s, hashlib.sha256(k).hexdigest())
+    for (i, _), (n, _, _) in zip(rows, plain_passages([t for _, t in rows], 50)):
+        assert got[i].shared_words == n
     assert len(got) == len(rows) and sum(n > 0 for n, _, _ in want)
     empty = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     assert repeats.repeated_spans(empty).count() == 0
 
 
+def plain_passages(texts, width):
+    """Words in windows of ``width`` words that another text holds too, runs of them, and the text without."""
+    words = [[(m.start(), m.end()) for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", t)] for t in texts]
+    rows = [words_of(t) for t in texts]
+    held = defaultdict(set)
+    for i, w in enumerate(rows):
+        for k in range(len(w) - width + 1):
+            held[tuple(w[k:k + width])].add(i)
+    out = []
+    for t, w, at in zip(texts, rows, words):
+        on = np.zeros(len(w) + 2, bool)
+        for k in range(len(w) - width + 1):
+            if len(held[tuple(w[k:k + width])]) > 1:
+                on[k + 1:k + 1 + width] = True
+        edge = np.flatnonzero(np.diff(on.astype(int)))
+        spans = list(zip(edge[::2].tolist(), edge[1::2].tolist()))
+        kept, done = [], 0
+        for a, b in spans:
+            kept.append(t[done:at[a][0]])
+            done = at[b - 1][1]
+        out.append((int(on.sum()), len(spans), b"".join([*kept, t[done:]])))
+    return out
+
+
+@pytest.mark.parametrize("width, gram", [(6, 2), (9, 3), (9, 9)])
+def test_passages_equal_brute_force(spark, width, gram):
+    rng = random.Random(width)
+    word = lambda: "".join(rng.choice("abÉ7") for _ in range(rng.randint(1, 2)))
+    pool = [[word() for _ in range(rng.randint(width - 2, 4 * width))] for _ in range(10)]
+    rows = [(0, None), (1, ""), (2, " .,! "), (3, "one two"), (4, "q " * 80), (5, "r s t " * 30), (6, "r s t " * 30)]
+    for i in range(7, 90):
+        w = []
+        for _ in range(rng.randint(0, 6)):
+            p = rng.choice(pool)
+            w += p[rng.randint(0, 3):] if rng.random() < 0.5 else [word() for _ in range(rng.randint(0, 2 * width))]
+        rows.append((i, "".join(x.upper() + rng.choice([" ", ", ", "\n"]) for x in w)))
+    rows += [(90, rows[20][1]), (20, rows[20][1]), (None, rows[20][1]), (None, "u v w x y z " * 9)]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows],
+                               "doc_id bigint, text string, spans string, `d1.x` int").repartition(4)
+    want = plain_passages([(t or "").encode() for _, t in rows], width)
+    spans = passages.shared_spans(df, width, gram)
+    assert Counter((r.doc_id, r.n_removed, len(r.spans)) for r in spans.collect()) == Counter(
+        (i, n, s) for (i, _), (n, s, _) in zip(rows, want))
+    cut = passages.cut_passages(df, spans)
+    assert cut.columns == df.columns
+    assert Counter((r.doc_id, r.text) for r in cut.collect()) == Counter(
+        (i, k.decode("utf-8", "ignore") if t is not None else None) for (i, t), (_, _, k) in zip(rows, want))
+    assert passages.shared_spans(df.limit(0), width, gram).collect() == []
+
+
+def test_repeats_inside_one_document_are_not_shared_passages(spark):
+    df = spark.createDataFrame([(1, "a b c d e f g h " * 20), (2, "a b c d e f g h " + "z " * 40)],
+                               "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in passages.shared_spans(df, 8, 3).collect()}
+    assert got[2] == [[0, 8]] and got[1] == [[0, 160]]
+    assert [r.n_removed for r in passages.shared_spans(df.where("doc_id = 1"), 8, 3).collect()] == [0]
+
+
 def test_anchors_do_not_depend_on_stretches(monkeypatch):
     text = bytes(random.Random(3).choice(b"ab") for _ in range(5000)) + b"q" * 900
     whole = repeats.anchors(repeats.Prints(text), len(text))
@@ -294,8 +355,9 @@ def test_pipeline_stages(spark):
         elif name == "near_dedup":
             assert sorted(ids) == sorted({c for i, c in plain_texts([(r.doc_id, r.text) for r in before])})
         elif name == "repeats":
-            want = plain_spans([(r.text or "").encode() for r in before], 400)
+            want = plain_passages([(r.text or "").encode() for r in before], 50)
             text = {r.doc_id: r for r in rows}
+            assert any(n for n, _, _ in want)
             for r, (_, _, k) in zip(before, want):
                 assert text[r.doc_id].text == (k.decode("utf-8", "ignore") if r.text is not None else None)
                 assert text[r.doc_id].n_chars == (len(text[r.doc_id].text or ""))
@@ -317,6 +379,36 @@ def test_pipeline_stages(spark):
     assert sorted((r.doc_id, r.ids_sha256) for r in run) == sorted((r.doc_id, r.ids_sha256) for r in rows)
 
 
+def test_pipeline_stages_with_odd_rows_and_columns(spark):
+    """Nulls, empty and repeated rows, columns named as the operators' own, names with dots, no rows."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    odd = docs.unionAll(docs.where("doc_id < 3")).unionAll(
+        spark.createDataFrame([(10**6, None, "en", "s", 0), (10**6 + 1, "", "en", "s", 0), (None, None, None, None, None),
+                               (None, "a few words of no further use here", None, None, None)], docs.schema))
+    more = {c: F.lit(f"own {c}") for c in ("quality", "n_shingles", "digest", "spans", "row_no", "a.b", "x`y",
+                                           "words", "n", "cid", "predicted", "d1", "ids_")}
+    named = odd.withColumns({c.replace("`", "``"): v for c, v in more.items() if "." not in c and "`" not in c})
+    named = named.select("*", F.lit("own a.b").alias("a.b"), F.lit("own x`y").alias("x`y"))
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, named, SMALL)
+        rows = got.collect()
+        if name == "tokens":
+            assert len(rows) == odd.count()
+        else:
+            assert got.columns == named.columns
+            place = {c: i for i, c in enumerate(got.columns)}
+            assert rows and all(r[place[c]] == f"own {c}" for r in rows for c in more if c in place)
+            plain = stage(spark, odd, SMALL).collect()
+            assert Counter((r.doc_id, r.text) for r in plain) == Counter((r[0], r[1]) for r in rows)
+        if name == "near_dedup":
+            ids = Counter(r[0] for r in rows)
+            assert ids[10**6] == ids[10**6 + 1] == 1 and ids[None] == 2 and max(v for k, v in ids.items() if k is not None) == 1
+        nothing = stage(spark, named.limit(0), SMALL)
+        assert nothing.columns == got.columns and nothing.collect() == []
+    empty = quality.learn(odd.limit(0), spark.read.parquet(f"{SMALL}/labels.parquet"))
+    assert quality.scored(odd, empty).count() == odd.count()
+
+
 def test_pipeline_filters_keep_columns_named_as_their_own(spark):
     docs = (spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("score", F.col("doc_id") * 2)
             .withColumn("Predicted", F.lit("p")).withColumn("n_words", F.col("doc_id") + 7)
