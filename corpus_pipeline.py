@@ -1,7 +1,13 @@
 """The corpus pipeline: each stage works on all that the one before it kept.
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame. All but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``, whatever other columns they have and whatever those are named.
+
+Defined results: a null text counts as empty and stays null where its document stays; an empty text gets the
+classifier's decision, and is neither copy, nor repeat, nor contaminated, and has no tokens; texts of any
+length are worked on whole; documents tied at the classifier's threshold are kept; of repeated rows with
+words one stays, of those without words all; of near copies the one with the smallest id; a null id is an id
+like any other; empty documents give an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -9,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftide.llm import decontaminate, forced_bpe, near_texts, quality, repeats
-from shelftide.llm.common import table
+from shelftide.llm import decontaminate, forced_bpe, near_texts, passages, quality
+from shelftide.llm.common import column, table
 from shelftide.session import materialise
 
 
@@ -25,7 +31,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
     own = apart(docs)
     scored = quality.scored(own, model, "own__text", carry=own.columns)
-    return scored.where("predicted = 1").select(*[f"`{c}`" for c in own.columns]).toDF(*docs.columns)
+    return scored.where("predicted = 1").select(*map(column, own.columns)).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +40,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of strings that occur elsewhere too are taken out of the texts; no document goes."""
-    cut = repeats.cut_texts(docs, repeats.repeated_spans(docs))
+    """Passages of ``passages.WIDTH`` (50) words or more that another document holds too are taken out of all
+    their texts, from their first word to their last; no document goes."""
+    cut = passages.cut_passages(docs, passages.shared_spans(docs))
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) \
         if "n_chars" in docs.columns else cut
 
@@ -44,7 +51,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that hold a window of a benchmark item go."""
     own = apart(docs)
     found = decontaminate.contamination(own, table(spark, sf_dir, "benchmark"), "own__text", own.columns)
-    return found.where(F.size("hit_ranges") == 0).select(*[f"`{c}`" for c in own.columns]).toDF(*docs.columns)
+    return found.where(F.size("hit_ranges") == 0).select(*map(column, own.columns)).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
