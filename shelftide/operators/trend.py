@@ -18,12 +18,11 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
 
 
-def _steps(points: Column) -> Column:
-    """Rise and slope between every two weeks of a series."""
+def _slopes(points: Column) -> Column:
+    """Slope between every two weeks of a series; its sign is that of the rise, as weeks ascend."""
     def from_week(p: Column, i: Column) -> Column:
-        return F.transform(F.slice(points, i + 2, F.size(points)), lambda q: F.struct(
-            (q["Qty"] - p["Qty"]).alias("Rise"),
-            ((q["Qty"] - p["Qty"]) / (q["Week"] - p["Week"])).alias("Slope")))
+        return F.transform(F.slice(points, i + 2, F.size(points)),
+                           lambda q: (q["Qty"] - p["Qty"]) / (q["Week"] - p["Week"]))
     return F.flatten(F.transform(points, from_week))
 
 
@@ -32,17 +31,8 @@ def _median(ordered: Column) -> Column:
     return (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
 
 
-def _mid_ranks(values: Column) -> Column:
-    """Ranks around their mean; equal values share the mean of their ranks."""
-    def rank(x: Column) -> Column:
-        return _size(F.filter(values, lambda y: y < x)) + (_size(F.filter(values, lambda y: y == x)) + 1) / 2
-    return F.transform(values, lambda x: rank(x) - (_size(values) + 1) / 2)
-
-
-def _lag_weight(c: Column, n: Column, significant: float) -> Column:
+def _lag_weight(c: Column, spread: Column, n: Column, significant: float) -> Column:
     """Hamed and Rao's sum over the lags whose rank autocorrelation is significant."""
-    spread = _total(F.transform(c, lambda x: x * x))
-
     def lag(k: Column) -> Column:
         both = F.zip_with(F.slice(c, F.lit(1), F.size(c) - k), F.slice(c, k + 1, F.size(c) - k), lambda x, y: x * y)
         r = F.try_divide(_total(both), spread)
@@ -58,7 +48,8 @@ def weekly_trend(day_layer: DataFrame, min_weeks: int = 8, significant: float =
     the ranks of the sums without their Sen slope. It is NULL where the factor is not positive.
 
     Days are reduced to weekly sums and one array per pair, as long as the calendar at most; all that follows
-    are array expressions inside that row.
+    are array expressions inside that row. Every array that a lambda reads is a column of its own: written into
+    the lambda as an expression it would be made anew for each element.
     """
     week = F.floor(F.datediff("TransDate", F.lit(dt.date(1970, 1, 5))) / 7).cast("int")
     weekly = (day_layer.where(F.col("ValueSales").isNotNull())
@@ -69,24 +60,42 @@ def weekly_trend(day_layer: DataFrame, min_weeks: int = 8, significant: float =
         .agg(F.sort_array(F.collect_list(F.struct("Week", "Qty"))).alias("Points"))
         .where(F.size("Points") >= max(2, min_weeks)))
     n, score = F.col("n"), F.col("Score")
-    equal = F.transform(F.array_distinct("Points.Qty"),
-                        lambda v: _size(F.filter("Points.Qty", lambda x: x == v)))
-    ties = _total(F.transform(equal, lambda t: t * (t - 1) * (2 * t + 5)))
+
+    def place(x: Column) -> Column:
+        return F.array_position("Up", x)
+
+    def place_from_above(x: Column) -> Column:
+        return F.array_position("Down", x)
+
+    def sorted_both_ways(values: Column) -> dict[str, Column]:
+        return {"Up": F.sort_array(values), "Down": F.sort_array(values, asc=False)}
+
+    # A value that occurs t times adds (t - 1)(2t + 5) at each of its places.
+    ties = _total(F.transform("Points.Qty", lambda v: (n + 1 - place(v) - place_from_above(v))
+                              * (2 * (n + 2 - place(v) - place_from_above(v)) + 5)))
     first = F.get("Points", F.lit(0))["Week"]
     # Equal sums around the slope must be equal to the last bit to share a rank.
     around = F.transform("Points", lambda p: F.round(p["Qty"] - F.col("SenSlope") * (p["Week"] - first), 9))
+    # Ranks around their mean; equal values share the mean of their ranks.
+    ranks = F.transform("Around", lambda x: (place(x) - place_from_above(x)) / 2)
     z = score - F.signum(score)
     corrected = F.col("Variance") * (1 + F.try_divide(2 * F.col("LagWeight"), n * (n - 1) * (n - 2)))
     return (
-        series.withColumn("n", _size(F.col("Points"))).withColumn("Steps", _steps(F.col("Points")))
+        series.withColumn("n", _size(F.col("Points")))
+        .withColumn("Slopes", F.sort_array(_slopes(F.col("Points"))))
         .withColumns({
-            "Score": _total(F.transform("Steps.Rise", lambda r: F.signum(r))),
-            "Untied": _size(F.filter("Steps.Rise", lambda r: r != 0)),
-            "SenSlope": _median(F.array_sort("Steps.Slope")),
-            "Variance": (n * (n - 1) * (2 * n + 5) - ties) / 18})
-        .withColumn("LagWeight", _lag_weight(_mid_ranks(around), n, significant))
+            "Steps": _size(F.col("Slopes")),
+            "Score": _total(F.transform("Slopes", lambda s: F.signum(s))),
+            "Untied": _size(F.filter("Slopes", lambda s: s != 0)),
+            "SenSlope": _median(F.col("Slopes"))}).drop("Slopes")
+        .withColumns(sorted_both_ways(F.col("Points.Qty")))
+        .withColumns({"Variance": (n * (n - 1) * (2 * n + 5) - ties) / 18, "Around": around})
+        .withColumns(sorted_both_ways(F.col("Around")))
+        .withColumn("Ranks", ranks).drop("Around", "Up", "Down")
+        .withColumn("Spread", _total(F.transform("Ranks", lambda c: c * c)))
+        .withColumn("LagWeight", _lag_weight(F.col("Ranks"), F.col("Spread"), n, significant))
         .select("ItemLocationId", F.size("Points").alias("Weeks"),
-                F.when(F.col("Untied") > 0, score / F.sqrt(_size(F.col("Steps")) * F.col("Untied"))).alias("Tau"),
+                F.when(F.col("Untied") > 0, score / F.sqrt(F.col("Steps") * F.col("Untied"))).alias("Tau"),
                 "SenSlope", F.when(F.col("Variance") > 0, z / F.sqrt("Variance")).alias("Z"),
                 F.when(corrected > 0, z / F.sqrt(corrected)).alias("ZCorrected")))
 

@@ -3,6 +3,7 @@
 import dataclasses
 import datetime as dt
 import math
+import time
 from decimal import Decimal
 
 import numpy as np
@@ -375,3 +376,24 @@ def test_weighted_quantiles_of_special_days(spark):
         "Branch string, DayType string, Ratio double, Usual double")
     row = calendar.special_day_quantiles(special, ["Branch"], (0.1, 0.2, 0.5)).first()
     assert (row.Q10, row.Q20, row.Q50) == (1.0, 2.0, 3.0)
+
+
+def test_trend_of_long_series(spark):
+    """Seven years of weeks, as long as the calendar: by the square of the weeks, not their cube."""
+    rng = np.random.default_rng(3)
+    rows = [(pair, day(1) + dt.timedelta(weeks=int(w)), float(v)) for pair in range(8)
+            for w, v in enumerate(rng.integers(0, 40, 364) + pair * np.arange(364) // 50)]
+    days = spark.createDataFrame(rows, "ItemLocationId long, TransDate date, ValueSales double")
+    start = time.monotonic()
+    got = {r.ItemLocationId: r for r in trend.weekly_trend(days).collect()}
+    assert time.monotonic() - start < 60
+    for pair in range(8):
+        y = np.array([v for p, _, v in rows if p == pair])
+        i, j = np.triu_indices(364, 1)
+        rise = y[j] - y[i]
+        assert got[pair].Tau == pytest.approx(np.sign(rise).sum() / math.sqrt(len(rise) * (rise != 0).sum()))
+        assert got[pair].SenSlope == pytest.approx(np.median(rise / (j - i)))
+        _, equal = np.unique(y, return_counts=True)
+        variance = (364 * 363 * 733 - (equal * (equal - 1) * (2 * equal + 5)).sum()) / 18
+        score = np.sign(rise).sum()
+        assert got[pair].Z == pytest.approx((score - np.sign(score)) / math.sqrt(variance))
