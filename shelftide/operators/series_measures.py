@@ -139,7 +139,8 @@ def predictability_bound(series: DataFrame, s: Settings) -> DataFrame:
         return F.round(a + (b - a) * (h - low), 9)  # off the last bit, so that a value meets its own edge
 
     def state(v: Column) -> Column:
-        return F.when(v <= 0, 0).when(v > 0, 1 + F.size(F.filter("Edges", lambda e: e <= v)))
+        # Rounded like the edges: a sum may lie a last bit below the edge that it made itself.
+        return F.when(v <= 0, 0).when(v > 0, 1 + F.size(F.filter("Edges", lambda e: e <= F.round(v, 9))))
 
     rows = (
         series.withColumn("Ordered", F.array_sort(F.filter("Seen", lambda v: v > 0)))
