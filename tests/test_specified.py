@@ -397,3 +397,10 @@ def test_trend_of_long_series(spark):
         variance = (364 * 363 * 733 - (equal * (equal - 1) * (2 * equal + 5)).sum()) / 18
         score = np.sign(rise).sum()
         assert got[pair].Z == pytest.approx((score - np.sign(score)) / math.sqrt(variance))
+
+
+def test_series_on_the_bound_is_jumpy(spark):
+    """49 sale days whose Cv2 is 0.49 exactly; the mean, 45 / 7, is not."""
+    values = [1.0] * 6 + [2.0] * 16 + [6.0] * 4 + [11.0] * 23
+    for row in weekly_series(spark, values).profile_pairs.collect():
+        assert (row.SalesDays, row.VariantQty, row.Cv2, row.Quadrant) == (49, 315, 0.49, labels.ERRATIC)
