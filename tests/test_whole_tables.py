@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from shelftide.params import EVENTS_PARAMS, LINEITEM_PARAMS
+from shelftide.plans.queries import QUERIES, lineitem
 from shelftide.sources.adapters import facts_events, facts_lineitem
 
 
@@ -25,3 +26,9 @@ def test_all_lines_and_events_are_read(spark):
         F.sum("StockStartQty"), F.min("TransDate"), F.max("TransDate")).first()
     assert tuple(got) == (count, low, high)
     assert EVENTS_PARAMS.start <= low and high <= EVENTS_PARAMS.end
+
+
+def test_ramp_up_takes_all_pairs_that_lived_sixteen_weeks(spark):
+    lived = lineitem(spark, SF_DIR).pairs.where("datediff(LastActive, FirstActive) >= 15 * 7")
+    first = lived.where(F.col("FirstActive") < F.lit(LINEITEM_PARAMS.cohort_date)).count()
+    assert first > 0 and QUERIES["ramp_up"](spark, SF_DIR).count() == lived.count()
