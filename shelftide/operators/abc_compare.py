@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelftide.functions import labels
 from shelftide.functions.expressions import ratio
 from shelftide.operators.abc import abc_classes
 from shelftide.params import Params
+from shelftide.session import materialise
 
 
 def top_overlap(base: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def store_agreement(base: DataFrame, rule: str) -> DataFrame:
 
 
 def quarter_classes(day_layer: DataFrame, pair_profile: DataFrame, params: Params) -> DataFrame:
-    """Six classes per pair and calendar quarter, by the same rules."""
+    """Six classes per pair and calendar quarter, by the same rules, from written sums of the quarters."""
     matrix_life = (F.col("IsMatrix") == 1) & (F.col("InLife") == 1)
     quarters = day_layer.groupBy(
         F.trunc("TransDate", "quarter").alias("Quarter"), "ItemLocationId").agg(
@@ -57,17 +58,18 @@ def quarter_classes(day_layer: DataFrame, pair_profile: DataFrame, params: Param
         F.sum(F.when(matrix_life & (F.col("SalesQty") > 0), 1).otherwise(0)).alias("SalesDays"))
     attributes = pair_profile.where(F.col("Variant") == labels.SALES).select(
         "ItemLocationId", "LocationId", "ItemIdLevel2", "Branch", "IsEmpty", "Variant")
-    return abc_classes(quarters.join(attributes, "ItemLocationId"), params,
-                       keys_before=("Quarter",))
+    written = materialise(quarters.join(attributes, "ItemLocationId"), "quarters")
+    return abc_classes(written, params, keys_before=("Quarter",))
 
 
 def transitions(classes: DataFrame, rule: str) -> DataFrame:
-    """Pairs by class in a quarter and class in the next one."""
-    now = classes.select("ItemLocationId", "Quarter", F.col(rule).alias("FromClass"))
-    following = classes.select("ItemLocationId", F.add_months("Quarter", -3).alias("Quarter"),
-                               F.col(rule).alias("ToClass"))
-    return (now.join(following, ["ItemLocationId", "Quarter"])
-            .where((F.col("FromClass") != labels.NOT_APPLICABLE)
+    """Pairs by class in a quarter and class in the next one. A pair has one row for a quarter of the period."""
+    by_pair = Window.partitionBy("ItemLocationId").orderBy("Quarter")
+    return (classes.select(
+                "Quarter", F.col(rule).alias("FromClass"), F.lead(rule).over(by_pair).alias("ToClass"),
+                F.lead("Quarter").over(by_pair).alias("Following"))
+            .where((F.col("Following") == F.add_months("Quarter", 3))
+                   & (F.col("FromClass") != labels.NOT_APPLICABLE)
                    & (F.col("ToClass") != labels.NOT_APPLICABLE))
             .groupBy("FromClass", "ToClass").agg(F.count(F.lit(1)).alias("Pairs")))
 

@@ -7,7 +7,7 @@ from shelftide.checks.journal import CheckFailed, assemble, enforce
 from shelftide.checks.profile_checks import profile_checks
 from shelftide.functions.expressions import exact
 from shelftide.functions import labels
-from shelftide.operators import abc
+from shelftide.operators import abc, abc_compare
 from shelftide.operators.running import running_total
 from shelftide.plans.layers import Layers
 from shop_data import PARAMS
@@ -162,3 +162,19 @@ def test_empty_journal_stops(spark, layers):
     empty = journal_of(layers, layers.base).where("false")
     with pytest.raises(CheckFailed, match="empty"):
         enforce(empty, "profile")
+
+
+def test_stores_of_any_size_have_the_same_classes(layers):
+    small, large = (sorted(abc.abc_classes(layers.profile_pairs, PARAMS, large=n).select(
+        "ItemLocationId", *labels.ABC_COLUMNS).collect()) for n in (abc.LARGE_STORE, 1))
+    assert small == large and len(small) == 8
+
+
+def test_quarters_meet_the_next_without_a_join(spark):
+    rows = [(1, "2024-01-01", "A"), (1, "2024-04-01", "B"), (1, "2024-10-01", "C"), (2, "2024-01-01", "n/a"),
+            (2, "2024-04-01", "A"), (2, "2024-07-01", "A")]
+    classes = spark.createDataFrame(rows, "ItemLocationId long, Quarter string, Rule string").withColumn(
+        "Quarter", F.col("Quarter").cast("date"))
+    table = abc_compare.transitions(classes, "Rule")
+    assert {tuple(r) for r in table.collect()} == {("A", "B", 1), ("A", "A", 1)}
+    assert "Join" not in table._jdf.queryExecution().optimizedPlan().toString()
