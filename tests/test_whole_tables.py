@@ -32,3 +32,8 @@ def test_ramp_up_takes_all_pairs_that_lived_sixteen_weeks(spark):
     lived = lineitem(spark, SF_DIR).pairs.where("datediff(LastActive, FirstActive) >= 15 * 7")
     first = lived.where(F.col("FirstActive") < F.lit(LINEITEM_PARAMS.cohort_date)).count()
     assert first > 0 and QUERIES["ramp_up"](spark, SF_DIR).count() == lived.count()
+
+
+def test_days_do_not_add_up_the_lines_again(spark):
+    days = lineitem(spark, SF_DIR).days
+    assert not any("lineitem.parquet" in f for f in days.inputFiles())
