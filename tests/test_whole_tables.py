@@ -4,6 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
+from shelftide.operators import fingerprint
 from shelftide.params import EVENTS_PARAMS, LINEITEM_PARAMS
 from shelftide.plans.queries import QUERIES, lineitem
 from shelftide.sources.adapters import facts_events, facts_lineitem
@@ -37,3 +38,9 @@ def test_ramp_up_takes_all_pairs_that_lived_sixteen_weeks(spark):
 def test_days_do_not_add_up_the_lines_again(spark):
     days = lineitem(spark, SF_DIR).days
     assert not any("lineitem.parquet" in f for f in days.inputFiles())
+
+
+def test_content_mark_writes_every_value_once(spark):
+    raw = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    plan = fingerprint.source_mark(raw, raw.columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rint(") == [f.dataType.typeName() for f in raw.schema].count("double")
