@@ -4,8 +4,9 @@ import duckdb
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
-from shelftide.operators import fingerprint
+from shelftide.operators import fingerprint, series
 from shelftide.params import EVENTS_PARAMS, LINEITEM_PARAMS
+from shelftide.plans import layers as plan_layers, queries
 from shelftide.plans.queries import QUERIES, lineitem
 from shelftide.sources.adapters import facts_events, facts_lineitem
 
@@ -44,3 +45,22 @@ def test_content_mark_writes_every_value_once(spark):
     raw = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     plan = fingerprint.source_mark(raw, raw.columns)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("rint(") == [f.dataType.typeName() for f in raw.schema].count("double")
+
+
+def test_profile_check_writes_no_days_and_one_summary(spark, monkeypatch):
+    written, write = [], queries.materialise
+
+    def noted(df, label):
+        written.append(label)
+        return write(df, label)
+
+    def checks(facts, base, pair_layer, params):
+        assert not any("/facts-" in f or "lineitem.parquet" in f for f in pair_layer.inputFiles())
+        return [spark.createDataFrame([("done", "error", 0.0, 0.0, "")],
+                                      "CheckName string, Level string, Value double, Threshold double, Details string")]
+
+    monkeypatch.setattr(queries, "materialise", noted)
+    monkeypatch.setattr(plan_layers, "materialise", noted)
+    monkeypatch.setattr(queries, "profile_checks", checks)
+    QUERIES["check_profile"](spark, SF_DIR)
+    assert "days" not in written and written.count("pair-summary") == 1
