@@ -64,3 +64,9 @@ def test_profile_check_writes_no_days_and_one_summary(spark, monkeypatch):
     monkeypatch.setattr(queries, "profile_checks", checks)
     QUERIES["check_profile"](spark, SF_DIR)
     assert "days" not in written and written.count("pair-summary") == 1
+
+
+def test_arrays_are_filled_before_they_are_unfolded(spark):
+    plan = series.arrays(lineitem(spark, SF_DIR).days)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode", 1)
+    assert "flatten" not in above and below.count("flatten(flatten(") == 3
