@@ -12,6 +12,7 @@ need a stretch take the longest one of the series, the first of equals.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -79,10 +80,10 @@ def _status(value: Column, least: int, unbroken: bool) -> Column:
     return status.when(F.array_min(of) == F.array_max(of), CONSTANT).when(value.isNull(), CONSTANT).otherwise(OK)
 
 
-def _finished(rows: DataFrame, name: str, least: int, unbroken: bool = False) -> DataFrame:
-    """The measure `value` under its name, only where its status is ok."""
+def _finished(series: DataFrame, rows: DataFrame, name: str, least: int, unbroken: bool = False) -> DataFrame:
+    """The series as they were, with the measure `value` of `rows` under its name, only where its status is ok."""
     status = _status(F.col("value"), least, unbroken)
-    return rows.select(*KEYS, F.when(status == OK, F.col("value")).alias(name), status.alias(f"{name}Status"))
+    return rows.select(*series.columns, F.when(status == OK, F.col("value")).alias(name), status.alias(f"{name}Status"))
 
 
 def _autocorrelation(k: Column) -> Column:
@@ -110,7 +111,8 @@ def pacf_order(series: DataFrame, s: Settings) -> DataFrame:
     lags, from the correlations of the pairs known on both ends."""
     bound = F.try_divide(F.lit(1.96), F.sqrt(F.size("Seen").cast("double")))
     rows = (
-        series.withColumn("Sums", F.transform(F.sequence(F.lit(1), F.lit(s.pacf_lags)), _autocorrelation))
+        series.withColumn("Sums", F.when(F.col("n") >= s.min_length, F.transform(
+            F.sequence(F.lit(1), F.lit(s.pacf_lags)), _autocorrelation)))
         .withColumn("Rho", F.transform("Sums", _correlation)))
     start = F.struct(F.expr("cast(array() as array<double>)").alias("phi"), F.lit(1.0).alias("rest"),
                      F.lit(0).alias("order"))
@@ -124,7 +126,7 @@ def pacf_order(series: DataFrame, s: Settings) -> DataFrame:
             F.when(F.abs(last) > bound, k).otherwise(a["order"]).alias("order"))
 
     fold = F.aggregate(F.sequence(F.lit(1), F.lit(s.pacf_lags)), start, step, lambda a: a["order"].cast("double"))
-    return _finished(rows.withColumn("value", fold), "PacfOrder", s.min_length)
+    return _finished(series, rows.withColumn("value", F.when(F.col("Rho").isNotNull(), fold)), "PacfOrder", s.min_length)
 
 
 def predictability_bound(series: DataFrame, s: Settings) -> DataFrame:
@@ -143,22 +145,24 @@ def predictability_bound(series: DataFrame, s: Settings) -> DataFrame:
         return F.when(v <= 0, 0).when(v > 0, 1 + F.size(F.filter("Edges", lambda e: e <= F.round(v, 9))))
 
     rows = (
-        series.withColumn("Ordered", F.array_sort(F.filter("Seen", lambda v: v > 0)))
+        series.withColumn("Ordered", F.sort_array(F.filter("Seen", lambda v: v > 0)))
         .withColumn("Edges", F.when(count > 0, F.array_distinct(F.transform(
             F.sequence(F.lit(1), F.lit(s.bins - 2)), quantile))).otherwise(F.expr("cast(array() as array<double>)")))
         .withColumn("States", F.transform("V", state)).withColumn("StateCount", F.size("Edges") + 2))
     moves = F.filter(F.zip_with(F.slice("States", F.lit(1), F.size("States") - 1),
                                 F.slice("States", F.lit(2), F.size("States")), lambda a, b: a * 64 + b),
                      lambda m: m.isNotNull())
-    rows = rows.withColumn("Moves", F.when(F.size("States") > 1, moves))
-    each = F.sequence(F.lit(0), F.col("StateCount") - 1)
+    rows = rows.withColumn("Moves", F.when((F.size("States") > 1) & (F.col("n") >= s.min_length), moves))
+    # The moves that occur, in the order of the table of moves, with their start and how often they do.
+    rows = rows.withColumn("Tally", F.transform(F.sort_array(F.array_distinct("Moves")), lambda m: F.struct(
+        F.floor(m / 64).alias("a"), F.size(F.filter("Moves", lambda x: x == m)).cast("double").alias("c"))))
 
-    def times(test) -> Column:
-        return F.size(F.filter("Moves", test)).cast("double")
+    def row(a: Column) -> Column:
+        return F.transform(F.filter("Tally", lambda t: t["a"] == a), lambda t: t["c"])
 
     # Over the rows of the table of moves: row log2 row - sum of c log2 c, all by the number of moves.
-    rate = _sum(F.transform(each, lambda a: _log2(times(lambda m: F.floor(m / 64) == a)) - _sum(
-        F.transform(each, lambda b: _log2(times(lambda m: m == a * 64 + b))))))
+    rate = _sum(F.transform(F.array_distinct("Tally.a"),
+                            lambda a: _log2(_sum(row(a))) - _sum(F.transform(row(a), _log2))))
     rate = F.try_divide(rate, F.size("Moves"))
     rows = rows.withColumn("Rate", F.when(F.size("Moves") > 0, rate))
     states = F.col("StateCount").cast("double")
@@ -172,8 +176,8 @@ def predictability_bound(series: DataFrame, s: Settings) -> DataFrame:
     root = F.aggregate(F.sequence(F.lit(1), F.lit(60)),
                        F.struct((1 / states).alias("low"), F.lit(1 - 1e-12).alias("high")), halve,
                        lambda a: (a["low"] + a["high"]) / 2)
-    return _finished(rows.withColumn("value", F.when(F.col("Rate").isNotNull(), root)), "PredictabilityBound",
-                     s.min_length)
+    return _finished(series, rows.withColumn("value", F.when(F.col("Rate").isNotNull(), root)),
+                     "PredictabilityBound", s.min_length)
 
 
 def dfa_slope(series: DataFrame, s: Settings) -> DataFrame:
@@ -205,17 +209,29 @@ def dfa_slope(series: DataFrame, s: Settings) -> DataFrame:
     n, x, y = F.size("Points"), _sum(F.col("Points.x")), _sum(F.col("Points.y"))
     xx = _sum(F.transform("Points", lambda p: p["x"] * p["x"])) - x * x / n
     xy = _sum(F.transform("Points", lambda p: p["x"] * p["y"])) - x * y / n
-    return _finished(rows.withColumn("value", F.when(n > 1, xy / xx)), "DfaSlope", s.min_length_dfa, True)
+    return _finished(series, rows.withColumn("value", F.when(n > 1, xy / xx)), "DfaSlope", s.min_length_dfa, True)
 
 
-def shuffle_gain(series: DataFrame, s: Settings, lag: int, name: str) -> DataFrame:
-    """1 - error of the forecast by the value `lag` days ago over its median error on shuffled values.
+def shuffled(series: DataFrame, s: Settings) -> DataFrame:
+    """The series with `Draws`, which all gains share: their known values shuffled `shuffles` times.
 
     A shuffle puts the known values, sorted by the digest of (seed, series, draw, place), on the known days,
     so gaps stay and every run gives the same draws.
     """
+    def draw(d: Column) -> Column:
+        keyed = F.transform("Seen", lambda v, i: F.struct(F.md5(F.concat_ws(
+            "-", F.lit(str(s.seed)), F.col("ItemLocationId").cast("string"), d.cast("string"), i.cast("string")))
+            .alias("k"), v.alias("v")))
+        return F.transform(F.sort_array(keyed), lambda p: p["v"])
+
+    return series.withColumn("Draws", F.when(
+        F.col("n") >= s.min_length, F.transform(F.sequence(F.lit(1), F.lit(s.shuffles)), draw)))
+
+
+def shuffle_gain(series: DataFrame, s: Settings, lag: int, name: str) -> DataFrame:
+    """1 - error of the forecast by the value `lag` days ago over its median error on `shuffled` values."""
     place = F.filter(F.transform("V", lambda v, i: F.when(v.isNotNull(), i)), lambda i: i.isNotNull())
-    rows = series.withColumn("Place", place).withColumn("Pairs", F.filter(
+    rows = series.withColumn("Place", F.when(F.col("Draws").isNotNull(), place)).withColumn("Pairs", F.filter(
         F.transform("Place", lambda p, i: F.struct(
             i.alias("i"), (F.array_position("Place", p - lag) - 1).cast("int").alias("j"))),
         lambda q: q["j"] >= 0))
@@ -225,24 +241,16 @@ def shuffle_gain(series: DataFrame, s: Settings, lag: int, name: str) -> DataFra
         off = _sum(F.transform("Pairs", lambda q: F.abs(F.get(values, q["i"]) - F.get(values, q["j"]))))
         return F.when(level > 0, off / level)
 
-    def draw(d: Column) -> Column:
-        key = F.concat_ws("-", F.lit(str(s.seed)), F.col("ItemLocationId").cast("string"), d.cast("string"))
-        keyed = F.transform("Seen", lambda v, i: F.struct(
-            F.md5(F.concat_ws("-", key, i.cast("string"))).alias("k"), v.alias("v")))
-        return F.transform(F.array_sort(keyed), lambda p: p["v"])
-
-    enough = F.col("n") >= s.min_length
-    rows = (
-        rows.withColumn("Draws", F.when(enough, F.transform(F.sequence(F.lit(1), F.lit(s.shuffles)), draw)))
-        .withColumn("Errors", F.array_sort(F.filter(F.transform("Draws", error), lambda e: e.isNotNull()))))
+    rows = rows.withColumn(
+        "Errors", F.sort_array(F.filter(F.transform("Draws", error), lambda e: e.isNotNull())))
     m = F.size("Errors")
     usual = (F.get("Errors", F.floor((m - 1) / 2).cast("int")) + F.get("Errors", F.floor(m / 2).cast("int"))) / 2
-    return _finished(rows.withColumn("Usual", usual).withColumn(
+    return _finished(series, rows.withColumn("Usual", usual).withColumn(
         "value", F.when(F.col("Usual") > 0, 1 - error(F.col("Seen")) / F.col("Usual"))), name, s.min_length)
 
 
 def spectral_entropy(series: DataFrame, s: Settings) -> DataFrame:
-    """Entropy of the periodogram of the longest stretch, 1 for white noise: Fourier sums over (series,
+    """Keys and value: entropy of the periodogram of the longest stretch, 1 for white noise: Fourier sums over (series,
     frequency), frequencies dealt out so that few long series fill all tasks."""
     spark = series.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -262,12 +270,11 @@ def spectral_entropy(series: DataFrame, s: Settings) -> DataFrame:
     entropy = power.groupBy(*KEYS, "size").agg(
         F.sum("p").alias("P"), F.sum(F.when(F.col("p") > 0, F.col("p") * F.log("p")).otherwise(0.0)).alias("plog"))
     frequencies = F.floor(F.col("size") / 2).cast("double")
-    made = entropy.select(*KEYS, ((F.log("P") - F.col("plog") / F.col("P")) / F.log(frequencies)).alias("value"))
-    return _finished(series.join(made, list(KEYS), "left"), "SpectralEntropy", s.min_length, True)
+    return entropy.select(*KEYS, ((F.log("P") - F.col("plog") / F.col("P")) / F.log(frequencies)).alias("value"))
 
 
 def sample_entropy(series: DataFrame, s: Settings) -> DataFrame:
-    """-ln(A / B) over templates of two and three known values in a row; the radius follows the spread of the
+    """Keys and value: -ln(A / B) over templates of two and three known values in a row; the radius follows the spread of the
     values other than zero.
 
     Equal templates are counted first, so a series of mostly zeros has few. Templates of a series meet only in
@@ -299,24 +306,47 @@ def sample_entropy(series: DataFrame, s: Settings) -> DataFrame:
     counts = met.groupBy(*KEYS).agg(F.sum(weight).alias("B"), F.sum(F.when(third, weight).otherwise(0)).alias("A"))
     own = templates.groupBy(*KEYS).agg(F.sum("m").alias("self"))
     a, b = F.col("A") - F.col("self"), F.col("B") - F.col("self")
-    made = counts.join(own, list(KEYS)).select(
+    return counts.join(own, list(KEYS)).select(
         *KEYS, F.when((a > 0) & (b > 0), F.abs(F.log(a / b))).alias("value"))
-    return _finished(series.join(made, list(KEYS), "left"), "SampleEntropy", s.min_length_sampen)
+
+
+#: Forecasts whose gain over shuffled values is measured, with their lag.
+_GAINS = {"SeasonalGain": 7, "NaiveGain": 1}
+#: Other measures made inside the row of a series.
+_IN_ROW = {"DfaSlope": dfa_slope, "PacfOrder": pacf_order, "PredictabilityBound": predictability_bound}
+#: Measures whose sums leave the row, with the setting of their least length and whether they need a stretch.
+_APART = {"SpectralEntropy": (spectral_entropy, "min_length", True),
+          "SampleEntropy": (sample_entropy, "min_length_sampen", False)}
+
+
+def _measured(series: DataFrame, s: Settings, names: Sequence[str]) -> DataFrame:
+    """The measures inside the row in one pass; then those apart join, which meet keys and statuses only."""
+    apart = [n for n in names if n in _APART]
+    rows = series.select("*", *[
+        _status(F.lit(0.0), getattr(s, least), unbroken).alias(f"{n}Status")
+        for n in apart for _, least, unbroken in [_APART[n]]])
+    for name in names:
+        if name in _IN_ROW:
+            rows = _IN_ROW[name](rows, s)
+    gains = [n for n in names if n in _GAINS]
+    rows = shuffled(rows, s) if gains else rows
+    for name in gains:
+        rows = shuffle_gain(rows, s, _GAINS[name], name)
+    rows = rows.drop("V", "Seen", "n", "X", "Draws")
+    for name in apart:
+        state = F.col(f"{name}Status")
+        rows = (
+            rows.join(_APART[name][0](series, s).withColumnRenamed("value", name), list(KEYS), "left")
+            .withColumn(f"{name}Status", F.when((state == OK) & F.col(name).isNull(), CONSTANT).otherwise(state))
+            .withColumn(name, F.when(state == OK, F.col(name))))
+    return rows.select(*KEYS, *[c for n in names for c in (n, f"{n}Status")])
 
 
 def measure(series: DataFrame, s: Settings, name: str) -> DataFrame:
     """One of `MEASURES` over prepared series."""
-    gains = {"SeasonalGain": 7, "NaiveGain": 1}
-    if name in gains:
-        return shuffle_gain(series, s, gains[name], name)
-    return {"SpectralEntropy": spectral_entropy, "DfaSlope": dfa_slope, "SampleEntropy": sample_entropy,
-            "PacfOrder": pacf_order, "PredictabilityBound": predictability_bound}[name](series, s)
+    return _measured(series, s, [name])
 
 
 def array_measures(array_layer: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Value and status of every measure, one row for a series."""
-    series = prepared(array_layer)
-    out = series.select(*KEYS)
-    for name in MEASURES:
-        out = out.join(measure(series, s, name), list(KEYS))
-    return out
+    return _measured(prepared(array_layer), s, MEASURES)

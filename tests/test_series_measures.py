@@ -169,3 +169,8 @@ def test_states_do_not_depend_on_the_last_bit(spark):
     settings = sm.Settings(min_length=8)
     one, two = (values(spark, [a], "PredictabilityBound", settings) for a in (series, other))
     assert one == two
+
+
+def test_all_measures_share_one_pass_and_their_draws(spark):
+    plan = sm.array_measures(layer(spark, [[1.0, 2.0, 3.0] * 10]), LONG)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 4 and plan.count("md5(") == 1
